@@ -1,0 +1,2 @@
+"""DataFrame operators: roll-ups, latest-row picks, ordered statistics,
+moments, encoders, target encoding."""

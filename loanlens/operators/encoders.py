@@ -21,16 +21,27 @@ DEFAULT_MAX_CATEGORIES = 1000
 
 def fit_categories(df: DataFrame, cols: Sequence[str],
                    max_values: int = DEFAULT_MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct non-NULL values per column (one small job per column;
-    the distinct itself is a distributed aggregate)."""
+    """Sorted distinct non-NULL values per column, in two small jobs for all
+    columns together: a sketch-based cardinality guard first (so an
+    unexpectedly high-cardinality column fails before anything is
+    collected), then one ``collect_set`` aggregate (partial aggregation;
+    bounded by the guard)."""
+    cols = list(cols)
+    if not cols:
+        return {}
+    approx = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"_n{i}")
+                      for i, c in enumerate(cols)]).first()
+    too_many = [c for i, c in enumerate(cols) if approx[f"_n{i}"] > max_values * 1.2]
+    if too_many:
+        raise ValueError(f"columns {too_many} have more than {max_values} categories; "
+                         "pass explicit value lists or raise max_values")
+    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(f"_v{i}") for i, c in enumerate(cols)]).first()
     out = {}
-    for c in cols:
-        vals = (df.where(F.col(c).isNotNull()).select(c).distinct()
-                .orderBy(c).limit(max_values + 1).collect())
+    for i, c in enumerate(cols):
+        vals = list(row[f"_v{i}"])
         if len(vals) > max_values:
-            raise ValueError(f"column {c!r} has more than {max_values} categories; "
-                             "pass an explicit value list or raise max_values")
-        out[c] = [r[0] for r in vals]
+            raise ValueError(f"column {c!r} has more than {max_values} categories")
+        out[c] = vals
     return out
 
 

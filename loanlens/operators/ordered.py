@@ -103,8 +103,12 @@ def quantile_table(df: DataFrame, key: Sequence[str], cols: Sequence[str],
     """
     key = list(key)
     ids = list(range(len(cols)))
+    def missing_as_null(c):  # NaN is missing, as in pandas
+        v = F.col(c).cast("double")
+        return F.nanvl(v, F.lit(None).cast("double"))
+
     long = df.select(*key, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_ll_c"), F.col(c).cast("double").alias("_ll_v"))
+        F.struct(F.lit(i).alias("_ll_c"), missing_as_null(c).alias("_ll_v"))
         for i, c in zip(ids, cols)])).alias("_ll_s")).select(*key, "_ll_s.*")
     counts = (long.where(F.col("_ll_v").isNotNull())
               .groupBy(*key, "_ll_c", "_ll_v").agg(F.count(F.lit(1)).alias("_ll_n")))
@@ -123,7 +127,7 @@ def quantile_table(df: DataFrame, key: Sequence[str], cols: Sequence[str],
     wide = picked.groupBy(*key).agg(*[
         F.max(F.when(F.col("_ll_c") == i, F.col("_q"))).alias(n) for i, n in zip(ids, names)])
     base = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_ll_rows"),
-                                *[F.count(F.col(c)).alias(f"_ll_nn{i}") for i, c in zip(ids, cols)])
+                                *[F.count(missing_as_null(c)).alias(f"_ll_nn{i}") for i, c in zip(ids, cols)])
     out = base.join(wide, key, "left") if key else base.crossJoin(wide)
     sel = []
     for i, n in zip(ids, names):

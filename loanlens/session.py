@@ -25,6 +25,7 @@ _DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.files.maxPartitionBytes": "128MB",
     # Wide feature frames: keep codegen for aggregates with many columns.
     "spark.sql.codegen.maxFields": "400",

@@ -1,0 +1,7 @@
+"""Streaming surface: intentionally empty.
+
+The reference reads its inputs once and writes its outputs once; it has
+no streams, watermarks, windows over time, state or late data.  Every
+operator in this package is a batch DataFrame plan; a streaming source
+could feed the same plans through ``foreachBatch`` without changes.
+"""
