@@ -860,3 +860,51 @@ def ensemble_q(spark, sf):
         tr, te, ["n_chars", "n_lines", "lang", "source"], ["lang", "source"], "quality", "doc_id",
         rounds=5, members=3, base=BoostParams(min_instances=5, max_iter=5))
     return preds
+
+
+# ---------------------------------------------------------------------------
+# A18-A20, A23, X17 through the real installments plan: a projection of its
+# output on the crosswalked tables, checked against SQL written from scratch.
+# ---------------------------------------------------------------------------
+_INST_COLS = ["COUNT_INSTALLMENTS_PAID_(INSTALL_PAY)", "COUNT_INSTALLMENTS_ACCTS_CAT_(INSTALL_PAY)",
+              "NUM_INSTALMENT_VERSION_NUNIQUE_(INSTALL_PAY)", "DAYS_PAST_DUE_MAX_(INSTALL_PAY)",
+              "DAYS_PAST_DUE_SUM_(INSTALL_PAY)", "DAYS_BEFORE_DUE_MEAN_(INSTALL_PAY)",
+              "DAYS_INSTALMENT_MIN_(INSTALL_PAY)", "PCTG_PAYMENT_MEAN_(INSTALL_PAY)",
+              "DIFF_PAYMENT_VAR_(INSTALL_PAY)", "AMT_PAYMENT_SUM_(INSTALL_PAY)",
+              "PAYMENT_AMOUNT_CV_(INSTALL_PAY)"]
+
+
+@register("a18_a23_installments_plan_checked", """
+WITH x AS (
+  SELECT l.l_orderkey AS prev, o.o_custkey AS curr, l.l_linenumber AS num,
+         CASE WHEN l.l_linestatus = 'F' THEN 1.0 ELSE 0.0 END AS ver,
+         CASE WHEN l.l_partkey % 29 = 0 THEN NULL
+              ELSE CAST(datediff('day', DATE '2002-01-01', CAST(l.l_shipdate AS DATE)) AS DOUBLE) END AS due,
+         CASE WHEN l.l_suppkey % 31 = 0 THEN NULL
+              ELSE CAST(datediff('day', DATE '2002-01-01', CAST(l.l_shipdate AS DATE)) AS DOUBLE)
+                   + (l.l_partkey % 11) - 5 END AS entry,
+         l.l_extendedprice AS inst, l.l_extendedprice * (1 - l.l_discount) AS pay
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+y AS (SELECT *, CASE WHEN entry - due IS NOT NULL THEN greatest(entry - due, 0) END AS dpd,
+             CASE WHEN due - entry IS NOT NULL THEN greatest(due - entry, 0) END AS dbd,
+             pay / (inst + 1e-8) AS pctg, inst - pay AS diff FROM x)
+SELECT curr AS SK_ID_CURR,
+  CAST(count(num) AS BIGINT) AS "COUNT_INSTALLMENTS_PAID_(INSTALL_PAY)",
+  CAST(count(DISTINCT prev) AS BIGINT) AS "COUNT_INSTALLMENTS_ACCTS_CAT_(INSTALL_PAY)",
+  CAST(count(DISTINCT ver) AS BIGINT) AS "NUM_INSTALMENT_VERSION_NUNIQUE_(INSTALL_PAY)",
+  round(max(dpd), 4) AS "DAYS_PAST_DUE_MAX_(INSTALL_PAY)",
+  round(coalesce(sum(dpd), 0), 4) AS "DAYS_PAST_DUE_SUM_(INSTALL_PAY)",
+  round(avg(dbd), 4) AS "DAYS_BEFORE_DUE_MEAN_(INSTALL_PAY)",
+  round(min(due), 4) AS "DAYS_INSTALMENT_MIN_(INSTALL_PAY)",
+  round(avg(pctg), 4) AS "PCTG_PAYMENT_MEAN_(INSTALL_PAY)",
+  round(var_samp(diff / 1000.0), 4) AS "DIFF_PAYMENT_VAR_(INSTALL_PAY)",
+  round(sum(pay), 4) AS "AMT_PAYMENT_SUM_(INSTALL_PAY)",
+  round(CASE WHEN abs(avg(pay)) >= 1e-10 THEN stddev_samp(pay) / avg(pay) END, 4) AS "PAYMENT_AMOUNT_CV_(INSTALL_PAY)"
+FROM y GROUP BY curr
+""")
+def installments_checked(spark, sf):
+    from loanlens.plans.installments import installment_features
+    out = installment_features(_domain(spark, sf)["installments"])
+    var = "DIFF_PAYMENT_VAR_(INSTALL_PAY)"
+    out = out.withColumn(var, F.col(var) / 1e6)  # variance of thousands (rounding scale)
+    return _round_all(out.select("SK_ID_CURR", *_INST_COLS), ["SK_ID_CURR"])
