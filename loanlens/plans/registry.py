@@ -908,3 +908,122 @@ def installments_checked(spark, sf):
     var = "DIFF_PAYMENT_VAR_(INSTALL_PAY)"
     out = out.withColumn(var, F.col(var) / 1e6)  # variance of thousands (rounding scale)
     return _round_all(out.select("SK_ID_CURR", *_INST_COLS), ["SK_ID_CURR"])
+
+
+# ---------------------------------------------------------------------------
+# A1-A10, W1, J2 through the real bureau plan (projection, SQL from scratch).
+# ---------------------------------------------------------------------------
+_BUREAU_COLS = ["BUREAU_SK_ID_BUREAU_COUNT", "BUREAU_AMT_CREDIT_SUM_SUM",
+                "BUREAU_ACTIVE_AMT_CREDIT_SUM_MEAN", "BUREAU_CLOSED_MONTHS_BALANCE_SIZE_SUM",
+                "BUREAU_MONTHS_BALANCE_SIZE_MEAN",
+                "RATIO_BUREAU_ACTIVE_AMT_CREDIT_SUM_SUM_TO_BUREAU_CLOSED_AMT_CREDIT_SUM_SUM",
+                "BUREAU_RATIO_AMT_CREDIT_SUM_TO_AMT_ANNUITY_MAX",
+                "BUREAU_CAT_CREDIT_TYPE_CREDIT_TYPE_CODE_MEAN",
+                "COUNT_CREDIT_BUREAU_LOANS_OVERDUE_(BUREAU)", "HAS_CREDIT_BUREAU_LOANS_OVERDUE_(BUREAU)",
+                "CAT_OHE_MEAN_CREDIT_ACTIVE_Active_(BUREAU)", "LATEST_CREDIT_ACTIVE_CAT_(BUREAU)",
+                "BUREAU_DAYS_CREDIT_QUANTILE_(BUREAU)", "BUREAU_AMT_CREDIT_SUM_DEBT_QUANTILE_(BUREAU)"]
+
+
+@register("a1_a10_w1_bureau_plan_checked", """
+WITH b AS (
+  SELECT o_custkey AS curr, o_orderkey AS id,
+         CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Active' ELSE 'Sold' END AS active,
+         o_orderpriority AS ctype,
+         datediff('day', DATE '2002-01-01', CAST(o_orderdate AS DATE)) AS days,
+         CASE WHEN o_orderkey % 7 = 0 THEN CAST(o_orderkey % 30 AS INTEGER) ELSE 0 END AS overdue,
+         o_totalprice AS amt, o_totalprice * (o_orderkey % 5) / 4 AS debt,
+         CASE WHEN o_orderkey % 8 = 0 THEN 0.0 WHEN o_orderkey % 8 = 1 THEN NULL ELSE o_totalprice / 12 END AS annuity
+  FROM orders),
+bb AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+j AS (SELECT b.*, coalesce(bb.n, 0) AS size FROM b LEFT JOIN bb ON b.id = bb.l_orderkey),
+codes AS (SELECT ctype, dense_rank() OVER (ORDER BY ctype) - 1 AS code
+          FROM (SELECT DISTINCT ctype FROM j WHERE ctype IS NOT NULL)),
+latest AS (SELECT curr, active AS latest_active FROM (
+             SELECT curr, active, row_number() OVER (PARTITION BY curr ORDER BY days DESC, id) AS rn FROM j)
+           WHERE rn = 1),
+agg AS (
+  SELECT curr, count(id) AS cnt, coalesce(sum(amt), 0) AS amt_sum,
+    CASE WHEN count(*) FILTER (WHERE active = 'Active') > 0 THEN avg(amt) FILTER (WHERE active = 'Active') END AS act_mean,
+    CASE WHEN count(*) FILTER (WHERE active = 'Active') > 0 THEN coalesce(sum(amt) FILTER (WHERE active = 'Active'), 0) END AS act_sum,
+    CASE WHEN count(*) FILTER (WHERE active = 'Closed') > 0 THEN coalesce(sum(amt) FILTER (WHERE active = 'Closed'), 0) END AS clo_sum,
+    CASE WHEN count(*) FILTER (WHERE active = 'Closed') > 0 THEN coalesce(sum(size) FILTER (WHERE active = 'Closed'), 0) END AS clo_size_sum,
+    avg(size) AS size_mean,
+    max(CASE WHEN annuity = 0 THEN NULL ELSE amt / annuity END) AS ratio_max,
+    avg(coalesce(codes.code, -1)) AS code_mean,
+    sum(CASE WHEN overdue > 0 THEN 1 ELSE 0 END) AS od,
+    avg(CASE WHEN active = 'Active' THEN 1.0 ELSE 0.0 END) AS ohe_active,
+    quantile_cont(days, 0.25) AS q_days, quantile_cont(debt, 0.75) AS q_debt
+  FROM j LEFT JOIN codes ON j.ctype = codes.ctype GROUP BY curr)
+SELECT agg.curr AS SK_ID_CURR,
+  CAST(cnt AS BIGINT) AS BUREAU_SK_ID_BUREAU_COUNT,
+  round(amt_sum, 4) AS BUREAU_AMT_CREDIT_SUM_SUM,
+  round(act_mean, 4) AS BUREAU_ACTIVE_AMT_CREDIT_SUM_MEAN,
+  CAST(clo_size_sum AS BIGINT) AS BUREAU_CLOSED_MONTHS_BALANCE_SIZE_SUM,
+  round(size_mean, 4) AS BUREAU_MONTHS_BALANCE_SIZE_MEAN,
+  round(CASE WHEN clo_sum = 0 THEN NULL ELSE act_sum / clo_sum END, 4)
+      AS RATIO_BUREAU_ACTIVE_AMT_CREDIT_SUM_SUM_TO_BUREAU_CLOSED_AMT_CREDIT_SUM_SUM,
+  round(ratio_max, 4) AS BUREAU_RATIO_AMT_CREDIT_SUM_TO_AMT_ANNUITY_MAX,
+  round(code_mean, 4) AS BUREAU_CAT_CREDIT_TYPE_CREDIT_TYPE_CODE_MEAN,
+  CAST(od AS BIGINT) AS "COUNT_CREDIT_BUREAU_LOANS_OVERDUE_(BUREAU)",
+  CAST(od > 0 AS INTEGER) AS "HAS_CREDIT_BUREAU_LOANS_OVERDUE_(BUREAU)",
+  round(ohe_active, 4) AS "CAT_OHE_MEAN_CREDIT_ACTIVE_Active_(BUREAU)",
+  latest.latest_active AS "LATEST_CREDIT_ACTIVE_CAT_(BUREAU)",
+  round(q_days, 4) AS "BUREAU_DAYS_CREDIT_QUANTILE_(BUREAU)",
+  round(q_debt, 4) AS "BUREAU_AMT_CREDIT_SUM_DEBT_QUANTILE_(BUREAU)"
+FROM agg JOIN latest ON agg.curr = latest.curr
+""")
+def bureau_checked(spark, sf):
+    from loanlens.plans.bureau import bureau_features
+    t = _domain(spark, sf)
+    out = bureau_features(t["bureau"], t["bureau_balance"]).select("SK_ID_CURR", *_BUREAU_COLS)
+    out = out.withColumns({
+        "BUREAU_CLOSED_MONTHS_BALANCE_SIZE_SUM": F.col("BUREAU_CLOSED_MONTHS_BALANCE_SIZE_SUM").cast("long"),
+        "COUNT_CREDIT_BUREAU_LOANS_OVERDUE_(BUREAU)": F.col("COUNT_CREDIT_BUREAU_LOANS_OVERDUE_(BUREAU)").cast("long")})
+    return _round_all(out, ["SK_ID_CURR"])
+
+
+# ---------------------------------------------------------------------------
+# A11-A14, E7, DIV-IEEE through the real previous-application plan.
+# ---------------------------------------------------------------------------
+_PREV_COLS = ["PREV_COUNT_TOTAL_PREV_APP_LOANS", "PREV_COUNT_APPROVED_PREV_APP_LOANS",
+              "PREV_COUNT_TOTAL_PREV_APP_LOANS_CAT", "PREV_AMT_CREDIT_MEAN_APPROVED",
+              "PREV_RATIO_AMT_APPLICATION_TO_AMT_CREDIT_VAR", "PREV_CNT_PAYMENT_SUM_REFUSED",
+              "PREV_NAME_CONTRACT_STATUS_CODE_MEAN"]
+
+
+@register("a11_a14_previous_plan_checked", """
+WITH p AS (
+  SELECT o_custkey AS curr, o_orderkey AS id,
+         CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'Refused' ELSE 'Canceled' END AS st,
+         o_totalprice * 1.1 AS app, CASE WHEN o_orderkey % 25 = 0 THEN 0.0 ELSE o_totalprice END AS credit,
+         CAST(12 + (o_orderkey % 4) * 12 AS DOUBLE) AS cnt_payment
+  FROM orders),
+codes AS (SELECT st, dense_rank() OVER (ORDER BY st) - 1 AS code FROM (SELECT DISTINCT st FROM p)),
+agg AS (
+  SELECT curr, count(DISTINCT id) AS n_total,
+         count(DISTINCT id) FILTER (WHERE p.st = 'Approved') AS n_appr,
+         avg(credit) FILTER (WHERE p.st = 'Approved') AS credit_appr,
+         CASE WHEN count(*) FILTER (WHERE credit = 0) > 0 THEN NULL
+              ELSE var_samp(app / credit) END AS ratio_var,
+         CASE WHEN count(*) FILTER (WHERE p.st = 'Refused') > 0
+              THEN coalesce(sum(cnt_payment) FILTER (WHERE p.st = 'Refused'), 0) END AS pay_ref,
+         avg(code) AS code_mean
+  FROM p JOIN codes ON p.st = codes.st GROUP BY curr)
+SELECT curr AS SK_ID_CURR,
+  CAST(n_total AS BIGINT) AS PREV_COUNT_TOTAL_PREV_APP_LOANS,
+  CAST(n_appr AS BIGINT) AS PREV_COUNT_APPROVED_PREV_APP_LOANS,
+  CASE WHEN n_total > 0 AND n_total <= 1 THEN '1' WHEN n_total > 1 AND n_total <= 3 THEN '2-3'
+       WHEN n_total > 3 AND n_total <= 5 THEN '4-5' WHEN n_total > 5 AND n_total <= 10 THEN '6-10'
+       WHEN n_total > 10 AND n_total <= 1000 THEN '>10' END AS PREV_COUNT_TOTAL_PREV_APP_LOANS_CAT,
+  round(coalesce(credit_appr, 0), 4) AS PREV_AMT_CREDIT_MEAN_APPROVED,
+  round(coalesce(ratio_var, 0), 6) AS PREV_RATIO_AMT_APPLICATION_TO_AMT_CREDIT_VAR,
+  round(coalesce(pay_ref, 0), 4) AS PREV_CNT_PAYMENT_SUM_REFUSED,
+  round(code_mean, 4) AS PREV_NAME_CONTRACT_STATUS_CODE_MEAN
+FROM agg
+""")
+def previous_checked(spark, sf):
+    from loanlens.plans.previous import previous_features
+    out = previous_features(_domain(spark, sf)["previous_application"]).select("SK_ID_CURR", *_PREV_COLS)
+    v = "PREV_RATIO_AMT_APPLICATION_TO_AMT_CREDIT_VAR"
+    out = out.withColumn(v, R(v, 6))
+    return _round_all(out, ["SK_ID_CURR", v])
