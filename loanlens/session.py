@@ -63,6 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS/S3): "
+                               "lineage cuts must survive executor loss")
+        # local mode only (tests, single-machine runs): a private scratch folder
         configured = tempfile.mkdtemp(prefix="loanlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
