@@ -1027,3 +1027,83 @@ def previous_checked(spark, sf):
     v = "PREV_RATIO_AMT_APPLICATION_TO_AMT_CREDIT_VAR"
     out = out.withColumn(v, R(v, 6))
     return _round_all(out, ["SK_ID_CURR", v])
+
+
+# ---------------------------------------------------------------------------
+# A15-A17, W2, X15 through the real POS plan (projection, SQL from scratch).
+# Without an input-position column, ties on the latest month are broken by
+# the larger payload (deterministic), mirrored in the SQL order.
+# ---------------------------------------------------------------------------
+_POS_COLS = ["MONTHS_BALANCE_SIZE_(POS_CASH)", "SK_DPD_SUM_(POS_CASH)",
+             "RATIO_SK_DPD_TO_CNT_INSTALMENT_FUTURE_MAX_(POS_CASH)", "NAME_CONTRACT_STATUS_MEAN_(POS_CASH)",
+             "COUNT_POS_CASH_LOANS_(POS_CASH)", "POS_CASH_COUNT_COMPLETED_LAST_MONTH",
+             "POS_CASH_COUNT_SIGNED_LAST_MONTH"]
+
+
+@register("a15_a17_pos_plan_checked", """
+WITH x AS (
+  SELECT l.l_orderkey AS prev, o.o_custkey AS curr,
+         CAST(floor(datediff('day', DATE '2002-01-01', CAST(l.l_shipdate AS DATE)) / 30) AS INTEGER) AS mb,
+         l.l_quantity - l.l_linenumber * 5 AS fut,
+         CASE l.l_returnflag WHEN 'A' THEN 'Active' WHEN 'R' THEN 'Completed' ELSE 'Signed' END AS st,
+         CAST(round(l.l_discount * 100) AS INTEGER) AS dpd
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+codes AS (SELECT st, dense_rank() OVER (ORDER BY st) - 1 AS code FROM (SELECT DISTINCT st FROM x)),
+last AS (SELECT curr, st FROM (
+           SELECT curr, st, row_number() OVER (PARTITION BY prev ORDER BY mb DESC, curr DESC, st DESC) AS rn
+           FROM x) WHERE rn = 1),
+recent AS (SELECT curr, count(*) FILTER (WHERE st = 'Completed') AS c, count(*) FILTER (WHERE st = 'Signed') AS s
+           FROM last GROUP BY curr),
+agg AS (SELECT curr, count(*) AS size, coalesce(sum(dpd), 0) AS dpd_sum,
+               max(CASE WHEN fut = 0 THEN NULL ELSE dpd / fut END) AS r_max,
+               avg(code) AS code_mean, count(DISTINCT prev) AS loans
+        FROM x JOIN codes ON x.st = codes.st GROUP BY curr)
+SELECT agg.curr AS SK_ID_CURR,
+  CAST(size AS BIGINT) AS "MONTHS_BALANCE_SIZE_(POS_CASH)",
+  CAST(dpd_sum AS BIGINT) AS "SK_DPD_SUM_(POS_CASH)",
+  round(r_max, 4) AS "RATIO_SK_DPD_TO_CNT_INSTALMENT_FUTURE_MAX_(POS_CASH)",
+  round(code_mean, 4) AS "NAME_CONTRACT_STATUS_MEAN_(POS_CASH)",
+  CAST(loans AS BIGINT) AS "COUNT_POS_CASH_LOANS_(POS_CASH)",
+  CAST(coalesce(recent.c, 0) AS INTEGER) AS POS_CASH_COUNT_COMPLETED_LAST_MONTH,
+  CAST(coalesce(recent.s, 0) AS INTEGER) AS POS_CASH_COUNT_SIGNED_LAST_MONTH
+FROM agg LEFT JOIN recent ON agg.curr = recent.curr
+""")
+def pos_checked(spark, sf):
+    from loanlens.plans.pos_cash import pos_features
+    out, fill = pos_features(_domain(spark, sf)["pos_cash"])
+    out = fill_zero(out, fill).select("SK_ID_CURR", *_POS_COLS)
+    return _round_all(out.withColumn("SK_DPD_SUM_(POS_CASH)", F.col("SK_DPD_SUM_(POS_CASH)").cast("long")),
+                      ["SK_ID_CURR"])
+
+
+# ---------------------------------------------------------------------------
+# A24, A25, X16, X2 through the real credit-card plan (projection).
+# ---------------------------------------------------------------------------
+_CARD_COLS = ["MONTHS_BALANCE_SIZE_(CREDIT_CARD)", "AMT_BALANCE_SUM_(CREDIT_CARD)",
+              "RATIO_AMT_BALANCE_TO_AMT_CREDIT_LIMIT_ACTUAL_MAX_(CREDIT_CARD)",
+              "SUM_ALL_AMT_DRAWINGS_MEAN_(CREDIT_CARD)", "NAME_CONTRACT_STATUS_CODE_MEAN_(CREDIT_CARD)",
+              "COUNT_CREDIT_CARD_LOANS_(CREDIT_CARD)"]
+
+
+@register("a24_a25_card_plan_checked", """
+WITH x AS (
+  SELECT user_id AS curr, user_id * 10 + CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS prev,
+         value * 100 AS bal, CASE WHEN event_id % 9 = 0 THEN 0.0 ELSE value * 150 END AS lim,
+         coalesce(CASE WHEN event_id % 3 = 0 THEN NULL ELSE value END, 0) + value * 2
+           + coalesce(CASE WHEN event_id % 4 = 0 THEN NULL ELSE value / 2 END, 0) + value / 3 AS draw,
+         event_type AS st
+  FROM events),
+codes AS (SELECT st, dense_rank() OVER (ORDER BY st) - 1 AS code FROM (SELECT DISTINCT st FROM x))
+SELECT curr AS SK_ID_CURR,
+  CAST(count(*) AS BIGINT) AS "MONTHS_BALANCE_SIZE_(CREDIT_CARD)",
+  round(sum(bal), 4) AS "AMT_BALANCE_SUM_(CREDIT_CARD)",
+  round(max(CASE WHEN lim = 0 THEN NULL ELSE bal / lim END), 4) AS "RATIO_AMT_BALANCE_TO_AMT_CREDIT_LIMIT_ACTUAL_MAX_(CREDIT_CARD)",
+  round(avg(draw), 4) AS "SUM_ALL_AMT_DRAWINGS_MEAN_(CREDIT_CARD)",
+  round(avg(code), 4) AS "NAME_CONTRACT_STATUS_CODE_MEAN_(CREDIT_CARD)",
+  CAST(count(DISTINCT prev) AS BIGINT) AS "COUNT_CREDIT_CARD_LOANS_(CREDIT_CARD)"
+FROM x JOIN codes ON x.st = codes.st GROUP BY curr
+""")
+def card_checked(spark, sf):
+    from loanlens.plans.credit_card import card_features
+    out = card_features(_domain(spark, sf)["credit_card"]).select("SK_ID_CURR", *_CARD_COLS)
+    return _round_all(out, ["SK_ID_CURR"])
