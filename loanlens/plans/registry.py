@@ -1107,3 +1107,49 @@ def card_checked(spark, sf):
     from loanlens.plans.credit_card import card_features
     out = card_features(_domain(spark, sf)["credit_card"]).select("SK_ID_CURR", *_CARD_COLS)
     return _round_all(out, ["SK_ID_CURR"])
+
+
+# ---------------------------------------------------------------------------
+# P1, X1, X3, X5, X7, X10, A26/X6, E8, E9/E10, E2 through the real
+# application plan (projection, SQL from scratch).
+# ---------------------------------------------------------------------------
+_APP_COLS = ["EXT_SOURCE_MEAN", "AGE_YEARS", "YEARS_EMPLOYED", "RATIO_AMT_CREDIT_TO_AMT_GOODS_PRICE",
+             "Z_AMT_CREDIT", "FLAG_AGE_GT_EMPLOYED", "HAS_JOB", "EXT_SOURCES_STD",
+             "OCCUPATION_TYPE_MEAN_EXT_SOURCE_1", "OCCUPATION_TYPE_MEAN_EXT_SOURCE_1_DIFF",
+             "POLY_EXT_SOURCE_1^2", "CODE_GENDER_CAT_F"]
+
+
+@register("x1_x11_application_plan_checked", """
+WITH a AS (
+  SELECT c.c_custkey AS k,
+         CASE WHEN c.c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         CASE WHEN c.c_custkey % 9 = 0 THEN NULL ELSE n.n_name END AS occ,
+         CASE WHEN c.c_custkey % 5 = 0 THEN NULL ELSE ((c.c_custkey * 31) % 1000) / 1000.0 END AS e1,
+         CASE WHEN c.c_custkey % 17 = 0 THEN NULL ELSE ((c.c_custkey * 53) % 1000) / 1000.0 END AS e2,
+         CASE WHEN c.c_custkey % 7 = 1 THEN NULL ELSE ((c.c_custkey * 71) % 1000) / 1000.0 END AS e3,
+         -(7000 + (c.c_custkey * 37) % 18000) AS birth,
+         CASE WHEN c.c_custkey % 10 = 0 THEN NULL ELSE -((c.c_custkey * 13) % 9000) END AS employed,
+         abs(c.c_acctbal) * 40 + 50000 AS credit,
+         CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE (abs(c.c_acctbal) * 40 + 50000) * 0.9 END AS goods
+  FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
+g AS (SELECT occ, avg(e1) AS m FROM a WHERE occ IS NOT NULL GROUP BY occ),
+s AS (SELECT avg(credit) AS mu, stddev_samp(credit) AS sd, median(e1) AS med1 FROM a)
+SELECT a.k AS SK_ID_CURR,
+  round((coalesce(e1, 0) + coalesce(e2, 0) + coalesce(e3, 0)) / 3, 6) AS EXT_SOURCE_MEAN,
+  round(birth / -365.25, 6) AS AGE_YEARS,
+  round(employed / -365.25, 6) AS YEARS_EMPLOYED,
+  round(CASE WHEN goods = 0 THEN NULL ELSE credit / goods END, 6) AS RATIO_AMT_CREDIT_TO_AMT_GOODS_PRICE,
+  round(CASE WHEN sd > 0 THEN (credit - mu) / sd END, 6) AS Z_AMT_CREDIT,
+  CAST(coalesce(birth / -365.25 > employed / -365.25, false) AS INTEGER) AS FLAG_AGE_GT_EMPLOYED,
+  CAST(coalesce(employed < 0, false) AS INTEGER) AS HAS_JOB,
+  round(list_aggregate([e1, e2, e3], 'stddev_samp'), 6) AS EXT_SOURCES_STD,
+  round(g.m, 6) AS OCCUPATION_TYPE_MEAN_EXT_SOURCE_1,
+  round(e1 - g.m, 6) AS OCCUPATION_TYPE_MEAN_EXT_SOURCE_1_DIFF,
+  round(coalesce(e1, med1) * coalesce(e1, med1), 6) AS "POLY_EXT_SOURCE_1^2",
+  CAST(gender = 'F' AS INTEGER) AS CODE_GENDER_CAT_F
+FROM a LEFT JOIN g ON a.occ = g.occ CROSS JOIN s
+""")
+def application_checked(spark, sf):
+    from loanlens.plans.application import application_features
+    out = application_features(_domain(spark, sf)["application"]).select("SK_ID_CURR", *_APP_COLS)
+    return _round_all(out, ["SK_ID_CURR"], 6)
