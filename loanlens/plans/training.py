@@ -121,11 +121,13 @@ def encode_fold(df: DataFrame, cats: Sequence[str], label: str, fold_col: str, f
 def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str], label: str,
                    id_col: str, k: int = 8, seed: int = 42, smoothing: float = 5.0,
                    params: BoostParams = BoostParams()):
-    """Stratified k-fold CV (M1, M4): returns (fold AUCs, importances frame
-    with a fold column)."""
+    """Stratified k-fold CV (M1, M4): returns (fold AUCs, best round per
+    fold, importances frame with a fold column).  Each fold's booster stops
+    early on its held-out rows; Spark keeps the best iteration, so the
+    number of trees is the fold's best round."""
     spark = df.sparkSession
     folded = stratified_folds(df, label, id_col, k, seed)
-    scores, rows = [], []
+    scores, rounds, rows = [], [], []
     feats = [f for f in features if f not in cats] + [f"{c}_ENCODED" for c in cats]
     for f in range(k):
         enc = encode_fold(folded, cats, label, "fold", f, k, smoothing)
@@ -134,9 +136,15 @@ def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str],
         val = score(model, enc.where(F.col("_is_val")), feats, id_col, "_p") \
             .join(enc.select(id_col, label), id_col)
         scores.append(auc(val, "_p", label).first()["AUC"])
+        rounds.append(model.stages[-1].getNumTrees)
         rows += [(f, n, v) for n, v in importances(model, feats)]
     imp = spark.createDataFrame(rows, "fold int, feature string, importance double")
-    return scores, imp
+    return scores, rounds, imp
+
+
+def final_round_count(best_rounds: Sequence[int], factor: float = 1.05) -> int:
+    """Rounds for the full-data fit: int(mean best round x 1.05) (M5)."""
+    return max(1, int(sum(best_rounds) / len(best_rounds) * factor))
 
 
 def mean_importance(imp: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Typed readers and sinks.
 
-Readers declare schemas (no inference job) and can tag rows with their
+Readers match CSV columns by header name and cast them to declared types
+(no inference job); they can tag rows with their
 input position (``_row_pos``) for the operators whose pandas semantics
 depend on row order ("first row wins").  ``monotonically_increasing_id`` is
 assigned per file split in offset order, so it follows the file order.
@@ -15,7 +16,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.sources.schemas import DOMAIN_TABLES
+from pyspark.sql import types as T
+
+from loanlens.sources.schemas import DOMAIN_TABLES, STRING_COLUMNS
 
 ROW_POS = "_row_pos"
 
@@ -23,14 +26,15 @@ ROW_POS = "_row_pos"
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None,
                with_row_position: bool = False, limit: int | None = None) -> DataFrame:
     fmt = fmt or ("parquet" if path.endswith(".parquet") or os.path.isdir(path) else "csv")
-    reader = spark.read
     if fmt == "csv":
-        reader = reader.option("header", True).option("mode", "PERMISSIVE")
+        # header-driven: columns are matched by NAME (a positional schema would
+        # silently mistype files whose column order differs), read as strings
+        # (no inference pass) and cast with ANSI-safe try_cast
+        df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
         if schema is not None:
-            reader = reader.schema(schema)
-        df = reader.csv(path)
+            df = cast_by_name(df, schema)
     else:
-        df = reader.parquet(path)
+        df = spark.read.parquet(path)
     if with_row_position:
         df = df.withColumn(ROW_POS, F.monotonically_increasing_id())
     if limit is not None:  # debug sampling, off by default
@@ -38,6 +42,19 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
     return df
 
 
+def cast_by_name(df: DataFrame, schema) -> DataFrame:
+    """Declared columns get their declared type; undeclared columns become
+    DOUBLE unless they are known string columns (unparsable -> NULL)."""
+    declared = {f.name: f.dataType for f in schema.fields}
+    out = []
+    for c in df.columns:
+        typ = declared.get(c)
+        if typ is None:
+            typ = T.StringType() if c in STRING_COLUMNS else T.DoubleType()
+        out.append(F.col(c) if isinstance(typ, T.StringType) else F.col(c).try_cast(typ).alias(c))
+    return df.select(*out)
+
+
 def read_tables(spark: SparkSession, data_dir: str, fmt: str = "csv",
                 with_row_position: bool = True, limit: int | None = None) -> dict[str, DataFrame]:
     """Read the eight domain tables from ``data_dir`` (``{stem}.csv`` or

@@ -110,3 +110,10 @@ CATEGORICAL_COLUMNS = {
     "bureau_balance": ["STATUS"],
     "pos_cash": ["NAME_CONTRACT_STATUS"],
 }
+
+# Every string column of the domain tables (other columns are numeric).
+STRING_COLUMNS = frozenset(
+    [f.name for st in (APPLICATION, BUREAU, BUREAU_BALANCE, PREVIOUS_APPLICATION, POS_CASH_BALANCE,
+                       INSTALLMENTS_PAYMENTS, CREDIT_CARD_BALANCE)
+     for f in st.fields if isinstance(f.dataType, T.StringType)]
+    + ["HOUSETYPE_MODE", "EMERGENCYSTATE_MODE"])
