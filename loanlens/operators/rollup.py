@@ -8,7 +8,7 @@ Semantics follow pandas ``groupby().agg``:
   var / std            sample (ddof 1), n < 2 -> NULL
   count                non-NULL count;  size: row count
   nunique              distinct non-NULL values
-  median               exact, linear interpolation
+  (median per group: ``operators.stats.group_quantiles``, a distributed pass)
 
 A *conditional* roll-up ("filter(status == s) -> groupBy -> left merge")
 is folded into the same aggregate: every statistic only sees rows where the
@@ -60,7 +60,10 @@ def stat_expr(col: str | Column, stat: str, cond: Column | None = None) -> Colum
     if stat == "nunique":
         return F.count_distinct(x)
     if stat == "median":
-        return F.median(x)
+        # an exact percentile aggregate buffers a whole group in one task;
+        # per-group medians go through the distributed rank pass instead
+        raise ValueError("per-group 'median' is computed by operators.stats.group_quantiles "
+                         "(distributed, skew-safe), not inside a roll-up")
     raise ValueError(f"unknown statistic {stat!r}; expected one of {KNOWN_STATS}")
 
 
