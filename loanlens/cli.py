@@ -31,6 +31,17 @@ def run_features(args) -> None:
                       "seconds": round(time.time() - t0, 1)}))
 
 
+# Numeric columns the reference tags as categories (E11), after
+# name sanitising; string columns are categories as well.
+CATEGORY_TAGGED = ["COUNT_POS_CASH_LOANS_CAT_POS_CASH", "COUNT_INSTALLMENTS_ACCTS_CAT_INSTALL_PAY",
+                   "INSTALMENT_VERSION_LAST_DUE_CAT_INSTALL_PAY"]
+
+
+def category_features(df) -> list[str]:
+    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return strings + [c for c in CATEGORY_TAGGED if c in df.columns and c not in strings]
+
+
 def run_train(args) -> None:
     from loanlens.plans.training import (BoostParams, cross_validate, final_round_count,
                                          mean_importance, save_models, top_importances,
@@ -39,7 +50,7 @@ def run_train(args) -> None:
     spark = build_session(app_name="loanlens-train")
     t0 = time.time()
     train, test = read_features(spark, args.features_dir)
-    cats = [f.name for f in train.schema.fields if isinstance(f.dataType, T.StringType)]
+    cats = category_features(train)
     feats = [c for c in train.columns if c not in (ID, LABEL)]
     params = BoostParams(max_iter=args.max_rounds, seed=args.seed)
     scores, rounds, imp = cross_validate(train, feats, cats, LABEL, ID, k=args.folds,
