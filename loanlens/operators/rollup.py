@@ -114,3 +114,45 @@ def ratio_columns(pairs: Sequence[tuple[str, str, str]], division) -> list[Colum
 
 def spec_names(spec: Spec, namer: Namer) -> list[str]:
     return [namer(c, s) for c, stats in spec.items() for s in stats]
+
+
+def chunked_conditional_rollup(df: DataFrame, key: str, blocks: Sequence[tuple[Spec, Namer, Column | None]],
+                               extra: Sequence[Column] = (), max_aggs: int = 100) -> DataFrame:
+    """``conditional_rollup`` split into several aggregate nodes of at most
+    ``max_aggs`` expressions, one per group of *source columns* (every
+    block of a column stays together).
+
+    Why: an aggregate node with hundreds of expressions exceeds Spark's
+    whole-stage-codegen field limit and runs interpreted (several times
+    slower per row).  Splitting by source column keeps each node compiled
+    while each node reads a disjoint set of columns, so the columnar scan
+    volume stays that of one pass; the nodes are hash-partitioned on the
+    same key, so joining them needs no further shuffle.  NULL keys are
+    dropped (pandas groupby semantics), so the inner joins are exact.
+    """
+    src = df.where(F.col(key).isNotNull())
+    cols: list[str] = []
+    for spec, _, _ in blocks:
+        cols += [c for c in spec if c in df.columns and c not in cols]
+    per_col = {c: sum(len(spec.get(c, ())) for spec, _, _ in blocks) for c in cols}
+    chunks: list[list[str]] = [[]]
+    n = 0
+    for c in cols:
+        if chunks[-1] and n + per_col[c] > max_aggs:
+            chunks.append([])
+            n = 0
+        chunks[-1].append(c)
+        n += per_col[c]
+    parts = []
+    for i, chunk in enumerate(chunks):
+        exprs: list[Column] = []
+        for spec, namer, cond in blocks:
+            sub = {c: spec[c] for c in chunk if c in spec}
+            exprs += rollup_exprs(sub, namer, cond)
+        if i == 0:
+            exprs += list(extra)
+        parts.append(src.groupBy(key).agg(*exprs))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, key, "inner")
+    return out
