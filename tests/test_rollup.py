@@ -39,3 +39,20 @@ def test_conditional_equals_filter_then_join(spark, data):
         return sorted(rows, key=lambda t: tuple((x is None, x if x is not None else 0) for x in t))
 
     assert canon(cond) == canon(sep)
+
+
+def test_chunked_equals_single_node(spark):
+    from loanlens.operators.rollup import chunked_conditional_rollup
+    rows = [(k % 4, "A" if k % 3 else "C", float(k % 7) if k % 5 else None, float(k)) for k in range(80)]
+    rows.append((None, "A", 1.0, 1.0))  # NULL key: dropped, as pandas groupby does
+    df = spark.createDataFrame(rows, "k int, s string, v double, w double")
+    spec = {"v": ["min", "max", "mean", "sum", "var"], "w": ["mean", "sum", "count", "size"]}
+    blocks = [(spec, pandas_style_name("ALL_"), None), (spec, pandas_style_name("A_"), F.col("s") == "A")]
+    one = conditional_rollup(df.where(F.col("k").isNotNull()), "k", blocks)
+    many = chunked_conditional_rollup(df, "k", blocks, extra=[F.count(F.lit(1)).alias("n")], max_aggs=3)
+    assert many.count() == 4 and "n" in many.columns
+    cols = sorted(one.columns)
+    a = sorted(tuple(r) for r in one.select(*cols).collect())
+    b = sorted(tuple(r) for r in many.select(*cols).collect())
+    assert [tuple(None if x is None else round(x, 9) for x in r) for r in a] == \
+        [tuple(None if x is None else round(x, 9) for x in r) for r in b]
