@@ -35,7 +35,7 @@ def fit_categories(df: DataFrame, cols: Sequence[str],
     if too_many:
         raise ValueError(f"columns {too_many} have more than {max_values} categories; "
                          "pass explicit value lists or raise max_values")
-    row = df.agg(*[F.array_sort(F.collect_set(c)).alias(f"_v{i}") for i, c in enumerate(cols)]).first()
+    row = df.agg(*[F.sort_array(F.collect_set(c)).alias(f"_v{i}") for i, c in enumerate(cols)]).first()
     out = {}
     for i, c in enumerate(cols):
         vals = list(row[f"_v{i}"])

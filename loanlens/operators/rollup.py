@@ -117,7 +117,7 @@ def spec_names(spec: Spec, namer: Namer) -> list[str]:
 
 
 def chunked_conditional_rollup(df: DataFrame, key: str, blocks: Sequence[tuple[Spec, Namer, Column | None]],
-                               extra: Sequence[Column] = (), max_aggs: int = 100) -> DataFrame:
+                               extra: Sequence[Column] = (), max_aggs: int | None = None) -> DataFrame:
     """``conditional_rollup`` split into several aggregate nodes of at most
     ``max_aggs`` expressions, one per group of *source columns* (every
     block of a column stays together).
@@ -130,6 +130,8 @@ def chunked_conditional_rollup(df: DataFrame, key: str, blocks: Sequence[tuple[S
     same key, so joining them needs no further shuffle.  NULL keys are
     dropped (pandas groupby semantics), so the inner joins are exact.
     """
+    if max_aggs is None:
+        max_aggs = int(df.sparkSession.conf.get("loanlens.rollup.maxAggsPerNode", "100"))
     src = df.where(F.col(key).isNotNull())
     cols: list[str] = []
     for spec, _, _ in blocks:
