@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from loanlens.operators.ordered import average_rank, stratified_folds
 from loanlens.operators.target_encoding import (apply_target_encoding, category_key,
                                                 fit_target_encoding, fold_encoding_tables)
+from loanlens.session import cut_lineage
 
 MISSING = -999.0
 
@@ -103,12 +104,15 @@ def blend_ranks(df: DataFrame, id_col: str, score_cols: Sequence[str], out: str
 
 
 def encode_fold(df: DataFrame, cats: Sequence[str], label: str, fold_col: str, fold: int, k: int,
-                smoothing: float) -> DataFrame:
+                smoothing: float, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """Encoding for CV fold ``fold``: tables fitted on the other folds, applied
-    to every row (training rows in-sample, held-out rows out-of-fold)."""
+    to every row (training rows in-sample, held-out rows out-of-fold).
+    ``tables`` (category -> all-fold table) avoids refitting per fold."""
     x = df
     for c in cats:
-        t = fold_encoding_tables(df, c, label, fold_col, k, smoothing).where(F.col("fold") == fold)
+        full = tables[c] if tables and c in tables else \
+            fold_encoding_tables(df, c, label, fold_col, k, smoothing)
+        t = full.where(F.col("fold") == fold)
         prior = t.select("prior").limit(1)
         x = (x.withColumn("_cat_key", category_key(c))
              .join(t.select("_cat_key", "enc"), "_cat_key", "left")
@@ -129,8 +133,12 @@ def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str],
     folded = stratified_folds(df, label, id_col, k, seed)
     scores, rounds, rows = [], [], []
     feats = [f for f in features if f not in cats] + [f"{c}_ENCODED" for c in cats]
+    # every fold's table in one pass per category, materialised once (levels x k
+    # rows) instead of re-aggregating the training data in each of the k folds
+    tables = {c: cut_lineage(fold_encoding_tables(folded, c, label, "fold", k, smoothing))
+              for c in cats}
     for f in range(k):
-        enc = encode_fold(folded, cats, label, "fold", f, k, smoothing)
+        enc = encode_fold(folded, cats, label, "fold", f, k, smoothing, tables)
         enc = enc.withColumn("_is_val", F.col("fold") == f)
         model = fit_classifier(enc, feats, label, params, validation_col="_is_val")
         val = score(model, enc.where(F.col("_is_val")), feats, id_col, "_p") \

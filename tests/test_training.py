@@ -45,3 +45,15 @@ def test_noise_is_reproducible_and_standard(spark):
 def test_top_importances_ties_by_name(spark):
     imp = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "feature string, importance double")
     assert [r.feature for r in top_importances(imp, 2).collect()] == ["c", "a"]
+
+
+def test_encode_fold_with_precomputed_tables(spark):
+    from loanlens.operators.target_encoding import fold_encoding_tables
+    from loanlens.plans.training import encode_fold
+    rows = [(i, "abc"[i % 3] if i % 7 else None, int(i % 4 == 0), i % 3) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, c string, y int, fold int")
+    tables = {"c": fold_encoding_tables(df, "c", "y", "fold", 3, 2.0)}
+    for f in range(3):
+        a = {r.id: r.c_ENCODED for r in encode_fold(df, ["c"], "y", "fold", f, 3, 2.0).collect()}
+        b = {r.id: r.c_ENCODED for r in encode_fold(df, ["c"], "y", "fold", f, 3, 2.0, tables).collect()}
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
