@@ -1153,3 +1153,57 @@ def application_checked(spark, sf):
     from loanlens.plans.application import application_features
     out = application_features(_domain(spark, sf)["application"]).select("SK_ID_CURR", *_APP_COLS)
     return _round_all(out, ["SK_ID_CURR"], 6)
+
+
+# ---------------------------------------------------------------------------
+# A32-A35, X18, P2 through the real legacy bureau variant (projection).
+# ---------------------------------------------------------------------------
+_LEGACY_COLS = ["BUREAU_LOAN_COUNT", "BUREAU_LOAN_TYPES", "BUREAU_AVERAGE_LOAN_TYPE",
+                "BUREAU_ACTIVE_AMT_CREDIT_SUM_SUM", "BUREAU_BUREAU_DEBT_CREDIT_RATIO_MEAN",
+                "BUREAU_bureau_balance_MONTHS_BALANCE_size_SUM",
+                "BUREAU_bureau_balance_STATUS_0_ratio_MEAN", "BUREAU_CREDIT_ACTIVE_Closed_SUM"]
+
+
+@register("a32_a35_bureau_counts_plan_checked", """
+WITH b AS (
+  SELECT o_custkey AS curr, o_orderkey AS id,
+         CASE o_orderstatus WHEN 'F' THEN 'Closed' WHEN 'O' THEN 'Active' ELSE 'Sold' END AS active,
+         o_orderpriority AS ctype, o_totalprice AS amt, o_totalprice * (o_orderkey % 5) / 4 AS debt
+  FROM orders),
+bb AS (
+  SELECT l_orderkey, count(*) AS n,
+         count(*) FILTER (WHERE st = '0') / count(*) AS r0
+  FROM (SELECT l_orderkey,
+               CASE WHEN l_returnflag = 'A' THEN '0'
+                    ELSE ['0', '1', 'C', 'X', '2', '3', '5', '4'][((l_linenumber - 1) % 8) + 1] END AS st
+        FROM lineitem)
+  GROUP BY l_orderkey),
+j AS (SELECT b.*, bb.n, bb.r0 FROM b LEFT JOIN bb ON b.id = bb.l_orderkey),
+agg AS (
+  SELECT curr, count(id) AS cnt, count(DISTINCT ctype) AS types,
+         CASE WHEN count(*) FILTER (WHERE active = 'Active') > 0
+              THEN coalesce(sum(amt) FILTER (WHERE active = 'Active'), 0) END AS act_sum,
+         avg(debt / (amt + 1e-8)) AS dcr, coalesce(sum(n), 0) AS size_sum, avg(r0) AS r0_mean,
+         sum(CASE WHEN active = 'Closed' THEN 1 ELSE 0 END) AS closed
+  FROM j GROUP BY curr)
+SELECT c.c_custkey AS SK_ID_CURR,
+  CAST(coalesce(cnt, 0) AS BIGINT) AS BUREAU_LOAN_COUNT,
+  CAST(coalesce(types, 0) AS BIGINT) AS BUREAU_LOAN_TYPES,
+  round(coalesce(cnt, 0) / (coalesce(types, 0) + 1e-8), 4) AS BUREAU_AVERAGE_LOAN_TYPE,
+  round(coalesce(act_sum, 0), 4) AS BUREAU_ACTIVE_AMT_CREDIT_SUM_SUM,
+  round(coalesce(dcr, 0), 4) AS BUREAU_BUREAU_DEBT_CREDIT_RATIO_MEAN,
+  CAST(coalesce(size_sum, 0) AS BIGINT) AS BUREAU_bureau_balance_MONTHS_BALANCE_size_SUM,
+  round(coalesce(r0_mean, 0), 4) AS BUREAU_bureau_balance_STATUS_0_ratio_MEAN,
+  CAST(coalesce(closed, 0) AS BIGINT) AS BUREAU_CREDIT_ACTIVE_Closed_SUM
+FROM customer c LEFT JOIN agg ON c.c_custkey = agg.curr
+""")
+def bureau_counts_checked(spark, sf):
+    from loanlens.plans.bureau import bureau_count_features, finish_bureau_counts
+    t = _domain(spark, sf)
+    agg, fill = bureau_count_features(t["bureau"], t["bureau_balance"])
+    out = finish_bureau_counts(t["application"].select("SK_ID_CURR").join(agg, "SK_ID_CURR", "left"), fill)
+    out = out.select("SK_ID_CURR", *_LEGACY_COLS).withColumns({
+        c: F.col(c).cast("long") for c in ["BUREAU_LOAN_COUNT", "BUREAU_LOAN_TYPES",
+                                           "BUREAU_bureau_balance_MONTHS_BALANCE_size_SUM",
+                                           "BUREAU_CREDIT_ACTIVE_Closed_SUM"]})
+    return _round_all(out, ["SK_ID_CURR"])
