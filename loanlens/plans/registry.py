@@ -26,6 +26,7 @@ from loanlens.operators.rollup import conditional_rollup, pandas_style_name
 from loanlens.operators.stats import group_quantiles, safe_cv, safe_kurt, safe_skew
 from loanlens.operators.target_encoding import apply_target_encoding, fit_target_encoding, oof_encode
 from loanlens.functions import fill_zero
+from loanlens.plans import wide_checks
 from loanlens.sources.io import sanitize_name
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -786,9 +787,8 @@ def similar_q(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Domain plans over the crosswalked driver tables (rows-only checks: the
-# outputs are hundreds of columns wide; the operators inside are covered by
-# the SQL-checked entries above and by the unit tests).
+# Domain plans over the crosswalked driver tables.  The child plans return
+# every column, compared with the SQL of ``wide_checks``.
 # ---------------------------------------------------------------------------
 def _domain(spark, sf):
     from loanlens.plans.crosswalk import domain_tables
@@ -1207,3 +1207,17 @@ def bureau_counts_checked(spark, sf):
                                            "BUREAU_bureau_balance_MONTHS_BALANCE_size_SUM",
                                            "BUREAU_CREDIT_ACTIVE_Closed_SUM"]})
     return _round_all(out, ["SK_ID_CURR"])
+
+
+@register("a1_x13_balance_by_loan", wide_checks.balance_sql())
+def balance_q(spark, sf):
+    from loanlens.plans.bureau import balance_by_loan
+    return wide_checks.canonical(balance_by_loan(_domain(spark, sf)["bureau_balance"]), "SK_ID_BUREAU")
+
+
+def _whole(plan: Callable[[SparkSession, str], DataFrame]):
+    return lambda spark, sf: wide_checks.canonical(plan(spark, sf))
+
+
+for _name, _sql in wide_checks.SQL.items():
+    QUERIES[_name], ORACLE[_name] = _whole(QUERIES[_name]), _sql()
