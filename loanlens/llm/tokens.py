@@ -5,21 +5,29 @@ an installed public vocabulary).  Encoding whole texts costs about one CPU
 second for 1.7 MB, nearly all of it for words met before.  Byte-level BPE
 never merges across its pre-tokens; a space with no white space beside it
 starts one, a line break with none beside it is one, and so is a run of stops
-after a letter or digit.  So a text is cut there, each distinct piece is
-encoded by the library, the pieces met first are kept in a table, and the
-text's ids are the pieces' ids in order.  A text with white space in a row or
+after a letter.  So a text is cut there, each piece is encoded by the
+library (a word of letters by its model alone, since it is one pre-token),
+the pieces met first are kept in a table, and the text's ids are the pieces'
+ids in order.  A text with white space in a row or
 at an end, or with a very long piece, goes through the library whole.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 
-#: Pieces that a worker keeps (about 120 MB); others are encoded each time.
-KEPT_PIECES = 500_000
-#: Stops that the pre-tokens never join with a letter or digit before them.
+#: Pieces that a worker keeps (about 100 MB); others are encoded each time.
+KEPT_PIECES = 400_000
+#: Marks of pieces met once, by their hash.
+SLOTS = (1 << 22) - 1
+#: Words of letters below this go to the model without the pre-tokens' pattern.
+SURE_LETTERS = "\u0530"
+#: How a byte-level vocabulary writes the space.
+SPACE = "\u0120"
+#: Stops that the pre-tokens never join with a letter before them.
 STOPS = ".,;:!?"
 #: Characters of the longest piece that is kept.
 LONGEST_PIECE = 200
@@ -33,6 +41,17 @@ def vocabulary_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def _byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes of Latin-1 stand for themselves, the others take the
+    letters from U+0100 on, in order.
+    """
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in shown else next(others)) for b in range(256)]
+
+
 class PieceEncoder:
     """Encodes texts through a table of pieces."""
 
@@ -47,14 +66,13 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        vocabulary = self.tokenizer.get_vocab()
-        # a byte-level BPE writes each byte of a token as one character
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.bytes_of[list(vocabulary.values())] = [len(token) for token in vocabulary]
-        self.heads: dict[str, bytes] = {}
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.tokenize = self.tokenizer.model.tokenize
+        self.written = dict(enumerate(_byte_letters()))
         self.pieces: dict[str, bytes] = {}
+        self.seen = bytearray(SLOTS + 1)
         self.tails: dict[str, bytes] = {}
-        self.newline = np.array(self.tokenizer.encode("\n", add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        self.newline = self._bytes("\n")
 
     @classmethod
     def get(cls, name: str) -> PieceEncoder:
@@ -67,64 +85,59 @@ class PieceEncoder:
         """The ids of one whole text; none for a null."""
         if not text:
             return np.zeros(0, self.dtype)
-        lines = [line.split(" ") for line in text.split("\n")]
-        heads, pieces = self.heads, self.pieces
-        try:
-            found = [b"".join([heads[line[0]], *map(pieces.__getitem__, line[1:])]) for line in lines]
-        except KeyError:
-            extra = self._learn(lines)
-            if extra is None:
-                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
-            more_heads, more = extra
-            found = [b"".join([heads.get(line[0]) or more_heads[line[0]],
-                               *[pieces.get(p) or more[p] for p in line[1:]]]) for line in lines]
-        return np.frombuffer(self.newline.join(found), dtype=self.dtype)
-
-    def _learn(self, lines: list[list[str]]) -> tuple[dict[str, bytes], dict[str, bytes]] | None:
-        """Ids of the pieces not yet kept; None if the cuts aren't certain."""
-        heads = {line[0] for line in lines if line[0] not in self.heads}
-        rest = {p for line in lines for p in line[1:] if p not in self.pieces}
-        for p in (*heads, *rest):
-            if not p or len(p) > LONGEST_PIECE or p[0].isspace() or p[-1].isspace():
+        # a line's first piece carries the break before it; the text gets one in front
+        parts = ("\n" + text).replace("\n", " \n").split(" ")
+        found = list(map(self.pieces.get, parts))
+        found[0] = b""
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = ids = self._learn(parts[i])
+                    if ids is None:
+                        return self._array(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return np.frombuffer(b"".join(found), self.dtype)[1:]
+
+    def _learn(self, part: str) -> bytes | None:
+        """Ids of a piece with the space or line break before it; None if the cut isn't certain."""
+        if part.isascii() and part.isalpha() and len(part) <= LONGEST_PIECE:
+            ids = array(self.code, [t.id for t in self.tokenize(SPACE + part)]).tobytes()
+        else:
+            ids = self._mixed(part)
+            if ids is None:
                 return None
-        known = {}
-        for p in rest:
-            stem = p.rstrip(STOPS)
-            if stem != p and stem in self.pieces and stem[-1].isalnum():
-                known[p] = self.pieces[stem] + self._tail(p[len(stem):])
-        rest = [p for p in rest if p not in known]
-        heads = list(heads)
-        found = self._encode_joined(heads, "\n") + self._encode_joined(rest, " ")
-        more_heads = dict(zip(heads, found))
-        more = dict(zip(rest, found[len(heads):]))
-        if len(self.pieces) < KEPT_PIECES:
-            self.pieces.update(more)
-        if len(self.heads) < KEPT_PIECES // 4:
-            self.heads.update(more_heads)
-        more.update(known)
-        return more_heads, more
+        # a piece is kept when it comes a second time
+        slot = hash(part) & SLOTS
+        if not self.seen[slot]:
+            self.seen[slot] = 1
+        elif len(self.pieces) < KEPT_PIECES:
+            self.pieces[part] = ids
+        return ids
+
+    def _mixed(self, part: str) -> bytes | None:
+        """``_learn`` for pieces with a line break before them, stops after them or other characters."""
+        body, before = (part[1:], self.newline) if part[:1] == "\n" else (part, b"")
+        stem = body.rstrip(STOPS)
+        if stem.isalpha() and len(body) <= LONGEST_PIECE and (stem.isascii() or max(stem) < SURE_LETTERS):
+            ids = self.pieces.get(stem) if not before and stem != body else None
+            if ids is None:
+                ids = before + self._word(stem if before else " " + stem)
+            return ids + self._tail(body[len(stem):]) if stem != body else ids
+        if not body or len(body) > LONGEST_PIECE or body[0].isspace() or body[-1].isspace():
+            return None
+        return before + self._bytes(body if before else " " + body)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one pre-token: letters, perhaps with a space before them."""
+        written = word.encode().decode("latin-1").translate(self.written)
+        return array(self.code, [t.id for t in self.tokenize(written)]).tobytes()
 
     def _tail(self, stops: str) -> bytes:
         if stops not in self.tails:
-            ids = self.tokenizer.encode(stops, add_special_tokens=False).ids
-            self.tails[stops] = np.array(ids, dtype=self.dtype).tobytes()
+            self.tails[stops] = self._bytes(stops)
         return self.tails[stops]
 
-    def _encode_joined(self, pieces: list[str], before: str) -> list[bytes]:
-        """Ids of pieces, each with a space before it, or of line heads.
-
-        One call of the library for all: a piece ends where the bytes of its
-        ids reach its own end, and a line break is an id of its own.
-        """
-        if not pieces:
-            return []
-        joined = before + before.join(pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=self.dtype)
-        ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in pieces), np.int64, len(pieces)))
-        cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends) + 1
-        raw, width, at, found = ids.tobytes(), self.dtype.itemsize, 0, []
-        skip = width if before == "\n" else 0
-        for cut in (cuts * width).tolist():
-            found.append(raw[at + skip:cut])
-            at = cut
-        return found
+    def _bytes(self, text: str) -> bytes:
+        return self._array(self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _array(self, ids: list[int]) -> np.ndarray:
+        return np.array(ids, dtype=self.dtype)
