@@ -3,8 +3,10 @@
 Readers match CSV columns by header name and cast them to declared types
 (no inference job); they can tag rows with their
 input position (``_row_pos``) for the operators whose pandas semantics
-depend on row order ("first row wins").  ``monotonically_increasing_id`` is
-assigned per file split in offset order, so it follows the file order.
+depend on row order ("first row wins").  The position is the file's place in
+the sorted list of files, then the split's offset in it, then the row's place
+in the task's run over the split, so it follows the input whatever the order
+in which Spark packs splits into tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +23,9 @@ from pyspark.sql import types as T
 from loanlens.sources.schemas import DOMAIN_TABLES, STRING_COLUMNS
 
 ROW_POS = "_row_pos"
+# fixed values: strings that mean "missing" in CSV input
+MISSING_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+                   "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None,
@@ -31,23 +36,45 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
         # silently mistype files whose column order differs), read as strings
         # (no inference pass) and cast with ANSI-safe try_cast
         df = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+        if with_row_position:
+            df = with_position(df)
+        df = df.replace(MISSING_STRINGS, None)
         if schema is not None:
             df = cast_by_name(df, schema)
     else:
         df = spark.read.parquet(path)
-    if with_row_position:
-        df = df.withColumn(ROW_POS, F.monotonically_increasing_id())
+        if with_row_position:
+            df = with_position(df)
     if limit is not None:  # debug sampling, off by default
         df = df.limit(limit)
     return df
 
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Add ``_row_pos``: file, offset of the split, row, packed into one decimal."""
+    scheme = r"^[^:/]+:/+"  # "file:/a" and "file:///a" are one file
+    files = [(re.sub(scheme, "", f), k) for k, f in enumerate(sorted(df.inputFiles()))]
+    ranks = df.sparkSession.createDataFrame(files, "_file string, _rank long")  # one row for each file
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    wide = T.DecimalType(38, 0)
+    tagged = df.select("*", F.regexp_replace("_metadata.file_path", scheme, "").alias("_path"),
+                       F.col("_metadata.file_block_start").alias("_start"), row.alias("_row"))
+    position = (F.coalesce("_rank", F.lit(0)).cast(T.DecimalType(12, 0)) * F.lit("1" + 25 * "0").cast(T.DecimalType(26, 0))
+                + F.col("_start").cast(T.DecimalType(15, 0)) * F.lit("1" + 10 * "0").cast(T.DecimalType(11, 0))
+                + F.col("_row").cast(T.DecimalType(10, 0)))
+    return (tagged.join(F.broadcast(ranks), F.col("_path") == F.col("_file"), "left")
+            .select(*df.columns, position.cast(wide).alias(ROW_POS)))
+
+
 def cast_by_name(df: DataFrame, schema) -> DataFrame:
     """Declared columns get their declared type; undeclared columns become
     DOUBLE unless they are known string columns (unparsable -> NULL)."""
     declared = {f.name: f.dataType for f in schema.fields}
     out = []
     for c in df.columns:
+        if c == ROW_POS:
+            out.append(F.col(c))
+            continue
         typ = declared.get(c)
         if typ is None:
             typ = T.StringType() if c in STRING_COLUMNS else T.DoubleType()
@@ -69,7 +96,7 @@ def read_tables(spark: SparkSession, data_dir: str, fmt: str = "csv",
 
 def sanitize_name(name: str) -> str:
     """Keep letters, digits and '_' (``A_(B)`` -> ``A_B``, ``X^2`` -> ``X2``)."""
-    return "".join(ch for ch in name if ch.isalnum() or ch == "_")
+    return re.sub(r"\W", "", name)
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
@@ -125,5 +152,5 @@ def write_importances(df: DataFrame, path: str, name_col: str = "feature",
                       value_col: str = "importance") -> None:
     """``name: value`` lines, sorted descending (ties by name)."""
     lines = df.orderBy(F.col(value_col).desc(), F.col(name_col)).select(
-        F.concat_ws(": ", F.col(name_col), F.format_number(F.col(value_col), 6)).alias("value"))
+        F.concat_ws(": ", F.col(name_col), F.format_string("%.6f", F.col(value_col))).alias("value"))
     lines.coalesce(1).write.mode("overwrite").text(path)

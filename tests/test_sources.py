@@ -2,6 +2,7 @@ import os
 import tempfile
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlens.plans.features import combine_applications, split_train_test
 from loanlens.sources import read_features, read_table, write_features, write_importances, write_predictions
@@ -29,3 +30,28 @@ def test_sources_and_sinks_roundtrip(spark):
     write_importances(imp, os.path.join(out, "imp"))
     lines = [r.value for r in spark.read.text(os.path.join(out, "imp")).collect()]
     assert lines == ["b: 3.000000", "a: 1.000000"]
+
+
+def test_row_position_follows_the_files(spark, tmp_path):
+    """Two files of different size: the position orders by file, then by row."""
+    folder = tmp_path / "two"
+    folder.mkdir()
+    (folder / "part-00000.csv").write_text("k\n0\n")
+    (folder / "part-00001.csv").write_text("k\n" + "\n".join(str(i) for i in range(1, 5000)) + "\n")
+    df = read_table(spark, str(folder), fmt="csv", with_row_position=True)
+    assert [int(r.k) for r in df.orderBy("_row_pos").collect()] == list(range(5000))
+
+
+def test_missing_strings_of_csv_are_null(spark, tmp_path):
+    folder = tmp_path / "na"
+    folder.mkdir()
+    (folder / "a.csv").write_text("k,v,s\n1,NaN,NA\n2,1.5,x\n3,,null\n")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType()), T.StructField("s", T.StringType())])
+    rows = read_table(spark, str(folder), schema, fmt="csv").orderBy("k").collect()
+    assert [(r.v, r.s) for r in rows] == [(None, None), (1.5, "x"), (None, None)]
+
+
+def test_importances_are_plain_numbers(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1234.5), ("b", 2.0)], "feature string, importance double")
+    write_importances(df, str(tmp_path / "imp"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "imp")).collect()] == ["a: 1234.500000", "b: 2.000000"]
