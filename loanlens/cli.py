@@ -54,17 +54,20 @@ def run_train(args) -> None:
     feats = [c for c in train.columns if c not in (ID, LABEL)]
     params = BoostParams(max_iter=args.max_rounds, seed=args.seed)
     scores, rounds, imp = cross_validate(train, feats, cats, LABEL, ID, k=args.folds,
-                                         seed=args.seed, smoothing=args.smoothing, params=params)
+                                         seed=args.seed, smoothing=args.smoothing, params=params,
+                                         noise_level=args.noise)
     n_rounds = final_round_count(rounds)
     preds, final_imp, models = train_and_score(train, test, feats, cats, LABEL, ID, n_rounds,
                                                smoothing=args.smoothing, members=args.members,
                                                base=params)
     pred_path = write_predictions(preds, args.out, args.version)
     write_importances(final_imp, os.path.join(args.out, "feature_importances"))
-    top = [r.feature for r in top_importances(mean_importance(imp), 50).collect()]
+    cv_importance = mean_importance(imp)
+    write_importances(cv_importance, os.path.join(args.out, "cv_feature_importances"))
+    top = [r.feature for r in top_importances(cv_importance, 50).collect()]
     save_models(models, os.path.join(args.out, "models"))
     print(json.dumps({"cv_auc": scores, "best_rounds": rounds, "final_rounds": n_rounds,
-                      "predictions": pred_path, "top_cv_features": top[:10],
+                      "predictions": pred_path, "top_cv_features": top,
                       "seconds": round(time.time() - t0, 1)}))
 
 
@@ -84,7 +87,8 @@ def main(argv=None) -> None:
     t.add_argument("--seed", type=int, default=42)
     t.add_argument("--members", type=int, default=7)
     t.add_argument("--smoothing", type=float, default=5.0)
-    t.add_argument("--max-rounds", type=int, default=200)
+    t.add_argument("--max-rounds", type=int, default=10_000)
+    t.add_argument("--noise", type=float, default=0.0, help="multiplicative noise on training encodings")
     t.add_argument("--version", default="v1")
     args = ap.parse_args(argv)
     {"features": run_features, "train": run_train}[args.cmd](args)

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens.session import cut_lineage
@@ -142,8 +142,9 @@ def stratified_folds(df: DataFrame, label: str, id_col: str, k: int, seed: int,
                      out: str = "fold", parts: int | None = None) -> DataFrame:
     """Deterministic stratified k-fold: inside each label, rows are ordered by
     a seeded hash of the id and dealt round-robin into k folds, so every
-    fold gets the same share of each class (+-1 row)."""
-    h = df.select(label, id_col).withColumn("_ll_h", F.xxhash64(F.col(id_col), F.lit(seed))) \
+    fold gets the same share of each class (+-1 row).  Rows that repeat an id
+    share its fold."""
+    h = df.groupBy(id_col).agg(F.max(label).alias(label)).withColumn("_ll_h", F.xxhash64(F.col(id_col), F.lit(seed))) \
         .withColumn("_ll_one", F.lit(1))
     ranked = prefix_counts(h, [label], ["_ll_h", id_col], "_ll_one", parts)
     folds = ranked.select(id_col, F.pmod(F.col("before"), F.lit(k)).cast("int").alias(out))
@@ -169,7 +170,3 @@ def cumulative_by_score(df: DataFrame, score: str, label: str,
                     (F.col("_ll_pb") + F.col("_ll_p")).alias("tp"),
                     (F.col("_ll_qb") + F.col("_ll_q")).alias("fp"),
                     "pos_total", "neg_total")
-
-
-def expr_list(cols: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]

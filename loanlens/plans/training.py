@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.operators.ordered import average_rank, stratified_folds
-from loanlens.operators.target_encoding import (apply_target_encoding, category_key,
-                                                fit_target_encoding, fold_encoding_tables)
+from loanlens.operators.target_encoding import (apply_target_encoding, category_key, fit_target_encoding,
+                                                fold_encoding_tables, hash_normal)
 from loanlens.session import cut_lineage
 
-MISSING = -999.0
+MISSING = -1e30  # below every value of a feature
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,7 @@ class BoostParams:
     feature_subset: str = "0.7"
     max_bins: int = 100
     min_instances: int = 100
-    max_iter: int = 200
+    max_iter: int = 10_000  # early stopping ends the fit
     validation_tol: float = 1e-5
     seed: int = 42
 
@@ -44,7 +44,8 @@ def _assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def _prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Trees here need no NULLs: fill with a sentinel below every value."""
+    """Trees here need no NULLs: fill with a value below every other, which a
+    split can set apart."""
     return df.fillna(MISSING, subset=list(features))
 
 
@@ -62,10 +63,10 @@ def fit_classifier(df: DataFrame, features: Sequence[str], label: str, params: B
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str,
-          out: str = "TARGET") -> DataFrame:
-    """P(default) per row (M7)."""
+          out: str = "TARGET", carry: Sequence[str] = ()) -> DataFrame:
+    """P(default) per row (M7), with the columns to carry."""
     pred = model.transform(_prepare(df, features))
-    return pred.select(id_col, vector_to_array("probability")[1].alias(out))
+    return pred.select(id_col, *carry, vector_to_array("probability")[1].alias(out))
 
 
 def importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
@@ -79,7 +80,7 @@ def auc(df: DataFrame, score_col: str, label: str) -> DataFrame:
     r = average_rank(df.select(score_col, label), score_col, "_rk")
     y = F.col(label)
     a = r.agg(F.sum(F.when(y == 1, F.col("_rk"))).alias("_rp"),
-              F.count_if(y == 1).alias("_p"), F.count_if(y == 0).alias("_n"))
+              F.count_if(y == 1).cast("double").alias("_p"), F.count_if(y == 0).cast("double").alias("_n"))
     return a.select(((F.col("_rp") - F.col("_p") * (F.col("_p") + 1) / 2.0) /
                      (F.col("_p") * F.col("_n"))).alias("AUC"))
 
@@ -104,31 +105,40 @@ def blend_ranks(df: DataFrame, id_col: str, score_cols: Sequence[str], out: str
 
 
 def encode_fold(df: DataFrame, cats: Sequence[str], label: str, fold_col: str, fold: int, k: int,
-                smoothing: float, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+                smoothing: float, tables: dict[str, DataFrame] | None = None,
+                noise_level: float = 0.0, id_col: str | None = None, seed: int = 0) -> DataFrame:
     """Encoding for CV fold ``fold``: tables fitted on the other folds, applied
     to every row (training rows in-sample, held-out rows out-of-fold).
-    ``tables`` (category -> all-fold table) avoids refitting per fold."""
+    ``tables`` (category -> all-fold table) avoids refitting per fold.  Noise
+    goes on known categories of training rows only."""
     x = df
     for c in cats:
         full = tables[c] if tables and c in tables else \
             fold_encoding_tables(df, c, label, fold_col, k, smoothing)
         t = full.where(F.col("fold") == fold)
         prior = t.select("prior").limit(1)
+        enc = F.col("enc")
+        if noise_level > 0:
+            if id_col is None:
+                raise ValueError("noise needs an id column to stay reproducible")
+            noisy = enc * (F.lit(1.0) + F.lit(noise_level) * hash_normal(id_col, seed))
+            enc = F.when(F.col(fold_col) == fold, enc).otherwise(noisy)
         x = (x.withColumn("_cat_key", category_key(c))
              .join(t.select("_cat_key", "enc"), "_cat_key", "left")
              .crossJoin(F.broadcast(prior))
-             .withColumn(f"{c}_ENCODED", F.coalesce("enc", "prior"))
+             .withColumn(f"{c}_ENCODED", F.coalesce(enc, "prior"))
              .drop("_cat_key", "enc", "prior", c))
     return x
 
 
 def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str], label: str,
                    id_col: str, k: int = 8, seed: int = 42, smoothing: float = 5.0,
-                   params: BoostParams = BoostParams()):
-    """Stratified k-fold CV (M1, M4): returns (fold AUCs, best round per
-    fold, importances frame with a fold column).  Each fold's booster stops
-    early on its held-out rows; Spark keeps the best iteration, so the
-    number of trees is the fold's best round."""
+                   params: BoostParams = BoostParams(), noise_level: float = 0.0):
+    """Stratified k-fold CV (M1, M4): returns (fold metrics, best round per
+    fold, importances frame with a fold column).  A fold's metrics are its
+    ``train_auc`` and ``valid_auc``.  Each fold's booster stops early on its
+    held-out rows; Spark keeps the best iteration, so the number of trees is
+    the fold's best round."""
     spark = df.sparkSession
     folded = stratified_folds(df, label, id_col, k, seed)
     scores, rounds, rows = [], [], []
@@ -138,12 +148,12 @@ def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str],
     tables = {c: cut_lineage(fold_encoding_tables(folded, c, label, "fold", k, smoothing))
               for c in cats}
     for f in range(k):
-        enc = encode_fold(folded, cats, label, "fold", f, k, smoothing, tables)
+        enc = encode_fold(folded, cats, label, "fold", f, k, smoothing, tables, noise_level, id_col, seed)
         enc = enc.withColumn("_is_val", F.col("fold") == f)
         model = fit_classifier(enc, feats, label, params, validation_col="_is_val")
-        val = score(model, enc.where(F.col("_is_val")), feats, id_col, "_p") \
-            .join(enc.select(id_col, label), id_col)
-        scores.append(auc(val, "_p", label).first()["AUC"])
+        rated = cut_lineage(score(model, enc, feats, id_col, "_p", [label, "_is_val"]))
+        scores.append({name: auc(rated.where(F.col("_is_val") == held), "_p", label).first()["AUC"]
+                       for name, held in (("train_auc", False), ("valid_auc", True))})
         rounds.append(model.stages[-1].getNumTrees)
         rows += [(f, n, v) for n, v in importances(model, feats)]
     imp = spark.createDataFrame(rows, "fold int, feature string, importance double")
@@ -165,22 +175,17 @@ def top_importances(imp: DataFrame, n: int = 50) -> DataFrame:
     return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(n)
 
 
-def ensemble_params(base: BoostParams, members: int = 7) -> list[BoostParams]:
-    """Members 1..n: seed i; from the second on, sampling fractions shrink by
-    0.02*i (floor 0.5) and the step size alternates +-10 % (M6)."""
-    out = []
-    for i in range(1, members + 1):
-        p = replace(base, seed=i)
-        if i > 1:
-            frac = max(0.5, float(base.feature_subset) - 0.02 * i)
-            p = replace(p, feature_subset=f"{frac:.2f}",
-                        subsampling_rate=max(0.5, base.subsampling_rate - 0.02 * i))
-            if i % 3 == 0:
-                p = replace(p, step_size=base.step_size * 0.9)
-            elif i % 3 == 1:
-                p = replace(p, step_size=base.step_size * 1.1)
-        out.append(p)
-    return out
+# The ensemble's members (seed, feature share, row share, factor of the step).
+ENSEMBLE = [
+    (1, 0.70, 0.70, 1.0), (2, 0.66, 0.66, 1.0), (3, 0.64, 0.64, 0.9), (4, 0.62, 0.62, 1.1),
+    (5, 0.60, 0.60, 1.0), (6, 0.58, 0.58, 0.9), (7, 0.56, 0.56, 1.1),
+]
+
+
+def ensemble_params(base: BoostParams, members: int = len(ENSEMBLE)) -> list[BoostParams]:
+    """The settings of the first ``members`` rows of ``ENSEMBLE`` on top of ``base`` (M6)."""
+    return [replace(base, seed=seed, feature_subset=str(columns), subsampling_rate=rows, step_size=base.step_size * step)
+            for seed, columns, rows, step in ENSEMBLE[:members]]
 
 
 def train_and_score(train: DataFrame, test: DataFrame, features: Sequence[str], cats: Sequence[str],

@@ -1,10 +1,13 @@
+import random
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
 from loanlens.operators.target_encoding import hash_normal
-from loanlens.plans.training import (BoostParams, auc, blend_ranks, ensemble_params,
-                                     final_round_count, top_importances)
+from loanlens.operators.ordered import stratified_folds
+from loanlens.plans.training import (BoostParams, auc, blend_ranks, cross_validate, ensemble_params,
+                                     final_round_count, top_importances, train_and_score)
 
 
 def test_blend_ranks_matches_pandas(spark):
@@ -57,3 +60,29 @@ def test_encode_fold_with_precomputed_tables(spark):
         a = {r.id: r.c_ENCODED for r in encode_fold(df, ["c"], "y", "fold", f, 3, 2.0).collect()}
         b = {r.id: r.c_ENCODED for r in encode_fold(df, ["c"], "y", "fold", f, 3, 2.0, tables).collect()}
         assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+
+
+def test_cross_validation_and_scoring_on_a_small_frame(spark):
+    """Negative day columns with missing values; noise on training encodings only."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(400):
+        y = int(rng.random() < 0.4)
+        rows.append((i, y if i < 300 else None, None if i % 11 == 0 else -20000.0 + 9000 * y + rng.random() * 2000,
+                     "ab"[int(rng.random() < 0.3 + 0.4 * y)]))
+    df = spark.createDataFrame(rows, "id long, y int, days double, cat string")
+    train, test = df.where("y IS NOT NULL"), df.where("y IS NULL")
+    base = BoostParams(min_instances=5, max_iter=4, max_depth=3)
+    for noise in (0.0, 0.01):
+        folds, rounds, imp = cross_validate(train, ["days", "cat"], ["cat"], "y", "id", k=2, params=base, noise_level=noise)
+        assert len(folds) == 2 and all(f["valid_auc"] > 0.9 and f["train_auc"] > 0.9 for f in folds)
+        assert all(1 <= r <= 4 for r in rounds) and imp.count() == 4
+    preds, importance, models = train_and_score(train, test, ["days", "cat"], ["cat"], "y", "id", 3, members=2, base=base)
+    got = preds.collect()
+    assert len(got) == 100 and min(r.TARGET for r in got) == 0 and max(r.TARGET for r in got) == 1
+    assert len(models) == 2 and importance.count() == 2
+
+
+def test_folds_keep_repeated_ids(spark):
+    df = spark.createDataFrame([(i % 50, i % 2) for i in range(100)], "id long, y int")
+    assert stratified_folds(df, "y", "id", 5, 1).count() == 100
