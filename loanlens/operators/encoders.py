@@ -2,8 +2,8 @@
 median imputation, degree-2 polynomial, group-statistic recipes.
 
 Fitting steps that decide *column names* (one-hot value lists) are the only
-driver collects, and they are of distinct category values with a hard cap:
-exceeding it raises instead of silently dropping values.
+driver collects: the distinct values of a column, of which each becomes a
+column.  Which columns are encoded so is configuration, never a matter of size.
 """
 
 from __future__ import annotations
@@ -16,33 +16,15 @@ from pyspark.sql import functions as F
 
 from loanlens.operators.stats import global_mean_std, global_medians
 
-DEFAULT_MAX_CATEGORIES = 1000
 
-
-def fit_categories(df: DataFrame, cols: Sequence[str],
-                   max_values: int = DEFAULT_MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted distinct non-NULL values per column, in two small jobs for all
-    columns together: a sketch-based cardinality guard first (so an
-    unexpectedly high-cardinality column fails before anything is
-    collected), then one ``collect_set`` aggregate (partial aggregation;
-    bounded by the guard)."""
+def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
+    """Sorted distinct non-NULL values per column, in one job for all columns
+    (``collect_set`` combines on the map side)."""
     cols = list(cols)
     if not cols:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(c, 0.05).alias(f"_n{i}")
-                      for i, c in enumerate(cols)]).first()
-    too_many = [c for i, c in enumerate(cols) if approx[f"_n{i}"] > max_values * 1.2]
-    if too_many:
-        raise ValueError(f"columns {too_many} have more than {max_values} categories; "
-                         "pass explicit value lists or raise max_values")
     row = df.agg(*[F.sort_array(F.collect_set(c)).alias(f"_v{i}") for i, c in enumerate(cols)]).first()
-    out = {}
-    for i, c in enumerate(cols):
-        vals = list(row[f"_v{i}"])
-        if len(vals) > max_values:
-            raise ValueError(f"column {c!r} has more than {max_values} categories")
-        out[c] = vals
-    return out
+    return {c: list(row[f"_v{i}"]) for i, c in enumerate(cols)}
 
 
 def value_label(v) -> str:
@@ -145,7 +127,7 @@ Recipe = tuple[Sequence[str], Sequence[tuple[str, str]]]
 
 
 def recipe_name(keys: Sequence[str], col: str, agg: str) -> str:
-    return "{}_{}_{}".format("_".join(keys), agg.upper(), col)
+    return "_".join([*keys, agg.upper(), col])
 
 
 def add_group_statistics(df: DataFrame, recipes: Sequence[Recipe],

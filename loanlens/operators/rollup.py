@@ -107,11 +107,6 @@ def conditional_rollup(df: DataFrame, key: str | Sequence[str],
     return df.groupBy(*keys).agg(*exprs)
 
 
-def ratio_columns(pairs: Sequence[tuple[str, str, str]], division) -> list[Column]:
-    """[(out_name, numerator_col, denominator_col)] -> aliased ratio columns."""
-    return [division(F.col(n), F.col(d)).alias(o) for o, n, d in pairs]
-
-
 def spec_names(spec: Spec, namer: Namer) -> list[str]:
     return [namer(c, s) for c, stats in spec.items() for s in stats]
 

@@ -66,15 +66,6 @@ def apply_target_encoding(df: DataFrame, cat: str, table: DataFrame, prior: Data
     return j.select(*keep, enc.alias(out))
 
 
-def target_encode(train: DataFrame, test: DataFrame, cat: str, label: str, out: str,
-                  smoothing: float = 1.0, noise_level: float = 0.0,
-                  id_col: str | None = None, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """The reference's ``target_encode(train, test, target, ...)`` as two frames."""
-    table, prior = fit_target_encoding(train, cat, label, smoothing)
-    return (apply_target_encoding(train, cat, table, prior, out, noise_level, id_col, seed),
-            apply_target_encoding(test, cat, table, prior, out))
-
-
 def fold_encoding_tables(df: DataFrame, cat: str, label: str, fold: str, k: int,
                          smoothing: float = 1.0) -> DataFrame:
     """For every held-out fold f, the encoding fitted on the other k-1 folds:

@@ -7,12 +7,13 @@ aggregates; none collects rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlens.functions.cleaning import NUMERIC_TYPES
+from loanlens.functions.cleaning import NUMERIC_TYPES, flag
 from loanlens.operators.ordered import cumulative_by_score
 
 # Risk bands (upper bounds, label, decision).
@@ -20,22 +21,31 @@ RISK_BANDS = [(0.3, "Low", "Approve"), (0.7, "Medium", "Review"), (None, "High",
 
 
 def overview(df: DataFrame, target: str) -> DataFrame:
-    """Rows, labelled rows, default rate, class counts."""
+    """Rows, columns, labelled rows, default rate, class counts."""
     y = F.col(target)
-    return df.agg(F.count(F.lit(1)).alias("ROWS_TOTAL"), F.count(y).alias("ROWS_LABELLED"),
+    return df.agg(F.lit(len(df.columns)).cast("long").alias("N_COLUMNS"), F.count(F.lit(1)).alias("ROWS_TOTAL"), F.count(y).alias("ROWS_LABELLED"),
                   F.round(F.avg(y.cast("double")), 6).alias("TARGET_RATE"),
                   F.count_if(y == 1).alias("TARGET_1"), F.count_if(y == 0).alias("TARGET_0"))
 
 
 def feature_types(df: DataFrame) -> DataFrame:
-    """Numeric / categorical / binary column counts (D2): binary = numeric
-    with exactly two distinct non-NULL values (one aggregate job)."""
+    """Numeric / categorical / binary column counts and their shares (D2):
+    binary = numeric with exactly two distinct non-NULL values, that is, with
+    no value between the least and the greatest (two plain aggregates)."""
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    binary = sum((F.when(F.count_distinct(c) == 2, 1).otherwise(0) for c in numeric), F.lit(0))
-    return df.agg(F.lit(len(numeric)).cast("long").alias("N_NUMERIC"),
-                  F.lit(len(strings)).cast("long").alias("N_CATEGORICAL"),
-                  binary.cast("long").alias("N_BINARY"))
+    place = {c: k for k, c in enumerate(numeric)}
+    ends = df.agg(*[f(c).alias(f"_{n}{place[c]}") for c in numeric for n, f in (("lo", F.min), ("hi", F.max))], F.lit(1).alias("_one"))
+    between = [F.count_if((F.col(c) != F.col(f"_lo{k}")) & (F.col(c) != F.col(f"_hi{k}"))).alias(f"_b{k}") for c, k in place.items()]
+    rest = df.crossJoin(F.broadcast(ends)).agg(F.count(F.lit(1)).alias("_n"), *between)  # one row
+    binary = sum((F.when((F.col(f"_b{k}") == 0) & (F.col(f"_lo{k}") < F.col(f"_hi{k}")), 1).otherwise(0)
+                  for k in place.values()), F.lit(0)).cast("long")
+    total = F.lit(float(max(1, len(df.columns))))
+    counts = ends.crossJoin(F.broadcast(rest)).select(  # one row each
+        F.lit(len(numeric)).cast("long").alias("N_NUMERIC"), F.lit(len(strings)).cast("long").alias("N_CATEGORICAL"),
+        binary.alias("N_BINARY"))
+    return counts.select("*", *[F.round(F.col(f"N_{k}") / total, 6).alias(f"SHARE_{k}")
+                                for k in ("NUMERIC", "CATEGORICAL", "BINARY")])
 
 
 def histogram(df: DataFrame, col: str, start: float, width: float, bins: int) -> DataFrame:
@@ -54,9 +64,10 @@ def category_share(df: DataFrame, col: str) -> DataFrame:
 
 def correlations(df: DataFrame, cols: Sequence[str],
                  pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
-    """Pearson correlation of column pairs in one aggregate."""
+    """Pearson correlation of column pairs in one aggregate (D6); all pairs of
+    ``cols`` unless given, so name the columns of a wide table."""
     if pairs is None:
-        pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+        pairs = list(combinations(cols, 2))
     return df.agg(*[F.round(F.corr(a, b), 6).alias(f"CORR_{a}_{b}") for a, b in pairs])
 
 
@@ -79,6 +90,19 @@ def roc_points(df: DataFrame, score: str, label: str) -> DataFrame:
                     F.round(F.col("fp") / F.col("neg_total"), 6).alias("FPR"))
 
 
+def model_table(df: DataFrame, label: str, scores: Mapping[str, str], threshold: float = 0.5) -> DataFrame:
+    """One row per model (name -> score column): AUC, precision, recall, F1."""
+    from loanlens.plans.training import auc
+    out = None
+    for name, col in scores.items():
+        rows = df.where(F.col(label).isNotNull() & F.col(col).isNotNull()).select(
+            F.col(col).alias("_s"), F.col(label).alias("_y"), flag(F.col(col) >= threshold).alias("_p"))
+        one = auc(rows, "_s", "_y").crossJoin(F.broadcast(confusion_metrics(rows, "_p", "_y"))).select(  # one row each
+            F.lit(name).alias("MODEL"), F.round("AUC", 6).alias("AUC"), "PRECISION", "RECALL", "F1")
+        out = one if out is None else out.union(one)
+    return out
+
+
 def risk_band(df: DataFrame, prob: str) -> DataFrame:
     """Risk band and decision from a default probability."""
     p = F.col(prob)

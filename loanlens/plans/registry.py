@@ -566,6 +566,29 @@ def auc_by_model(spark, sf):
     return a1.unionByName(a2).select("model", R("AUC", 6).alias("AUC"))
 
 
+@register("d11_model_table", f"""
+WITH d AS (SELECT CAST(n_chars AS DOUBLE) / 10000 AS a, CAST(doc_id % 100 AS DOUBLE) / 100 AS b, quality
+           FROM ({_DOCS_SQL}) WHERE quality IS NOT NULL),
+s AS (SELECT 'length' AS model, a AS score, quality FROM d UNION ALL SELECT 'id', b, quality FROM d),
+r AS (SELECT *, rank() OVER (PARTITION BY model ORDER BY score)
+                + (count(*) OVER (PARTITION BY model, score) - 1) / 2.0 AS rk FROM s),
+c AS (SELECT model, sum(rk) FILTER (WHERE quality = 1) AS rp, count(*) FILTER (WHERE quality = 1) AS p,
+             count(*) FILTER (WHERE quality = 0) AS n,
+             count(*) FILTER (WHERE score >= 0.5 AND quality = 1) AS tp, count(*) FILTER (WHERE score >= 0.5 AND quality = 0) AS fp
+      FROM r GROUP BY model)
+SELECT model AS MODEL, round((rp - p * (p + 1) / 2.0) / (p * n), 6) AS AUC,
+  round(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END, 6) AS "PRECISION",
+  round(CASE WHEN p > 0 THEN CAST(tp AS DOUBLE) / p END, 6) AS RECALL,
+  round(CASE WHEN p + tp + fp > 0 THEN 2.0 * tp / (p + tp + fp) END, 6) AS F1
+FROM c
+""")
+def model_table_q(spark, sf):
+    from loanlens.plans.profile import model_table
+    d = _docs(spark, sf).select("quality", (F.col("n_chars").cast("double") / 10000).alias("length"),
+                                ((F.col("doc_id") % 100).cast("double") / 100).alias("id"))
+    return model_table(d, "quality", {"length": "length", "id": "id"})
+
+
 # ---------------------------------------------------------------------------
 # Union by name with a missing column, then train/test split
 # ---------------------------------------------------------------------------
@@ -651,7 +674,8 @@ def row_expressions(spark, sf):
 # ---------------------------------------------------------------------------
 @register("d1_d5_overview", f"""
 WITH d AS ({_DOCS_SQL})
-SELECT CAST(count(*) AS BIGINT) AS ROWS_TOTAL, CAST(count(quality) AS BIGINT) AS ROWS_LABELLED,
+SELECT CAST(5 AS BIGINT) AS N_COLUMNS,
+       CAST(count(*) AS BIGINT) AS ROWS_TOTAL, CAST(count(quality) AS BIGINT) AS ROWS_LABELLED,
        round(avg(quality), 6) AS TARGET_RATE,
        CAST(count(*) FILTER (WHERE quality = 1) AS BIGINT) AS TARGET_1,
        CAST(count(*) FILTER (WHERE quality = 0) AS BIGINT) AS TARGET_0
@@ -683,14 +707,15 @@ def category_share_q(spark, sf):
 @register("d6_correlation", """
 SELECT round(corr(l_quantity, l_extendedprice), 6) AS CORR_l_quantity_l_extendedprice,
        round(corr(l_discount, l_tax), 6) AS CORR_l_discount_l_tax,
-       round(corr(l_extendedprice, l_tax), 6) AS CORR_l_extendedprice_l_tax
+       round(corr(l_extendedprice, l_tax), 6) AS CORR_l_extendedprice_l_tax,
+       round(corr(l_quantity, l_discount), 6) AS CORR_l_quantity_l_discount,
+       round(corr(l_quantity, l_tax), 6) AS CORR_l_quantity_l_tax,
+       round(corr(l_extendedprice, l_discount), 6) AS CORR_l_extendedprice_l_discount
 FROM lineitem
 """)
 def correlation_q(spark, sf):
     from loanlens.plans.profile import correlations
-    return correlations(_t(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                        pairs=[("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"),
-                               ("l_extendedprice", "l_tax")])
+    return correlations(_t(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
 
 @register("d7_confusion_metrics", f"""
@@ -760,6 +785,11 @@ ORACLE["d12_missing_profile"] = _missing_sql().strip()
 
 @register("d2_feature_types", """
 SELECT CAST(4 AS BIGINT) AS N_NUMERIC, CAST(2 AS BIGINT) AS N_CATEGORICAL,
+  round(4 / 6.0, 6) AS SHARE_NUMERIC, round(2 / 6.0, 6) AS SHARE_CATEGORICAL,
+  round(((CASE WHEN count(DISTINCT c_custkey) = 2 THEN 1 ELSE 0 END)
+     + (CASE WHEN count(DISTINCT c_nationkey) = 2 THEN 1 ELSE 0 END)
+     + (CASE WHEN count(DISTINCT c_acctbal) = 2 THEN 1 ELSE 0 END)
+     + (CASE WHEN count(DISTINCT c_custkey % 2) = 2 THEN 1 ELSE 0 END)) / 6.0, 6) AS SHARE_BINARY,
   CAST((CASE WHEN count(DISTINCT c_custkey) = 2 THEN 1 ELSE 0 END)
      + (CASE WHEN count(DISTINCT c_nationkey) = 2 THEN 1 ELSE 0 END)
      + (CASE WHEN count(DISTINCT c_acctbal) = 2 THEN 1 ELSE 0 END)
@@ -858,7 +888,7 @@ def ensemble_q(spark, sf):
     tr, te = d.where(F.col("quality").isNotNull()), d.where(F.col("quality").isNull())
     preds, _imp, _models = train_and_score(
         tr, te, ["n_chars", "n_lines", "lang", "source"], ["lang", "source"], "quality", "doc_id",
-        rounds=5, members=3, base=BoostParams(min_instances=5, max_iter=5))
+        rounds=10, members=7, base=BoostParams(min_instances=5))
     return preds
 
 

@@ -7,7 +7,7 @@ fills in settings that are still unset, so a cluster's
 
 from __future__ import annotations
 
-import os
+
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,7 +81,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), name)

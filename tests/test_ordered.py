@@ -67,3 +67,11 @@ def test_moments_reference_values(spark):
     assert r[2].s is None and r[2].c == 0.0  # constant group
     assert r[3].u is None  # 3 rows (NULL counted) -> no kurtosis
     assert r[3].s is None or np.isfinite(r[3].s)
+
+
+def test_latest_pick_of_an_unknown_recency_is_null(spark):
+    from loanlens.operators.latest import By, pick_per_group
+    df = spark.createDataFrame([(1, None, 5, "A"), (1, None, 4, "B"), (2, 3, 1, "C"), (2, 3, 0, "D"), (2, None, -1, "E")],
+                               "k int, t int, pos int, c string")
+    got = pick_per_group(df, "k", [By("t", "max", "lose"), By("pos", "min")], ["c"], known_only=True).collect()
+    assert {r.k: r.c for r in got} == {1: None, 2: "D"}
