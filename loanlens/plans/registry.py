@@ -870,7 +870,9 @@ def card_q(spark, sf):
 @register("x1_x11_e2_application_features")
 def application_q(spark, sf):
     from loanlens.plans.application import application_features
-    return application_features(_domain(spark, sf)["application"])
+    # every value of the encoded columns, so that the width doesn't hang on the sample
+    out = application_features(_domain(spark, sf)["application"], wide_checks.CATEGORIES)
+    return out.withColumn(f"Z_{wide_checks.NOISE}", F.lit(None).cast("double"))
 
 
 @register("s4_p10_full_feature_build")

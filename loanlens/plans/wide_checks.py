@@ -499,7 +499,199 @@ def legacy_sql() -> str:
     return _query(ctes, out, "customer LEFT JOIN agg ON customer.c_custkey = agg.SK_ID_CURR", None)
 
 
+# -- application --------------------------------------------------------------
+def _unless(cond: str, x: str) -> str:
+    return f"CASE WHEN {cond} THEN NULL ELSE {x} END"
+
+
+_K, _CREDIT = "c_custkey", "(abs(c_acctbal) * 40 + 50000)"
+# column: SQL over customer and nation, sentinels already empty
+_APPLICATION = {
+    "TARGET": _unless(f"{_K} % 4 = 3", "CASE WHEN c_acctbal < 2500 THEN 1 ELSE 0 END"),
+    "NAME_CONTRACT_TYPE": f"CASE WHEN {_K} % 3 = 0 THEN 'Revolving loans' ELSE 'Cash loans' END",
+    "CODE_GENDER": "CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END",
+    "FLAG_OWN_CAR": f"CASE WHEN {_K} % 2 = 0 THEN 'Y' ELSE 'N' END",
+    "FLAG_OWN_REALTY": f"CASE WHEN {_K} % 5 < 3 THEN 'Y' ELSE 'N' END",
+    "NAME_TYPE_SUITE": _unless(f"{_K} % 7 = 0", f"'suite_' || CAST({_K} % 3 AS VARCHAR)"),
+    "NAME_INCOME_TYPE": _unless(f"{_K} % 50 = 1", f"'income_' || CAST({_K} % 4 AS VARCHAR)"),
+    "NAME_EDUCATION_TYPE": "c_mktsegment",
+    "NAME_FAMILY_STATUS": _unless(f"{_K} % 40 = 2", f"'family_' || CAST({_K} % 3 AS VARCHAR)"),
+    "NAME_HOUSING_TYPE": f"'housing_' || CAST({_K} % 2 AS VARCHAR)",
+    "OCCUPATION_TYPE": _unless(f"{_K} % 9 = 0", "n_name"),
+    "WEEKDAY_APPR_PROCESS_START": f"'DAY_' || CAST({_K} % 7 AS VARCHAR)",
+    "ORGANIZATION_TYPE": "'ORG_' || CAST(n_regionkey AS VARCHAR)",
+    "FONDKAPREMONT_MODE": _unless(f"{_K} % 6 = 0", "'reg oper account'"),
+    "WALLSMATERIAL_MODE": f"'wall_' || CAST({_K} % 3 AS VARCHAR)",
+    "CNT_CHILDREN": f"{_K} % 4", "AMT_INCOME_TOTAL": "abs(c_acctbal) * 10 + 25000", "AMT_CREDIT": _CREDIT,
+    "AMT_ANNUITY": _unless(f"{_K} % 13 = 0", f"{_CREDIT} / 20"),
+    "AMT_GOODS_PRICE": _unless(f"{_K} % 11 = 0", f"{_CREDIT} * 0.9"),
+    "REGION_POPULATION_RELATIVE": f"({_K} % 100) / 1000.0", "DAYS_BIRTH": f"-(7000 + ({_K} * 37) % 18000)",
+    "DAYS_EMPLOYED": _unless(f"{_K} % 10 = 0", f"-(({_K} * 13) % 9000)"), "DAYS_REGISTRATION": f"-(({_K} * 7) % 12000)",
+    "DAYS_ID_PUBLISH": f"-(({_K} * 17) % 6000)", "OWN_CAR_AGE": _unless(f"{_K} % 8 = 0", f"CAST({_K} % 20 AS DOUBLE)"),
+    "CNT_FAM_MEMBERS": f"CAST(({_K} % 4) + 1 + c_nationkey % 2 AS DOUBLE)", "REGION_RATING_CLIENT": "n_regionkey % 3 + 1",
+    "REGION_RATING_CLIENT_W_CITY": _unless(f"{_K} % 30 = 5", "n_regionkey % 3 + 1"),
+    "REG_CITY_NOT_WORK_CITY": "CASE WHEN c_nationkey % 3 = 0 THEN 1 ELSE 0 END",
+    "EXT_SOURCE_1": _unless(f"{_K} % 5 = 0", f"(({_K} * 31) % 1000) / 1000.0"),
+    "EXT_SOURCE_2": _unless(f"{_K} % 17 = 0", f"(({_K} * 53) % 1000) / 1000.0"),
+    "EXT_SOURCE_3": _unless(f"{_K} % 7 = 1", f"(({_K} * 71) % 1000) / 1000.0"),
+    **{f"{c}_AVG": f"({_K} % {m}) / {d}" for c, m, d in (
+        ("APARTMENTS", 97, "100.0"), ("BASEMENTAREA", 89, "100.0"), ("YEARS_BUILD", 83, "100.0"), ("ELEVATORS", 5, "10.0"),
+        ("FLOORSMAX", 7, "10.0"), ("LANDAREA", 9, "10.0"), ("LIVINGAPARTMENTS", 11, "10.0"), ("LIVINGAREA", 13, "10.0"),
+        ("NONLIVINGAREA", 3, "10.0"))},
+    "OBS_30_CNT_SOCIAL_CIRCLE": f"CAST({_K} % 6 AS DOUBLE)", "DEF_30_CNT_SOCIAL_CIRCLE": f"CAST({_K} % 2 AS DOUBLE)",
+    "OBS_60_CNT_SOCIAL_CIRCLE": f"CAST({_K} % 5 AS DOUBLE)",
+    "DEF_60_CNT_SOCIAL_CIRCLE": f"CASE WHEN {_K} % 3 = 0 THEN 1.0 ELSE 0.0 END",
+    "DAYS_LAST_PHONE_CHANGE": _unless(f"{_K} % 15 = 0 OR ({_K} * 3) % 3000 = 0", f"-CAST(({_K} * 3) % 3000 AS DOUBLE)"),
+    "FLAG_DOCUMENT_2": f"{_K} % 2", "FLAG_DOCUMENT_3": f"({_K} + 1) % 2",
+    **{f"AMT_REQ_CREDIT_BUREAU_{c}": _unless(f"{_K} % 12 = 0", f"CAST({_K} % {m} AS DOUBLE)") for c, m in (
+        ("HOUR", 2), ("DAY", 3), ("WEEK", 2), ("MON", 4), ("QRT", 5), ("YEAR", 6))},
+}
+# fixed values of the crosswalk: every value of the encoded columns
+
+
+def _numbered(prefix: str, n: int) -> list[str]:
+    return sorted(f"{prefix}{k}" for k in range(n))
+
+
+def _numbers(n: int, first: int = 0) -> list[float]:
+    return [float(k) for k in range(first, first + n)]
+
+
+CATEGORIES = {
+    "NAME_CONTRACT_TYPE": ["Cash loans", "Revolving loans"], "CODE_GENDER": ["F", "M"], "FLAG_OWN_CAR": ["N", "Y"],
+    "FLAG_OWN_REALTY": ["N", "Y"], "NAME_INCOME_TYPE": _numbered("income_", 4),
+    "NAME_EDUCATION_TYPE": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "NAME_FAMILY_STATUS": _numbered("family_", 3), "NAME_HOUSING_TYPE": _numbered("housing_", 2),
+    "REGION_RATING_CLIENT": [1, 2, 3], "REGION_RATING_CLIENT_W_CITY": [1, 2, 3],
+    "WEEKDAY_APPR_PROCESS_START": _numbered("DAY_", 7), "ORGANIZATION_TYPE": _numbered("ORG_", 5),
+    "NAME_TYPE_SUITE": _numbered("suite_", 3), "OCCUPATION_TYPE": _numbered("NATION_", 25),
+    "WALLSMATERIAL_MODE": _numbered("wall_", 3), "FONDKAPREMONT_MODE": ["reg oper account"],
+    "OBS_30_CNT_SOCIAL_CIRCLE": _numbers(6), "DEF_30_CNT_SOCIAL_CIRCLE": _numbers(2),
+    "OBS_60_CNT_SOCIAL_CIRCLE": _numbers(5), "DEF_60_CNT_SOCIAL_CIRCLE": _numbers(2),
+    "AMT_REQ_CREDIT_BUREAU_DAY": _numbers(3), "AMT_REQ_CREDIT_BUREAU_HOUR": _numbers(2),
+    "AMT_REQ_CREDIT_BUREAU_WEEK": _numbers(2), "AMT_REQ_CREDIT_BUREAU_MON": _numbers(4),
+    "AMT_REQ_CREDIT_BUREAU_QRT": _numbers(5), "AMT_REQ_CREDIT_BUREAU_YEAR": _numbers(6), "CNT_CHILDREN": [0, 1, 2, 3],
+    "CNT_FAM_MEMBERS": _numbers(5, 1), "OWN_CAR_AGE": _numbers(20),
+}
+NOISE = "RATIO_AMT_CREDIT_TO_AMT_GOODS_PRICE"
+_KEPT = ["CNT_CHILDREN", "CNT_FAM_MEMBERS", "OWN_CAR_AGE", "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE",
+         "OBS_60_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"] + [c for c in _APPLICATION if c.startswith("AMT_REQ_")]
+_GROUPS = [
+    ("CODE_GENDER NAME_EDUCATION_TYPE", "AMT_ANNUITY: max\nAMT_CREDIT: max\nEXT_SOURCE_1: mean\nEXT_SOURCE_2: mean\nOWN_CAR_AGE: max sum"),
+    ("CODE_GENDER ORGANIZATION_TYPE", "AMT_ANNUITY: mean\nAMT_INCOME_TOTAL: mean\nDAYS_REGISTRATION: mean\nEXT_SOURCE_1: mean"),
+    ("CODE_GENDER REG_CITY_NOT_WORK_CITY", "AMT_ANNUITY: mean\nCNT_CHILDREN: mean\nDAYS_ID_PUBLISH: mean"),
+    ("CODE_GENDER NAME_EDUCATION_TYPE OCCUPATION_TYPE REG_CITY_NOT_WORK_CITY", "EXT_SOURCE_1: mean\nEXT_SOURCE_2: mean"),
+    ("NAME_EDUCATION_TYPE OCCUPATION_TYPE", "\n".join(f"{c}: mean" for c in (
+        "AMT_CREDIT AMT_REQ_CREDIT_BUREAU_YEAR APARTMENTS_AVG BASEMENTAREA_AVG EXT_SOURCE_1 EXT_SOURCE_2 EXT_SOURCE_3 "
+        "NONLIVINGAREA_AVG OWN_CAR_AGE YEARS_BUILD_AVG").split())),
+    ("NAME_EDUCATION_TYPE OCCUPATION_TYPE REG_CITY_NOT_WORK_CITY", "ELEVATORS_AVG: mean\nEXT_SOURCE_1: mean"),
+    ("OCCUPATION_TYPE", "\n".join(f"{c}: mean" for c in (
+        "AMT_ANNUITY CNT_CHILDREN CNT_FAM_MEMBERS DAYS_BIRTH DAYS_EMPLOYED DAYS_ID_PUBLISH DAYS_REGISTRATION EXT_SOURCE_1 "
+        "EXT_SOURCE_2 EXT_SOURCE_3").split())),
+]
+_AGE, _JOB, _EXT = "AGE_YEARS", "YEARS_EMPLOYED", ["EXT_SOURCE_1", "EXT_SOURCE_2", "EXT_SOURCE_3"]
+_MONEY = {"CREDIT": "AMT_CREDIT", "INCOME": "AMT_INCOME_TOTAL", "ANNUITY": "AMT_ANNUITY", "GOODS": "AMT_GOODS_PRICE"}
+
+
+def _one_more(a: str, b: str) -> str:
+    return _over(a, f"(1.0 + {b})")
+
+
+def _application_ratios() -> list[tuple[str, str]]:
+    credit, income, annuity, goods = _MONEY.values()
+    out = [(f"RATIO_{credit}_TO_{goods}", _over(credit, goods)), (f"RATIO_{credit}_TO_{income}", _one_more(credit, income)),
+           (f"RATIO_{credit}_TO_{annuity}", _over(credit, annuity)),
+           (f"RATIO_{credit}_TO_EXT_SOURCE_MEAN", _one_more(credit, "EXT_SOURCE_MEAN")),
+           (f"RATIO_{annuity}_{credit}", _over(annuity, credit)), (f"RATIO_{annuity}_TO_{goods}", _over(annuity, goods)),
+           (f"RATIO_{annuity}_TO_{income}", _one_more(annuity, income)), (f"RATIO_{income}_TO_{credit}", _one_more(income, credit)),
+           (f"RATIO_{income}_TO_{annuity}", _over(income, annuity)), (f"RATIO_{income}_TO_{goods}", _over(income, goods)),
+           (f"RATIO_{income}_TO_AGE_YEARS", _one_more(income, _AGE)), (f"RATIO_{income}_TO_EMPLOYED_YEARS", _one_more(income, _JOB)),
+           ("RATIO_CNT_CHILDREN_TO_CNT_FAM_MEMBERS", _over("CNT_CHILDREN", "CNT_FAM_MEMBERS"))]
+    for name, years in (("AGE_YEARS", _AGE), ("EMPLOYED_YEARS", _JOB)):
+        out += [(f"RATIO_{c}_TO_{name}", _one_more(c, years)) for c in [*_EXT, "EXT_SOURCE_MEAN"]]
+    return out + [(f"RATIO_{goods}_TO_{n}", _over(goods, c)) for n, c in (
+        ("LIVINGAREA_AVG", "LIVINGAREA_AVG"), ("LANDAREA_AVG", "LANDAREA_AVG"), ("FLOORSMAX_AVG_AVG", "FLOORSMAX_AVG"),
+        ("LIVINGAPARTMENTS_AVG", "LIVINGAPARTMENTS_AVG"))]
+
+
+def _application_row() -> list[tuple[str, str]]:
+    """Columns that follow from one row."""
+    def flag(cond):
+        return f"CASE WHEN {cond} THEN 1 ELSE 0 END"
+
+    def total(cols):
+        return " + ".join(f"coalesce({c}, 0)" for c in cols)
+
+    ext = f"[{', '.join(f'CAST({c} AS DOUBLE)' for c in _EXT)}]"
+    out = [("FLAG_DOCUMENTS_TOTAL", "FLAG_DOCUMENT_2 + FLAG_DOCUMENT_3"),
+           ("FLAG_DOCUMENTS_PROVIDED_RATIO", "(FLAG_DOCUMENT_2 + FLAG_DOCUMENT_3) / 2.0"),
+           ("FLAG_AGE_GT_EMPLOYED", flag(f"{_AGE} > {_JOB}")),
+           ("FLAG_DAYS_LAST_PHONE_CHANGE_NEGATIVE", flag("DAYS_LAST_PHONE_CHANGE < 0")),
+           ("INTERACTION_AGE_EMPLOYED", f"{_AGE} * {_JOB}"), ("YEARS_EMPLOYED_PERCENT", _over(_JOB, _AGE))]
+    out += [(f"INTERACTION_AMT_{a}_{b}", f"{_MONEY[a]} * {_MONEY[b]}") for a, b in (
+        ("INCOME", "CREDIT"), ("INCOME", "ANNUITY"), ("INCOME", "GOODS"), ("CREDIT", "ANNUITY"), ("CREDIT", "GOODS"), ("ANNUITY", "GOODS"))]
+    out += [(f"INTERACTION_{c}_{n}", f"{c} * {y}") for n, y in (("AGE", _AGE), ("EMPLOYED", _JOB)) for c in [*_EXT, "EXT_SOURCE_MEAN"]]
+    out += [("HAS_CHILDREN", flag("CNT_CHILDREN > 0")), ("HAS_JOB", flag("DAYS_EMPLOYED < 0")),
+            ("LONG_EMPLOYMENT", flag("DAYS_EMPLOYED < -2000")), ("RETIREMENT_AGE", flag("DAYS_BIRTH < -14000")),
+            ("SUM_AMT_INCOME_TOTAL_AMT_ANNUITY", "AMT_INCOME_TOTAL + AMT_ANNUITY"),
+            ("TOTAL_ENQUIRIES_CREDIT_BUREAU", total(c for c in _APPLICATION if c.startswith("AMT_REQ_"))),
+            ("EXT_SOURCES_SUM", total(_EXT)), ("EXT_SOURCES_WEIGHTED_SUM", "EXT_SOURCE_3 * 5 + EXT_SOURCE_1 * 3 + EXT_SOURCE_2"),
+            ("EXT_SOURCES_WEIGHTED_AVG", "(EXT_SOURCE_3 * 5 + EXT_SOURCE_1 * 3 + EXT_SOURCE_2) / 3")]
+    out += [(f"EXT_SOURCES_{n}", f"list_aggregate({ext}, '{f}')") for n, f in (
+        ("MEAN", "avg"), ("MAX", "max"), ("MIN", "min"), ("MEDIAN", "median"), ("STD", "stddev_samp"))]
+    return out + [(n, f"{a} - {b}") for n, a, b in (
+        ("DIFF_AMT_CREDIT_AMT_GOODS_PRICE", "AMT_CREDIT", "AMT_GOODS_PRICE"),
+        ("DIFF_AMT_ANNUITY_AMT_GOODS_PRICE", "AMT_ANNUITY", "AMT_GOODS_PRICE"),
+        ("DIFF_AMT_INCOME_TOTAL_AMT_ANNUITY", "AMT_INCOME_TOTAL", "AMT_ANNUITY"),
+        ("CNT_ADULT_FAM_MEMBER", "CNT_FAM_MEMBERS", "CNT_CHILDREN"),
+        ("DIFF_OBS_30_CNT_SOCIAL_CIRCLE_OBS_60_CNT_SOCIAL_CIRCLE", "OBS_30_CNT_SOCIAL_CIRCLE", "OBS_60_CNT_SOCIAL_CIRCLE"),
+        ("DIFF_DEF_30_CNT_SOCIAL_CIRCLE_DEF_60_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"))]
+
+
+def application_sql() -> str:
+    groups, joins, grouped = {}, "", []
+    for k, (keys, spec) in enumerate(_GROUPS):
+        keys, spec = keys.split(), _spec(spec)
+        known = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+        aggs = ", ".join(f"{_stat(c, s)} AS {c}_{s}" for c, s in spec)
+        groups[f"g{k}"] = f"SELECT {', '.join(keys)}, {aggs} FROM y WHERE {known} GROUP BY {', '.join(keys)}"
+        joins += f" LEFT JOIN g{k} ON " + " AND ".join(f"z.{c} = g{k}.{c}" for c in keys)
+        for c, s in spec:
+            name, value = "_".join([*keys, s.upper(), c]), f"g{k}.{c}_{s}"
+            grouped.append((name, value))
+            if s != "sum":
+                grouped += [(f"{name}_DIFF", f"z.{c} - {value}"), (f"{name}_ABS_DIFF", f"abs(z.{c} - {value})")]
+    scaled = [*_EXT, "AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE", "DAYS_EMPLOYED", "DAYS_BIRTH",
+              "DAYS_REGISTRATION", "DAYS_ID_PUBLISH", "DAYS_LAST_PHONE_CHANGE"]
+    scaled += ["RATIO_" + c for c in (
+        "AMT_CREDIT_TO_AMT_INCOME_TOTAL AMT_ANNUITY_TO_AMT_INCOME_TOTAL AMT_CREDIT_TO_AMT_ANNUITY AMT_CREDIT_TO_AMT_GOODS_PRICE "
+        "AMT_INCOME_TOTAL_TO_AMT_CREDIT AMT_INCOME_TOTAL_TO_AMT_ANNUITY EXT_SOURCE_MEAN_TO_AGE_YEARS "
+        "EXT_SOURCE_MEAN_TO_EMPLOYED_YEARS").split()]
+    poly = [*_EXT, "EXT_SOURCE_MEAN", _AGE, _JOB, "AMT_CREDIT", "AMT_ANNUITY", "AMT_INCOME_TOTAL", "AMT_GOODS_PRICE",
+            "DAYS_BIRTH", "DAYS_EMPLOYED", "DAYS_ID_PUBLISH", "DAYS_REGISTRATION"]
+    fits = [f"avg({c}) AS mu_{c}, stddev_samp({c}) AS sd_{c}" for c in scaled] + [f"median({c}) AS md_{c}" for c in poly]
+    base = ", ".join(f"{e} AS {c}" for c, e in _APPLICATION.items())
+    own = [c for c in _APPLICATION if c not in CATEGORIES or c in _KEPT] + ["EXT_SOURCE_MEAN", _AGE, _JOB]
+    row = _application_ratios() + _application_row()
+    ctes = {"x": f"SELECT c_custkey AS SK_ID_CURR, {base} FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey",
+            "y": "SELECT *, (" + " + ".join(f"coalesce({c}, 0)" for c in _EXT) + ") / 3.0 AS EXT_SOURCE_MEAN, "
+                 f"DAYS_BIRTH / -365.25 AS {_AGE}, DAYS_EMPLOYED / -365.25 AS {_JOB} FROM x",
+            **groups, "z": "SELECT *, " + ",\n".join(f"{e} AS {n}" for n, e in row) + " FROM y",
+            "s": f"SELECT {', '.join(fits)} FROM z"}
+    out = [("SK_ID_CURR", "=z.SK_ID_CURR")] + [(c, f"z.{c}") for c in own] + grouped + [(n, f"z.{n}") for n, _ in row]
+    # a column that the crosswalk makes constant has only rounding noise for a deviation
+    out += [(f"Z_{c}", "NULL" if c == NOISE else f"CASE WHEN sd_{c} > 0 THEN (z.{c} - mu_{c}) / sd_{c} END") for c in scaled]
+    filled = {c: f"CAST(coalesce(z.{c}, md_{c}) AS DOUBLE)" for c in poly}
+    out += [(f"POLY_{c}", filled[c]) for c in poly]
+    out += [(f"POLY_{a}^2" if a == b else f"POLY_{a} {b}", f"{filled[a]} * {filled[b]}")
+            for k, a in enumerate(poly) for b in poly[k:]]
+    for c, values in CATEGORIES.items():
+        out += [(f"{c}_CAT_{v}", f"CASE WHEN z.{c} = {repr(v)} THEN 1 ELSE 0 END") for v in values]
+    return _query(ctes, out, f"z{joins} CROSS JOIN s", None)
+
+
 #: Wide queries whose whole output is compared.
 SQL = {"a1_a10_w1_bureau_features": bureau_sql, "a32_a35_bureau_counts_variant": legacy_sql,
        "a11_a14_e7_previous_features": previous_sql, "a15_a17_w2_pos_features": pos_sql,
-       "a18_a23_w3_installment_features": installments_sql, "a24_a25_card_features": card_sql}
+       "a18_a23_w3_installment_features": installments_sql, "a24_a25_card_features": card_sql,
+       "x1_x11_e2_application_features": application_sql}
