@@ -97,4 +97,4 @@ class Code:
             here += self.width[index]
         lanes = np.empty_like(out.T)
         lanes[order] = out.T
-        return lanes[np.arange(len(out))[None, :] < sizes[:, None]]
+        return lanes[np.arange(len(out))[None, :] < sizes[:, None]].astype("<u4", copy=False)

@@ -82,29 +82,28 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _count_ids(raw: DataFrame, vocabulary: str) -> DataFrame:
+def _count_ids(raw: DataFrame, dtype: str) -> DataFrame:
     """(id, n): how often each id occurs; summed in each task first."""
 
     def run(batches):
-        encoder = PieceEncoder.get(vocabulary)
-        total, unpress = np.zeros(encoder.size + 1, np.int64), zstandard.ZstdDecompressor()
+        total, unpress = np.zeros(0, np.int64), zstandard.ZstdDecompressor()
         for batch in batches:
-            for x in batch.column(0):
-                ids = np.frombuffer(unpress.decompress(x.as_py()), encoder.dtype)
-                total += np.bincount(ids, minlength=len(total)) if len(ids) > 5000 else 0
-                if len(ids) <= 5000:
-                    np.add.at(total, ids, 1)
+            ids = np.frombuffer(b"".join([unpress.decompress(x.as_py()) for x in batch.column(0)]), dtype)
+            counts = np.bincount(ids)
+            if len(counts) > len(total):
+                total, counts = counts, total
+            total[:len(counts)] += counts
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
     return raw.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def _blocks(ordered: DataFrame, lengths: np.ndarray, vocabulary: str) -> DataFrame:
+def _blocks(ordered: DataFrame, lengths: np.ndarray, dtype: str) -> DataFrame:
     """Code the rows of each sorted partition into blocks."""
 
     def run(batches):
-        encoder, code, unpress = PieceEncoder.get(vocabulary), Code(lengths), zstandard.ZstdDecompressor()
+        code, unpress = Code(lengths), zstandard.ZstdDecompressor()
         part, number, first = TaskContext.get().partitionId(), 0, 0
         docs, ids = [], []
 
@@ -120,7 +119,7 @@ def _blocks(ordered: DataFrame, lengths: np.ndarray, vocabulary: str) -> DataFra
         held = 0
         for batch in batches:
             for doc_id, x in zip(batch.column(0).to_pylist(), batch.column(1)):
-                got = np.frombuffer(unpress.decompress(x.as_py()), encoder.dtype)
+                got = np.frombuffer(unpress.decompress(x.as_py()), dtype)
                 docs.append(doc_id)
                 ids.append(got)
                 held += len(got)
@@ -141,17 +140,50 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY,
     work = Workspace(spark, "token-ids")
     raw = work.write(encode_texts(docs, vocabulary, end_id), "raw")
     # one row for each id of the vocabulary at most
-    counted = {r["id"]: r["n"] for r in _count_ids(raw, vocabulary).collect()}
+    dtype = PieceEncoder.get(vocabulary).dtype.str
+    counted = {r["id"]: r["n"] for r in _count_ids(raw, dtype).collect()}
     counts = np.zeros(max(counted, default=0) + 1, np.int64)
     counts[list(counted)] = list(counted.values())
     lengths = limited_lengths(counts)
     code = [(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)]
     spark.createDataFrame(code, "id int, length int").coalesce(1).write.parquet(f"{path}/code")
     ordered = raw.repartitionByRange("doc_id", "uid").sortWithinPartitions("doc_id", "uid")
-    _blocks(ordered, lengths, vocabulary).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    _blocks(ordered, lengths, dtype).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     work.remove("raw")
 
 
+def _some(rows: list[dict]) -> Iterator[list[dict]]:
+    """Blocks to decode together: the more lanes at once, the less a step costs."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += row["n_ids"]
+        if size >= 16 * BLOCK_IDS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _decoded(code: Code, rows: list[dict]) -> pa.RecordBatch:
+    """One row for each document of some blocks."""
+    tokens = [np.array(row["doc_tokens"], np.int64) for row in rows]
+    starts = np.concatenate([row["first"] + np.cumsum(n) - n for row, n in zip(rows, tokens)])
+    parts = np.repeat([row["part"] for row in rows], [len(n) for n in tokens])
+    base = np.cumsum([0, *(len(row["payload"]) for row in rows[:-1])]) * 8
+    offsets = np.concatenate([np.array(row["checkpoints"], np.int64) + at for row, at in zip(rows, base.tolist())])
+    tokens = np.concatenate(tokens)
+    lanes = (tokens + LANE - 1) // LANE
+    sizes = np.full(int(lanes.sum()), LANE, np.int64)
+    sizes[np.cumsum(lanes) - 1] = tokens - (lanes - 1) * LANE
+    raw = code.decode(b"".join(row["payload"] for row in rows), offsets, sizes)
+    cuts = np.concatenate([[0], 4 * np.cumsum(tokens)]).astype(np.int32)
+    ids = pa.Array.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(raw)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(parts, pa.int32()), pa.array([i for row in rows for i in row["doc_ids"]], pa.int64()),
+         pa.array(starts), pa.array(tokens), ids], schema=_arrow(_DOC))
+
+
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): every document, decoded from the files.
 
@@ -167,20 +199,10 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         code = Code(lengths)
         for batch in batches:
-            for row in batch.to_pylist():
-                tokens = np.array(row["doc_tokens"], np.int64)
-                lanes = (tokens + LANE - 1) // LANE
-                sizes = np.full(int(lanes.sum()), LANE, np.int64)
-                sizes[np.cumsum(lanes) - 1] = tokens - (lanes - 1) * LANE
-                ids = code.decode(row["payload"], np.array(row["checkpoints"], np.int64), sizes)
-                raw, end = ids.astype("<u4").tobytes(), np.cumsum(tokens)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * len(tokens), pa.int32()), pa.array(row["doc_ids"], pa.int64()),
-                     pa.array(row["first"] + end - tokens, pa.int64()), pa.array(tokens, pa.int64()),
-                     pa.array([raw[4 * a:4 * b] for a, b in zip((end - tokens).tolist(), end.tolist())], pa.binary())],
-                    schema=_arrow(_DOC))
-
-    found = blocks.select("part", "first", "doc_ids", "doc_tokens", "checkpoints", "payload").mapInArrow(run, _DOC)
+            for rows in _some(batch.to_pylist()):
+                yield _decoded(code, rows)
+
+    found = blocks.select("part", "first", "n_ids", "doc_ids", "doc_tokens", "checkpoints", "payload").mapInArrow(run, _DOC)
     # one row for each writing task
     sums = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     base = sums.selectExpr("part", "sum(n) OVER (ORDER BY part) - n AS base")
