@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.operators.stats import global_mean_std, global_medians
+from loanlens.session import cut_lineage
 
 
 def fit_categories(df: DataFrame, cols: Sequence[str]) -> dict[str, list]:
@@ -130,6 +131,17 @@ def recipe_name(keys: Sequence[str], col: str, agg: str) -> str:
     return "_".join([*keys, agg.upper(), col])
 
 
+#: Groups of all recipes together that are sent to every task.
+SENT_GROUPS = 500_000
+
+
+def _group_stat(col: str, agg: str) -> Column:
+    """One statistic of a recipe; medians are ``operators.stats.group_quantiles``."""
+    if agg == "sum":
+        return F.coalesce(F.sum(col), F.lit(0))
+    return {"mean": F.avg, "max": F.max, "min": F.min}[agg](col)
+
+
 def add_group_statistics(df: DataFrame, recipes: Sequence[Recipe],
                          diff_stats: Sequence[str] = ("mean", "median", "max", "min"),
                          fit_on: DataFrame | None = None) -> DataFrame:
@@ -138,31 +150,30 @@ def add_group_statistics(df: DataFrame, recipes: Sequence[Recipe],
     of the row value against the group statistic.
 
     NULL group keys never match (the reference's groupby drops NULL keys).
-    An all-NULL group gives ``sum`` 0.  Recipe tables are small per key
-    combination; AQE turns the join into a broadcast after measuring them.
+    An all-NULL group gives ``sum`` 0.  All recipes are grouped in one pass
+    (grouping sets) into one checkpointed table, whose rows are counted: up to
+    ``SENT_GROUPS`` it is sent to every task and the rows of ``df`` don't move;
+    beyond that the joins shuffle, and adaptive execution splits hot keys.
     """
     src = fit_on if fit_on is not None else df
+    added = [(col, agg, recipe_name(keys, col, agg)) for keys, specs in recipes for col, agg in specs]
+    if not added:
+        return df
+    every = list(dict.fromkeys(k for keys, _ in recipes for k in keys))
+    wanted = {(col, agg): f"_ll_{i}" for i, (col, agg) in enumerate(dict.fromkeys((c, a) for c, a, _ in added))}
+    tables = (src.groupingSets([[F.col(k) for k in keys] for keys, _ in recipes], *[F.col(k) for k in every])
+              .agg(F.grouping_id(*every).alias("_ll_set"),
+                   *[_group_stat(col, agg).alias(name) for (col, agg), name in wanted.items()]))
+    tables = cut_lineage(tables)
+    few = tables.count() <= SENT_GROUPS
     out = df
-    added = []
     for keys, specs in recipes:
         keys = list(keys)
-        aggs = []
-        for col, agg in specs:
-            name = recipe_name(keys, col, agg)
-            if agg == "sum":
-                e = F.coalesce(F.sum(col), F.lit(0))
-            elif agg == "mean":
-                e = F.avg(col)
-            elif agg == "max":
-                e = F.max(col)
-            elif agg == "min":
-                e = F.min(col)
-            else:  # per-group medians: operators.stats.group_quantiles (skew-safe)
-                raise ValueError(agg)
-            aggs.append(e.alias(name))
-            added.append((col, agg, name))
-        table = src.where(_all_not_null(keys)).groupBy(*keys).agg(*aggs)
-        out = out.join(table, keys, "left")
+        # a bit of the set's number is 1 where the key isn't part of the set
+        number = sum(1 << (len(every) - 1 - i) for i, k in enumerate(every) if k not in keys)
+        table = tables.where((F.col("_ll_set") == number) & _all_not_null(keys)).select(
+            *keys, *[F.col(wanted[col, agg]).alias(recipe_name(keys, col, agg)) for col, agg in specs])
+        out = out.join(F.broadcast(table) if few else table, keys, "left")
     diffs = []
     for col, agg, name in added:
         if agg in diff_stats:

@@ -37,13 +37,18 @@ def _parts(df: DataFrame, parts: int | None) -> int:
 
 
 def prefix_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str,
-                  parts: int | None = None, before: str = "before",
-                  total: str = "key_total") -> DataFrame:
-    """Add ``before`` (sum of ``weight`` over rows of the same key that sort
-    strictly earlier on ``order``) and ``key_total`` (sum over the key).
+                  parts: int | None = None) -> DataFrame:
+    """``prefix_sums`` of one weight, as ``before`` and ``key_total``."""
+    return prefix_sums(df, keys, order, {weight: ("before", "key_total")}, parts)
+
+
+def prefix_sums(df: DataFrame, keys: Sequence[str], order: Sequence[str], weights: dict[str, tuple[str, str]],
+                parts: int | None = None) -> DataFrame:
+    """Add two columns for each weight: its sum over rows of the same key that
+    sort strictly earlier on ``order``, and its sum over the key.
 
     Rows must be unique on keys + order (aggregate duplicates into the
-    weight first).  Order is ascending with NULLs first.
+    weights first).  Order is ascending with NULLs first.
     """
     keys, order = list(keys), list(order)
     ranged = (df.repartitionByRange(_parts(df, parts), *[F.col(c) for c in keys + order])
@@ -52,19 +57,18 @@ def prefix_counts(df: DataFrame, keys: Sequence[str], order: Sequence[str], weig
 
     seg_w = Window.partitionBy(_PID, *keys).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_ll_local", F.coalesce(F.sum(weight).over(seg_w), F.lit(0)))
+    local = ranged.withColumns({f"_ll_local{i}": F.coalesce(F.sum(w).over(seg_w), F.lit(0)) for i, w in enumerate(weights)})
 
-    segs = ranged.groupBy(_PID, *keys).agg(F.sum(weight).alias("_ll_seg"))
+    segs = ranged.groupBy(_PID, *keys).agg(*[F.sum(w).alias(f"_ll_seg{i}") for i, w in enumerate(weights)])
     key_w = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     off_w = key_w.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    segs = segs.select(
-        _PID, *keys,
-        F.coalesce(F.sum("_ll_seg").over(off_w), F.lit(0)).alias("_ll_off"),
-        F.sum("_ll_seg").over(key_w.rowsBetween(Window.unboundedPreceding,
-                                                Window.unboundedFollowing)).alias(total))
+    all_w = key_w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    segs = segs.select(_PID, *keys, *[c for i, (_, total) in enumerate(weights.values()) for c in (
+        F.coalesce(F.sum(f"_ll_seg{i}").over(off_w), F.lit(0)).alias(f"_ll_off{i}"),
+        F.sum(f"_ll_seg{i}").over(all_w).alias(total))])
     out = local.join(segs, [_PID, *keys], "inner")
-    return out.select(*[c for c in df.columns],
-                      (F.col("_ll_local") + F.col("_ll_off")).alias(before), total)
+    return out.select(*df.columns, *[c for i, (before, total) in enumerate(weights.values()) for c in (
+        (F.col(f"_ll_local{i}") + F.col(f"_ll_off{i}")).alias(before), F.col(total))])
 
 
 def average_rank(df: DataFrame, value: str, out: str, keys: Sequence[str] = (),
@@ -161,12 +165,8 @@ def cumulative_by_score(df: DataFrame, score: str, label: str,
                 F.sum((F.lit(1) - F.col(label)).cast("long")).alias("_ll_q"),
                 F.count(F.lit(1)).alias("_ll_n"))
            .withColumn("_ll_neg", -F.col(score)))
-    pos = prefix_counts(per.select(score, "_ll_neg", "_ll_p"), [], ["_ll_neg"], "_ll_p", parts,
-                        before="_ll_pb", total="pos_total")
-    neg = prefix_counts(per.select(score, "_ll_neg", "_ll_q"), [], ["_ll_neg"], "_ll_q", parts,
-                        before="_ll_qb", total="neg_total")
-    j = pos.join(neg.select(score, "_ll_qb", "neg_total", "_ll_q"), score)
-    return j.select(score,
+    both = prefix_sums(per, [], ["_ll_neg"], {"_ll_p": ("_ll_pb", "pos_total"), "_ll_q": ("_ll_qb", "neg_total")}, parts)
+    return both.select(score,
                     (F.col("_ll_pb") + F.col("_ll_p")).alias("tp"),
                     (F.col("_ll_qb") + F.col("_ll_q")).alias("fp"),
                     "pos_total", "neg_total")
