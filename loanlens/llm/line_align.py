@@ -34,6 +34,8 @@ from loanlens.llm.text import mix64, row_runs, signed, span_hashes, text_bytes,
 
 MIN_WORDS = 10
 RARE_SHARE = 0.5
+#: Line numbers of all cuts that are sent to every task (about 16 MB); more are joined by a shuffle.
+SENT_LINES = 4_000_000
 
 _LINES = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc_id", T.LongType()),
                        T.StructField("hashes", T.BinaryType()), T.StructField("words", T.BinaryType())])
@@ -245,6 +247,10 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, rare_share: float = RAR
     pairs = found.join(led, "unit").where("uid <> first").select("first", "uid").distinct()
     cuts = work.write(_cuts(pairs, lines, least).groupBy("uid")
                       .agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts")
+    work.remove("lines")
+    # lists of lines that go, a few bytes a line: sent to every task while they are few
+    if (cuts.agg(F.sum(F.size("cut") + 4)).first()[0] or 0) <= SENT_LINES:
+        cuts = F.broadcast(cuts)
     return _without_lines(rows.join(cuts, "uid", "left"), docs)
 
 
