@@ -32,7 +32,7 @@ from loanlens.llm.storage import Workspace
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
-SLOT_ROWS = 20_000
+SLOT_ROWS = 4_000
 #: Sources up to this many are sent to every task; more are joined by a shuffle.
 SENT_SOURCES = 100_000
 
