@@ -11,17 +11,18 @@
    falls below ``MISS``.
 4. Survivors are verified on their full shingle sets.
 
-Candidates are made in two rounds so that a group of copies never makes all
-its pairs.  First each class of a bucket meets the bucket's first class.
-Then, in buckets whose classes aren't yet in one component, the classes of
-different components meet.  Pairs inside a component can't change it, so the
-components are those of all links.
+Candidates are made in rounds so that a group of near copies never makes all
+its pairs.  First each class of a bucket meets the bucket's first class,
+and in large buckets its neighbours in a random order.  Then, in buckets that
+are still not one component, all classes of different components meet; in
+large ones inside tasks, block by block, so that no pairs are written.  Pairs inside a
+component can't change it, so the components are those of all links.
 
 Defined results: documents without words have an empty set, link with
-nothing and are kept; a null ``doc_id`` is never a component's id and a row
-without one isn't kept unless it has no words; rows with the same ``doc_id``
-are nodes of their own with one id; an empty table gives no rows; other
-columns are not read.
+nothing and are kept; a row with a null ``doc_id`` is kept only if it links
+with nothing, and a component has a null id only if all its rows have; rows
+with the same ``doc_id`` are rows of their own; an empty table gives no rows;
+other columns are carried if asked for.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from loanlens.llm.components import connected_components
 from loanlens.llm.storage import Workspace
 from loanlens.llm.text import batch_words, mix64, shingle_set, signed
 from loanlens.llm.token_files import _arrow, row_ids
+from loanlens.llm.vectors import key_runs
 
 ROWS = 5
 BANDS = 40
@@ -48,6 +50,8 @@ STEP = 40
 MISS = 1e-6
 #: Links need SHARE_OF % of the union in common.
 PERCENT = 75
+#: Classes of a bucket whose pairs are written as rows; a larger bucket is compared in blocks of ``BLOCK``.
+SMALL, BLOCK = 32, 256
 #: Candidate ids up to this many are sent to every task (about 32 MB); more are joined by a shuffle.
 SENT_IDS = 1_000_000
 
@@ -100,14 +104,14 @@ def least_matches(percent: int = PERCENT, miss: float = MISS) -> list[tuple[int,
     return bounds
 
 
-def profiles(docs: DataFrame) -> DataFrame:
-    """Set size, set key and signature of every document."""
+def profiles(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """Set size, set key and signature of every document; ``row`` has the columns to carry."""
 
     def run(batches):
         uid = row_ids()
         for batch in batches:
             n, hi, lo, signs = [], [], [], []
-            for _, words in batch_words(batch.column(1)):
+            for _, words in batch_words(batch.column(2)):
                 shingles = shingle_set(words)
                 key = set_key(shingles)
                 n.append(len(shingles))
@@ -115,11 +119,13 @@ def profiles(docs: DataFrame) -> DataFrame:
                 lo.append(key[1])
                 signs.append(signature(shingles).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([next(uid) for _ in n], pa.int64()), batch.column(0), pa.array(n, pa.int64()),
+                [batch.column(0), pa.array([next(uid) for _ in n], pa.int64()), batch.column(1), pa.array(n, pa.int64()),
                  pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(signs, pa.binary())],
-                schema=_arrow(_PROFILE))
+                ["row", "uid", "doc_id", "n", "hi", "lo", "signature"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _PROFILE)
+    row = F.struct(*[F.col(c) for c in carry or ["doc_id"]]).alias("row")
+    rows = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *_PROFILE.fields]))
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -211,51 +217,177 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, work: Workspace, name: str) -> DataFrame:
     kept = work.write(_survivors(pairs, classes), f"{name}-survivors")
     nodes = kept.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return work.write(_verified(kept, _full_sets(docs, classes, nodes, work, f"{name}-sets")), f"{name}-links")
+    links = work.write(_verified(kept, _full_sets(docs, classes, nodes, work, f"{name}-sets")), f"{name}-links")
+    work.remove(f"{name}-survivors", f"{name}-sets", f"{name}-sets-wanted")
+    return links
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``."""
+def _named(members: DataFrame, found: DataFrame, work: Workspace, table: str) -> DataFrame:
+    """Members of buckets whose classes are in several components, with the component."""
+    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_buckets = (named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+                    .where("x <> y").select("bucket"))
+    return work.write(named.join(open_buckets, "bucket").select("bucket", "node", "n", "component", "led", "size"), table)
+
+
+def _neighbours(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) next to each other in a random order of each bucket.
+
+    The order is global, so a large bucket spreads over many partitions.
+    """
+
+    def run(batches):
+        last = None
+        for batch in batches:
+            bucket, node, n = (batch.column(k).to_numpy() for k in range(3))
+            rows = np.stack([bucket, node, n])
+            if last is not None:
+                rows = np.concatenate([last, rows], axis=1)
+            if rows.shape[1]:
+                x, y = rows[:, :-1], rows[:, 1:]
+                small, large = np.minimum(x[2], y[2]), np.maximum(x[2], y[2])
+                fits = (x[0] == y[0]) & (100 * small >= PERCENT * large)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(x[1], y[1])[fits]), pa.array(np.maximum(x[1], y[1])[fits])], ["a", "b"])
+                last = rows[:, -1:]
+
+    mixed = members.select("bucket", "node", "n", F.xxhash64("node", "bucket").alias("order"))
+    return (mixed.repartitionByRange("bucket", "order").sortWithinPartitions("bucket", "order")
+            .select("bucket", "node", "n").mapInArrow(run, "a long, b long"))
+
+
+def _across(named: DataFrame) -> DataFrame:
+    """All pairs (a, b) of small buckets that are in different components and were not paired with its first class."""
+    a, b = named.alias("a"), named.alias("b")
+    return (a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component"))
+                   & (F.col("a.node") < F.col("b.node")) & ~F.col("a.led") & F.expr(_possible("a.n", "b.n")))
+            .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
+
+
+def _block_links(rows: pa.Table) -> list[tuple[int, int]]:
+    """Links between classes of different components, of two blocks or inside one."""
+    node, n, of = (rows[c].to_numpy() for c in ("node", "n", "component"))
+    signs = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint32).reshape(-1, HASHES)
+    sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()]
+    side = rows["side"].to_numpy()
+    inner = rows["block_a"][0].as_py() == rows["block_b"][0].as_py()
+    left = np.arange(len(node)) if inner else np.flatnonzero(side == 1)
+    right = left if inner else np.flatnonzero(side == 0)
+    fits = of[left][:, None] != of[right][None, :]
+    fits &= 100 * np.minimum(n[left][:, None], n[right]) >= PERCENT * np.maximum(n[left][:, None], n[right])
+    if inner:
+        fits = np.triu(fits, 1)
+    (i, j), done = np.nonzero(fits), 0
+    i, j = left[i], right[j]
+    matches = np.zeros(len(i), np.int64)
+    for upto, least in least_matches():
+        for a in range(0, len(i), 1 << 16):
+            part = slice(a, a + (1 << 16))
+            matches[part] += (signs[i[part], done:upto] == signs[j[part], done:upto]).sum(axis=1)
+        keep = matches >= least
+        i, j, matches, done = i[keep], j[keep], matches[keep], upto
+    # likely links first; a pair whose components have met needs no check
+    order = np.argsort(-matches, kind="stable")
+    root: dict[int, int] = {}
+
+    def find(x):
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    links = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        p, q = find(int(of[x])), find(int(of[y]))
+        if p == q:
+            continue
+        small, large = (sets[x], sets[y]) if len(sets[x]) < len(sets[y]) else (sets[y], sets[x])
+        at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+        common = int((large[at] == small).sum())
+        if 100 * common >= PERCENT * (len(small) + len(large) - common):
+            links.append((int(node[x]), int(node[y])))
+            root[max(p, q)] = min(p, q)
+    return links
+
+
+def _cluster_links(named: DataFrame, docs: DataFrame, classes: DataFrame, work: Workspace) -> DataFrame:
+    """Links between components that share a large bucket, compared in blocks inside tasks.
+
+    Components that share a large bucket, directly or in turn, form a
+    cluster; its classes are dealt into blocks, and every pair of blocks is one
+    run of rows.  Only links are returned.
+    """
+    lead = named.groupBy("bucket").agg(F.min("component").alias("v"))
+    shared = named.join(lead, "bucket").select(F.col("component").alias("u"), "v").distinct()
+    clusters = connected_components(shared).select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    nodes = work.write(named.select("node", "n", "component").distinct().join(clusters, "component"), "clustered")
+    sets = _full_sets(docs, classes, nodes.select("node"), work, "cluster-sets")
+    blocks = nodes.groupBy("cluster").agg(F.expr(f"ceil(count(*) / {BLOCK})").alias("blocks"))
+    dealt = (nodes.join(blocks, "cluster").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("cluster", F.least("own", "other").alias("block_a"), F.greatest("own", "other").alias("block_b"),
+                     (F.col("own") <= F.col("other")).cast("int").alias("side"), "node", "n", "component"))
+    rows = dealt.join(classes.select("node", "signature"), "node").join(sets, "node")
+
+    def run(batches):
+        for group in key_runs(batches, ["cluster", "block_a", "block_b"]):
+            links = _block_links(group)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links], pa.int64()),
+                                                  pa.array([y for _, y in links], pa.int64())], ["u", "v"])
+
+    keys = ["cluster", "block_a", "block_b"]
+    return work.write(rows.repartition(*keys).sortWithinPartitions(*keys, "node")
+                      .select(*keys, "side", "node", "n", "component", "signature", "shingles")
+                      .mapInArrow(run, "u long, v long"), "cluster-links")
+
+
+def near_duplicates(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """``carry`` columns (else doc_id), n_shingles, component_id, kept and first of every row of ``docs``.
+
+    ``first`` marks one row of each component, the one with the smallest
+    ``doc_id`` that was read first.
+    """
     work = Workspace(docs.sparkSession, "minhash")
-    rows = work.write(profiles(docs), "profiles")
+    rows = work.write(profiles(docs, carry), "profiles")
     key = ["n", "hi", "lo"]
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
     grouped = (rows.where("n > 0").groupBy(*key)
-               .agg(F.min("uid").alias("node"), F.min("doc_id").alias("least_doc")))
+               .agg(F.min("uid").alias("node"), F.min(order).alias("lead"), F.count("*").alias("copies")))
     firsts = rows.select(F.col("uid").alias("node"), F.col("doc_id").alias("some_doc"), "signature")
     classes = work.write(grouped.join(firsts, "node"), "classes")
 
     banded = bands(classes)
     led = (banded.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("lead"), F.count("*").alias("size"))
-           .where("size > 1").select("bucket", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n")))
-    members = work.write(banded.join(led, "bucket"), "members")
-    stars = (members.where(f"node <> lead AND {_possible('n', 'lead_n')}")
-             .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
-    links = _links(stars, docs, classes, work, "star")
+           .where("size > 1").select("bucket", F.col("lead.node").alias("lead"), F.col("lead.n").alias("lead_n"), "size"))
+    members = work.write(banded.join(led, "bucket").withColumn("led", F.col("node") == F.col("lead")), "members")
+    stars = (members.where(f"NOT led AND {_possible('n', 'lead_n')}")
+             .select(F.col("lead").alias("a"), F.col("node").alias("b")))
+    near = _neighbours(members.where(f"size > {SMALL}"))
+    links = _links(stars.union(near).distinct(), docs, classes, work, "first")
     found = connected_components(links)
-
-    # buckets that hold classes of several components
-    named = (members.join(found, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
-    named = work.write(named.select("bucket", "node", "n", "component", (F.col("node") == F.col("lead")).alias("led")),
-                       "named")
-    open_buckets = (named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                    .where("x <> y").select("bucket"))
-    side = named.join(open_buckets, "bucket")
-    a, b = side.alias("a"), side.alias("b")
-    rest = (a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component"))
-                   & (F.col("a.node") < F.col("b.node")) & ~F.col("a.led") & F.expr(_possible("a.n", "b.n")))
-            .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
-    more = _links(rest, docs, classes, work, "rest")
+    named = _named(members, found, work, "named")
+    more = _links(_across(named.where(f"size <= {SMALL}")), docs, classes, work, "across")
+    large = named.where(f"size > {SMALL}")
+    if not large.isEmpty():
+        more = more.union(_cluster_links(large, docs, classes, work))
     if not more.isEmpty():
         found = connected_components(links.union(more))
 
-    least = (classes.join(found, "node", "left")
-             .withColumn("component", F.coalesce("component", "node")))
-    named_least = least.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    labels = least.join(named_least, "component").select(*key, "component_id")
-    full = (rows.where("n > 0").join(labels, key)
-            .select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
-    empty = rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                       F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
-    return full.union(empty)
+    # only components of several rows need a label
+    named = classes.select(*key, "node", "lead", "copies").join(found, "node", "left") \
+        .where("component IS NOT NULL OR copies > 1").withColumn("component", F.coalesce("component", "node"))
+    leads = named.groupBy("component").agg(F.min("lead").alias("lead"))
+    labels = named.drop("lead").join(leads, "component").select(*key, "lead")
+    several = work.write(rows.select("uid", *key).join(labels, key).select(
+        F.col("uid").alias("of"), F.col("lead.doc_id").alias("component_id"), (F.col("lead.uid") == F.col("uid")).alias("first")),
+        "several")
+    work.remove("classes", "members", "named", "first-links", "across-links", "cluster-links", "cluster-sets",
+                "cluster-sets-wanted", "clustered")
+    if several.count() <= SENT_IDS:
+        several = F.broadcast(several)
+    alone = F.col("of").isNull()
+    return (rows.join(several, F.col("uid") == F.col("of"), "left")
+            .select("row.*", F.col("n").alias("n_shingles"),
+                    F.when(alone, rows["doc_id"]).otherwise(F.col("component_id")).alias("component_id"),
+                    F.when(alone, F.lit(True)).otherwise(F.coalesce(rows["doc_id"] == F.col("component_id"), F.lit(False)))
+                    .alias("kept"), F.when(alone, F.lit(True)).otherwise(F.col("first")).alias("first")))

@@ -89,10 +89,9 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, seed, small):
 
 
 def test_blocks_of_a_large_bucket_find_links(spark, monkeypatch):
-    # without stars and turns all is left to the last round
+    # small limits leave much to the last round
     monkeypatch.setattr(minhash_dedup, "SMALL", 2)
     monkeypatch.setattr(minhash_dedup, "BLOCK", 16)
-    monkeypatch.setattr(minhash_dedup, "TURNS", 0)
     texts = near_texts(3)
     _, want = brute_near(texts)
     got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(make_documents(spark, texts)).collect()}
