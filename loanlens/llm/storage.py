@@ -18,11 +18,21 @@ from pyspark.sql import types as T
 from loanlens.session import checkpoint_dir
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 class Workspace:
-    """A fresh folder below the shared one, for the tables of one call."""
+    """A fresh folder below the shared one, for the tables of one call.
+
+    An operator removes what its result doesn't read; the rest stays until
+    the caller has used the result and calls ``clear``.
+    """
+
+    opened: list[Workspace] = []
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
+        Workspace.opened.append(self)
         base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -35,11 +45,18 @@ class Workspace:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(_plain(df.schema)).parquet(path)
 
-    def remove(self, table: str) -> None:
-        """Delete a table that no later step reads."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+    def remove(self, *tables: str) -> None:
+        """Delete tables that no later step reads."""
+        for table in tables:
+            self._delete(self.path(table))
+
+    def clear(self) -> None:
+        """Delete the whole folder."""
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _plain(schema: T.StructType) -> T.StructType:
@@ -55,8 +72,11 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once for a session.
 
     Python functions inside tasks import it by name; a session started
-    elsewhere need not have it on its executors' path.
+    elsewhere need not have it on its executors' path.  Texts are long, so
+    Arrow batches get fewer rows than Spark's default, if none are set.
     """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "2000")
     sc = spark.sparkContext
     if getattr(sc, "_loanlens_shipped", False):
         return
