@@ -3,7 +3,7 @@
 ``STAGES`` lists (name, function).  Each function takes (spark, docs, sf_dir)
 and returns a DataFrame; all but the last return the columns of
 ``documents``.  Between stages the rows are written as Parquet to the shared
-folder and read again.
+folder and read again; then the folders of the stage before are deleted.
 
 1. toxicity: documents that operator 8 rejects (score of 0.7 or more) go.
 2. line_dedup: blocks of lines that an earlier document has go from later
@@ -19,6 +19,8 @@ near-duplicate stage keeps such a row if it links with no other document.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,34 +31,54 @@ from loanlens.llm.packing import pack_documents
 from loanlens.llm.storage import Workspace, read_table, ship_package
 from loanlens.llm.toxicity import score_toxicity
 
+#: Folders of the stage before, whose result is written by the time the next one begins.
+_used: list[Workspace] = []
+
+
+def _stage(function):
+    """Run a stage; its folders go when the next one begins."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        while _used:
+            _used.pop().clear()
+        before = len(Workspace.opened)
+        result = function(spark, docs, sf_dir)
+        _used.extend(Workspace.opened[before:])
+        return result
+
+    return run_stage
+
+
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@_stage
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     return score_toxicity(docs, read_table(spark, sf_dir, "labels"), COLUMNS).where("predicted = 0").select(*COLUMNS)
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     cut = dedup_lines(docs.select(*COLUMNS)).where("n_removed = 0 OR text <> ''")
     return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                           .otherwise(F.col("n_chars"))).select(*COLUMNS)
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     return near_duplicates(docs, COLUMNS).where("first").select(*COLUMNS)
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     mixed = mix_documents(docs, COLUMNS).where("copies > 0")
     return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
 
 
+@_stage
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     return pack_documents(docs, carry=F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
