@@ -890,7 +890,7 @@ def ensemble_q(spark, sf):
     tr, te = d.where(F.col("quality").isNotNull()), d.where(F.col("quality").isNull())
     preds, _imp, _models = train_and_score(
         tr, te, ["n_chars", "n_lines", "lang", "source"], ["lang", "source"], "quality", "doc_id",
-        rounds=10, members=7, base=BoostParams(min_instances=5))
+        rounds=5, members=7, base=BoostParams(min_instances=5))
     return preds
 
 
