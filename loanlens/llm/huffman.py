@@ -47,7 +47,7 @@ class Code:
     """Encoder and table-driven decoder of one set of code lengths."""
 
     def __init__(self, lengths: np.ndarray):
-        self.lengths = lengths
+        self.lengths = lengths.astype(np.int64)
         used = np.flatnonzero(lengths)
         order = used[np.lexsort((used, lengths[used]))]
         width = lengths[order].astype(np.int64)
@@ -64,7 +64,7 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """(payload, bit offset of each id); bits go from high to low."""
-        width = self.lengths[ids].astype(np.int64)
+        width = self.lengths[ids]
         end = np.cumsum(width)
         at = end - width
         words = np.zeros(int(end[-1] + 31) // 32 + 1, np.uint64)

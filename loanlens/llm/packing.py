@@ -80,8 +80,8 @@ def cut_pieces(docs: DataFrame, vocabulary: str, end_id: int, sequence: int) ->
         encoder, uid = PieceEncoder.get(vocabulary), row_ids()
         for batch in batches:
             columns = [[] for _ in range(7)]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(encoder.encode(text.as_py()).astype("<u4"), np.uint32(end_id)).astype("<u4").tobytes()
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                ids = np.append(encoder.encode(text).astype("<u4"), np.uint32(end_id)).astype("<u4").tobytes()
                 row, n = next(uid), len(ids) // 4
                 for piece, start in enumerate(range(0, n, sequence)):
                     part = ids[4 * start:4 * (start + sequence)]

@@ -64,10 +64,10 @@ def encode_texts(docs: DataFrame, vocabulary: str, end_id: int | None) -> DataFr
 
     def run(batches):
         encoder, uid = PieceEncoder.get(vocabulary), row_ids()
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=1)
         end = np.array([] if end_id is None else [end_id], encoder.dtype).tobytes()
         for batch in batches:
-            ids = [encoder.encode(t.as_py()).tobytes() + end for t in batch.column(1)]
+            ids = [encoder.encode(t).tobytes() + end for t in batch.column(1).to_pylist()]
             sizes = [len(x) // encoder.dtype.itemsize for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([next(uid) for _ in ids], pa.int64()), batch.column(0).cast(pa.int64()),

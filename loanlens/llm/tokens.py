@@ -27,8 +27,8 @@ SLOTS = (1 << 22) - 1
 SURE_LETTERS = "\u0530"
 #: How a byte-level vocabulary writes the space.
 SPACE = "\u0120"
-#: Stops that the pre-tokens never join with a letter before them.
-STOPS = ".,;:!?"
+#: Marks that at a piece's end are a pre-token of their own behind a letter (no letter follows an apostrophe there).
+STOPS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters of the longest piece that is kept.
 LONGEST_PIECE = 200
 
@@ -106,11 +106,12 @@ class PieceEncoder:
             if ids is None:
                 return None
         # a piece is kept when it comes a second time
-        slot = hash(part) & SLOTS
-        if not self.seen[slot]:
-            self.seen[slot] = 1
-        elif len(self.pieces) < KEPT_PIECES:
-            self.pieces[part] = ids
+        if len(self.pieces) < KEPT_PIECES:
+            slot = hash(part) & SLOTS
+            if self.seen[slot]:
+                self.pieces[part] = ids
+            else:
+                self.seen[slot] = 1
         return ids
 
     def _mixed(self, part: str) -> bytes | None:
@@ -133,6 +134,8 @@ class PieceEncoder:
 
     def _tail(self, stops: str) -> bytes:
         if stops not in self.tails:
+            if len(self.tails) > KEPT_PIECES // 10:
+                self.tails.clear()
             self.tails[stops] = self._bytes(stops)
         return self.tails[stops]
 

@@ -19,7 +19,7 @@ def reference_ids(text):
 
 ODD = ["a  b", "  a", " a b ", "\n a", "a \n b", "a\n \n b", "a.\nb.,c. d", "x's, don't.", "a.,;", "...", ". .", "é. b",
        " .\n.,a", "x \ny", "a\n\nb", "\na", "a\n", "1. 2, 3", "word,1 a-b (c) \"d\"", "é́ x", "\x00a \x00b",
-       "a b c d", "ABC def.GHI", "你好 世界。 ok", "a's's b'", "'s x", "\t\tx y", "tail ", "", "x" * 500]
+       "a b c d", "ABC def.GHI", "你好 世界。 ok", "a's's b'", "'s x", "x' y''. z's' w's", "ab*** cd!! e_f_ (g) [h]", "don't' it's.", "\t\tx y", "tail ", "", "x" * 500]
 
 
 @pytest.mark.parametrize("text", ODD)
