@@ -4,9 +4,8 @@
    ends; blank lines are passed over.  From each line on, the shortest run of
    lines with at least ``MIN_WORDS`` words is a unit.  Two documents that
    share a block of that many words share a unit, whatever its lines' lengths.
-2. A unit of several documents that is rare -- in at most ``RARE_SHARE`` of all
-   documents -- pairs each document with the earliest that has it, so a group
-   of n documents makes n-1 pairs.
+2. A unit of several documents pairs each document with the earliest that has
+   it, however many they are, so a group of n documents makes n-1 pairs.
 3. Each pair is aligned with patience diff.  Aligned blocks of at least
    ``MIN_WORDS`` words are deleted from the later document; this repeats on
    what is left, which catches passages whose order differs.
@@ -33,7 +32,6 @@ from loanlens.llm.storage import Workspace
 from loanlens.llm.text import mix64, row_runs, signed, span_hashes, text_bytes, word_marks
 
 MIN_WORDS = 10
-RARE_SHARE = 0.5
 #: Line numbers of all cuts that are sent to every task (about 16 MB); more are joined by a shuffle.
 SENT_LINES = 4_000_000
 
@@ -232,7 +230,7 @@ def _cuts(pairs: DataFrame, lines: DataFrame, least: int) -> DataFrame:
             .mapInArrow(run, "uid long, cut array<int>"))
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, rare_share: float = RARE_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``text`` cut, and ``n_removed``, the number of lines that went."""
     work = Workspace(docs.sparkSession, "lines")
     rows = work.write(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
@@ -241,9 +239,8 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, rare_share: float = RAR
                                                F.col("row.text").cast("string").alias("text"))), "lines")
     found = _unit_table(lines, least)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
-    limit = max(2.0, rare_share * rows.count())
     led = (found.groupBy("unit").agg(F.min(order).alias("lead"), F.count("*").alias("n"))
-           .where(F.col("n").between(2, limit)).select("unit", F.col("lead.uid").alias("first")))
+           .where("n > 1").select("unit", F.col("lead.uid").alias("first")))
     pairs = found.join(led, "unit").where("uid <> first").select("first", "uid").distinct()
     cuts = work.write(_cuts(pairs, lines, least).groupBy("uid")
                       .agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts")

@@ -173,6 +173,16 @@ def test_line_dedup_keeps_first_and_deletes_later_blocks(spark):
         assert all(x in got[k].text for x in own[k])
 
 
+def test_line_dedup_of_a_passage_in_all_documents(spark):
+    rng = random.Random(8)
+    for n in (3, 40):
+        shared = passage(rng, 60)
+        texts = ["\n".join([passage(rng, 12), shared, passage(rng, 12)]) for _ in range(n)]
+        got = {r.doc_id: r for r in line_align.line_dedup_digest(make_documents(spark, texts)).collect()}
+        assert got[0].text == texts[0]
+        assert all(got[k].text == texts[k].replace(shared + "\n", "") for k in range(1, n))
+
+
 def test_line_dedup_of_odd_rows(odd_documents, no_documents):
     got = line_align.dedup_lines(odd_documents).collect()
     assert len(got) == odd_documents.count() and got[0].asDict().keys() >= {"uid", "row", "n", "size", "n_removed"}
