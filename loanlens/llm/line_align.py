@@ -8,7 +8,9 @@
    it, however many they are, so a group of n documents makes n-1 pairs.
 3. Each pair is aligned with patience diff.  Aligned blocks of at least
    ``MIN_WORDS`` words are deleted from the later document; this repeats on
-   what is left, which catches passages whose order differs.
+   what is left.  When an alignment has no such block, all lines in runs of
+   ``MIN_WORDS`` words that stand in both, in whatever order, are deleted, until
+   the pair shares no unit.
 
 Earlier means the smaller ``doc_id``, nulls last, and among equal ids the row
 read first.  The earliest document that has a line always keeps it.
@@ -20,7 +22,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -157,9 +159,43 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _least_runs(lines: list[int], size: dict[int, int], least: int) -> list[tuple[int, int]]:
+    """(start, stop) of the shortest runs of ``least`` words from each line on and up to each line.
+
+    Lines without a size break a run.  Each run of ``least`` words or more is
+    covered by the shortest ones inside it.
+    """
+    out, base = [], 0
+    while base < len(lines):
+        total = [0]
+        while base + len(total) <= len(lines) and lines[base + len(total) - 1] in size:
+            total.append(total[-1] + size[lines[base + len(total) - 1]])
+        if total[-1] >= least:
+            for k, before in enumerate(total):
+                stop = bisect_left(total, before + least)
+                if stop < len(total):
+                    out.append((base + k, base + stop))
+                if before >= least:
+                    out.append((base + bisect_right(total, before - least) - 1, base + k))
+        base += len(total)
+    return out
+
+
+def shared_runs(a: list[int], b: list[int], words: list[int], least: int = MIN_WORDS) -> set[int]:
+    """Positions of ``b`` in runs of at least ``least`` words that ``a`` has at any place."""
+    every = set(a)
+    size = {line: n for line, n in zip(b, words) if line in every}
+    own = _least_runs(b, size, least)
+    if not own:
+        return set()
+    theirs = {tuple(a[i:j]) for i, j in _least_runs(a, size, least)}
+    return {x for i, j in own if tuple(b[i:j]) in theirs for x in range(i, j)}
+
+
 def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN_WORDS) -> set[int]:
     """Positions of ``b`` in aligned blocks of at least ``least`` words."""
     gone: set[int] = set()
+    whole = shared_runs(a, b, words, least)
     left = list(range(len(b)))
     while left:
         pairs = patience(a, [b[j] for j in left])
@@ -174,6 +210,9 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN
             if j >= 0:
                 run.append(left[j])
             last = (i, j)
+        if not new:
+            # what moved crosses the alignment; at last, runs that closed up over cut lines
+            new = whole - gone or {left[k] for k in shared_runs(a, [b[j] for j in left], [words[j] for j in left], least)}
         if not new:
             break
         gone |= new

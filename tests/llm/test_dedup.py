@@ -140,6 +140,24 @@ def test_patience_aligns_equal_lines_in_order():
     assert line_align.patience([1, 2, 3, 4], [1, 9, 3, 4]) == [(0, 0), (2, 2), (3, 3)]
 
 
+def test_moved_passages_are_cut():
+    # a passage behind short lines that align: 1 is the passage, 2 and 3 are short and shared
+    assert line_align.common_blocks([1, 2, 4, 3, 5], [2, 6, 3, 7, 1], [3, 12, 3, 12, 60]) == {4}
+    assert line_align.common_blocks([1, 2], [2, 1], [3, 60]) == {1}
+    rng = random.Random(5)
+    for _ in range(500):
+        size = [rng.randrange(1, 7) for _ in range(9)]
+        a, b = ([rng.randrange(9) for _ in range(rng.randrange(16))] for _ in range(2))
+        # every run of ten words or more that both have, by brute force
+        runs = {tuple(a[i:j]) for i in range(len(a)) for j in range(i + 1, len(a) + 1) if sum(size[x] for x in a[i:j]) >= 10}
+        want = {x for i in range(len(b)) for j in range(i + 1, len(b) + 1) if tuple(b[i:j]) in runs for x in range(i, j)}
+        assert line_align.shared_runs(a, b, [size[x] for x in b]) == want
+        gone = line_align.common_blocks(a, b, [size[x] for x in b])
+        assert want <= gone
+        left = [x for k, x in enumerate(b) if k not in gone]
+        assert not line_align.shared_runs(a, left, [size[x] for x in left])
+
+
 def passage(rng, n):
     return " ".join(words(rng, n, 5000))
 
