@@ -11,6 +11,13 @@
    what is left.  When an alignment has no such block, all lines in runs of
    ``MIN_WORDS`` words that stand in both, in whatever order, are deleted, until
    the pair shares no unit.
+4. A line of fewer than ``MIN_WORDS`` words can't make a block alone.  One of
+   at least ``LEAST_BYTES`` bytes that ``COMMON_DOCS`` documents or more hold
+   is no chance repetition: it goes from all but the earliest of them.
+
+A word is a run without white space.  In scripts that put no spaces between
+words (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every two characters
+count as one.
 
 Earlier means the smaller ``doc_id``, nulls last, and among equal ids the row
 read first.  The earliest document that has a line always keeps it.
@@ -34,20 +41,45 @@ from loanlens.llm.storage import Workspace
 from loanlens.llm.text import mix64, row_runs, signed, span_hashes, text_bytes, word_marks
 
 MIN_WORDS = 10
+#: A shorter line goes by itself if so many documents hold it and it has so many bytes.
+COMMON_DOCS = 50
+LEAST_BYTES = 12
 #: Line numbers of all cuts that are sent to every task (about 16 MB); more are joined by a shuffle.
 SENT_LINES = 4_000_000
 
 _LINES = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc_id", T.LongType()),
-                       T.StructField("hashes", T.BinaryType()), T.StructField("words", T.BinaryType())])
+                       T.StructField("hashes", T.BinaryType()), T.StructField("words", T.BinaryType()),
+                       T.StructField("short", T.ArrayType(T.IntegerType()))])
 _UNITS = T.StructType([T.StructField("unit", T.LongType()), T.StructField("uid", T.LongType()),
-                       T.StructField("doc_id", T.LongType())])
+                       T.StructField("doc_id", T.LongType()), T.StructField("place", T.ArrayType(T.IntegerType()))])
 _BREAK = 10
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 11, 12, 13, 32]] = True
 
 
+def _unspaced(block: np.ndarray) -> np.ndarray:
+    """Running count of characters of scripts without spaces, by their first two bytes in UTF-8."""
+    first = np.flatnonzero((block >= 0xE0) & (block <= 0xF0))
+    first = first[first < len(block) - 1]
+    lead, second = block[first], block[first + 1]
+    own = (((lead == 0xE0) & (second >= 0xB8) & (second <= 0xBB))       # Thai, Lao
+           | ((lead == 0xE1) & np.isin(second, [0x80, 0x81, 0x82, 0x9E, 0x9F]))   # Burmese, Khmer
+           | ((lead == 0xE3) & (second >= 0x81)) | ((lead >= 0xE4) & (lead <= 0xE9))  # kana, Chinese
+           | ((lead == 0xEF) & (second >= 0xA4) & (second <= 0xAB))
+           | ((lead == 0xF0) & (second >= 0xA0) & (second <= 0xB3)))
+    marks = np.zeros(len(block) + 1, np.int64)
+    marks[first[own] + 1] = 1
+    return np.cumsum(marks)
+
+
 def document_lines(column: pa.Array):
     """(hash, words) of every line of each text; a blank line has hash 0."""
+    for hashes, words, _ in _sized_lines(column):
+        yield hashes, words
+
+
+def _sized_lines(column: pa.Array):
+    """(hash, words, bytes) of every line of each text."""
     data, offsets = text_bytes(column)
     for a, b in row_runs(offsets):
         lo, hi = int(offsets[a]), int(offsets[b])
@@ -72,10 +104,12 @@ def document_lines(column: pa.Array):
         begin, end = begin.copy(), end.copy()
         begin[full], end[full] = place[first[full]], place[last[full]] + 1
         end[~full] = begin[~full]
+        dense = _unspaced(block)
+        words = np.maximum(words, -(-(dense[end] - dense[begin]) // 2))
         hashes = span_hashes(block, begin, end)
         at = 0
         for n in lines.tolist():
-            yield hashes[at:at + n], words[at:at + n].astype(np.int32)
+            yield hashes[at:at + n], words[at:at + n].astype(np.int32), (end - begin)[at:at + n]
             at += n
 
 
@@ -220,28 +254,40 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN
     return gone
 
 
-def _line_table(rows: DataFrame) -> DataFrame:
+def _line_table(rows: DataFrame, least: int) -> DataFrame:
     def run(batches):
         for batch in batches:
-            found = list(document_lines(batch.column(2)))
+            found = list(_sized_lines(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in found], pa.binary()),
-                 pa.array([w.tobytes() for _, w in found], pa.binary())], ["uid", "doc_id", "hashes", "words"])
+                [batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _, _ in found], pa.binary()),
+                 pa.array([w.tobytes() for _, w, _ in found], pa.binary()),
+                 pa.array([np.flatnonzero((w < least) & (size >= LEAST_BYTES)) for _, w, size in found],
+                          pa.list_(pa.int32()))], ["uid", "doc_id", "hashes", "words", "short"])
 
     return rows.select("uid", "doc_id", "text").mapInArrow(run, _LINES)
 
 
 def _unit_table(lines: DataFrame, least: int) -> DataFrame:
+    """Units, and short lines with their line numbers; each once a document."""
+
     def run(batches):
         for batch in batches:
-            found = [units(np.frombuffer(h, np.uint64), np.frombuffer(w, np.int32), least)
-                     for h, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            sizes = [len(x) for x in found]
-            every = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            index = pa.array(np.repeat(np.arange(len(found)), sizes))
+            keys, index, places = [], [], []
+            for k, (h, w, short) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
+                h, short = np.frombuffer(h, np.uint64), np.array(short, np.int64)
+                own = units(h, np.frombuffer(w, np.int32), least)
+                # another hash than that of a unit of the same line
+                line, inverse = np.unique(mix64(~h[short]), return_inverse=True)
+                keys += [own, line]
+                index.append(np.full(len(own) + len(line), k))
+                places += [None] * len(own)
+                order = np.argsort(inverse, kind="stable")
+                places += np.split(short[order], np.cumsum(np.bincount(inverse))[:-1]) if len(line) else []
+            every = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            at = pa.array(np.concatenate(index) if index else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(every)), batch.column(0).take(index), batch.column(1).take(index)],
-                ["unit", "uid", "doc_id"])
+                [pa.array(signed(every)), batch.column(0).take(at), batch.column(1).take(at),
+                 pa.array(places, pa.list_(pa.int32()))], ["unit", "uid", "doc_id", "place"])
 
     return lines.mapInArrow(run, _UNITS)
 
@@ -275,15 +321,18 @@ def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
     rows = work.write(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                                   F.monotonically_increasing_id().alias("uid")), "rows")
     lines = work.write(_line_table(rows.select("uid", F.col("row.doc_id").cast("long").alias("doc_id"),
-                                               F.col("row.text").cast("string").alias("text"))), "lines")
+                                               F.col("row.text").cast("string").alias("text")), least), "lines")
     found = _unit_table(lines, least)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
-    led = (found.groupBy("unit").agg(F.min(order).alias("lead"), F.count("*").alias("n"))
-           .where("n > 1").select("unit", F.col("lead.uid").alias("first")))
-    pairs = found.join(led, "unit").where("uid <> first").select("first", "uid").distinct()
-    cuts = work.write(_cuts(pairs, lines, least).groupBy("uid")
+    short = F.col("place").isNotNull()
+    led = (found.groupBy("unit").agg(F.min(order).alias("lead"), F.count("*").alias("n"), F.max(short).alias("short"))
+           .where(F.col("n") >= F.when(F.col("short"), COMMON_DOCS).otherwise(2)).select("unit", F.col("lead.uid").alias("first")))
+    met = work.write(found.join(led, "unit").where("uid <> first").groupBy("first", "uid")
+                     .agg(F.max(~short).alias("paired"), F.flatten(F.collect_list("place")).alias("place")), "met")
+    cuts = _cuts(met.where("paired").select("first", "uid"), lines, least)
+    cuts = work.write(cuts.union(met.where(F.size("place") > 0).select("uid", "place")).groupBy("uid")
                       .agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts")
-    work.remove("lines")
+    work.remove("lines", "met")
     # lists of lines that go, a few bytes a line: sent to every task while they are few
     if (cuts.agg(F.sum(F.size("cut") + 4)).first()[0] or 0) <= SENT_LINES:
         cuts = F.broadcast(cuts)

@@ -201,6 +201,24 @@ def test_line_dedup_of_a_passage_in_all_documents(spark):
         assert all(got[k].text == texts[k].replace(shared + "\n", "") for k in range(1, n))
 
 
+def test_line_dedup_of_common_short_lines_and_unspaced_scripts(spark):
+    rng = random.Random(9)
+    share, yes, few = "Share this page with your friends", "Yes.", "nine words that stand in only a few texts"
+    chinese = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(24))
+    thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(30))
+    texts = []
+    for k in range(70):
+        lines = [yes, passage(rng, 12), share, passage(rng, 12), share]
+        lines += [passage(rng, 12), few] if k % 20 == 0 else []
+        lines += [passage(rng, 12), chinese, passage(rng, 12), thai] if k % 10 == 0 else []
+        texts.append("\n".join(lines))
+    got = {r.doc_id: r for r in line_align.line_dedup_digest(make_documents(spark, texts)).collect()}
+    assert got[0].text == texts[0]
+    for k in range(1, 70):
+        want = [x for x in texts[k].split("\n") if x not in (share, chinese, thai)]
+        assert got[k].text.split("\n") == want and got[k].n_removed == 2 + 2 * (k % 10 == 0)
+
+
 def test_line_dedup_of_odd_rows(odd_documents, no_documents):
     got = line_align.dedup_lines(odd_documents).collect()
     assert len(got) == odd_documents.count() and got[0].asDict().keys() >= {"uid", "row", "n", "size", "n_removed"}
