@@ -190,6 +190,25 @@ def test_languages_on_held_out_rows(spark, corpus):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_large_language_models_keep_every_gram(spark, corpus, monkeypatch):
+    texts, _, langs = corpus
+    rows = [(k, t, x) for k, (t, x) in enumerate(zip(texts, langs))]
+    rows += [(7000, None, "en"), (7001, "", "de"), (7002, "12 !?", "fr"), (None, texts[0], None), (7004, "é 你好 \U00020000", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sent = language_id.fit_language_model(docs)
+    want = sorted((str(r.doc_id), r) for r in language_id.identify_languages(docs, sent).collect())
+    # far fewer than the grams of the three languages: tables are joined and no gram is left out
+    monkeypatch.setattr(language_id, "SENT_GRAMS", 100)
+    monkeypatch.setattr(language_id, "RUN_CHARS", 20_000)
+    model = language_id.fit_language_model(docs)
+    assert model.tables is not None and not model.models
+    assert model.temper == sent.temper and abs(model.reject_above - sent.reject_above) < 1e-9
+    got = sorted((str(r.doc_id), r) for r in language_id.identify_languages(docs, model).collect())
+    assert len(got) == len(want)
+    for (_, g), (_, w) in zip(got, want):
+        assert g[:3] == w[:3] and abs(g.score - w.score) < 1e-9 and g.rejected == w.rejected
+
+
 def test_languages_of_nothing(no_documents, odd_documents):
     model = language_id.fit_language_model(no_documents)
     assert language_id.identify_languages(no_documents, model).collect() == []
