@@ -885,12 +885,13 @@ def build_q(spark, sf):
 def ensemble_q(spark, sf):
     """Train on labelled documents, score the unlabelled ones (rows-only:
     tree ensembles are not SQL-expressible)."""
-    from loanlens.plans.training import BoostParams, train_and_score
+    from loanlens.plans.training import BoostParams, cross_validate, final_round_count, train_and_score
     d = _docs(spark, sf).withColumn("n_lines", F.col("n_chars") / 80.0)
     tr, te = d.where(F.col("quality").isNotNull()), d.where(F.col("quality").isNull())
+    features, cats, base = ["n_chars", "n_lines", "lang", "source"], ["lang", "source"], BoostParams(min_instances=5)
+    _scores, best, _imp = cross_validate(tr, features, cats, "quality", "doc_id", params=base)
     preds, _imp, _models = train_and_score(
-        tr, te, ["n_chars", "n_lines", "lang", "source"], ["lang", "source"], "quality", "doc_id",
-        rounds=5, members=7, base=BoostParams(min_instances=5))
+        tr, te, features, cats, "quality", "doc_id", rounds=final_round_count(best), members=7, base=base)
     return preds
 
 

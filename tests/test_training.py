@@ -86,3 +86,24 @@ def test_cross_validation_and_scoring_on_a_small_frame(spark):
 def test_folds_keep_repeated_ids(spark):
     df = spark.createDataFrame([(i % 50, i % 2) for i in range(100)], "id long, y int")
     assert stratified_folds(df, "y", "id", 5, 1).count() == 100
+
+
+def test_ensemble_query_takes_its_rounds_from_cross_validation(spark, monkeypatch, tmp_path):
+    from loanlens.plans import registry, training
+    spark.createDataFrame([(k, "en", "a", 10 * k) for k in range(6)], "doc_id long, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    seen = {}
+
+    def cross_validate(train, *args, params, **kwargs):
+        seen["train"], seen["most"] = train.count(), params.max_iter
+        return [], [20, 41], None
+
+    def train_and_score(train, test, *args, rounds, members, **kwargs):
+        seen["rounds"], seen["members"] = rounds, members
+        return test, None, None
+
+    monkeypatch.setattr(training, "cross_validate", cross_validate)
+    monkeypatch.setattr(training, "train_and_score", train_and_score)
+    registry.QUERIES["m2_m8_ensemble_scores"](spark, str(tmp_path))
+    assert seen == {"train": 4, "most": 10_000, "rounds": 32, "members": 7}
