@@ -9,10 +9,11 @@ above the source's size first takes whole epochs of it; what is left is
 filled with documents in ascending order of the key, up to the document that
 brings the source nearest to its target.
 
-The running sum is distributed: a document's slot follows from its key by a
-rising function, each slot holds about ``SLOT_ROWS`` rows and is summed by
-itself, and slots add the sums of the slots before them.  A source with a third of all rows
-has many slots.
+The running sum is distributed: the rows are range-partitioned on source, key,
+``doc_id``, size and row into slots of about ``SLOT_ROWS`` rows, whatever the
+weights and ids; each slot is summed by itself, and slots add the sums of the
+slots before them.  A source with a third of all rows has many slots.  The
+sums over sources are distributed alike.
 
 The quality weight of a text is the share of ASCII letters among its
 characters, (1 + letters) / (1 + characters).
@@ -28,11 +29,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loanlens.llm.storage import Workspace
+from loanlens.operators.ordered import prefix_sums
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 SLOT_ROWS = 4_000
+#: Range partitions at most; beyond that slots get longer.
+MOST_SLOTS = 20_000
 #: Sources up to this many are sent to every task; more are joined by a shuffle.
 SENT_SOURCES = 100_000
 
@@ -60,22 +64,19 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share
     A source is full while its cap per weight is at most what each weight
     unit still gets; the level of the first that isn't holds for all after it.
     """
-    rank = Window.orderBy(F.asc_nulls_last("source"))
-    by_cap = Window.orderBy("ratio", F.asc_nulls_last("source"))
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                          ((F.row_number().over(rank) - 1) % len(weights) + 1).cast("int"))
-    led = (sources.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(most))
-           .withColumn("ratio", F.col("cap") / F.col("weight"))
-           .withColumn("place", F.row_number().over(by_cap))
-           .withColumn("level", (F.sum("source_size").over(whole) * F.lit(share)
-                                 - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-                       / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))))
-    open_level = F.when(F.col("ratio") > F.col("level"), F.struct("place", "level"))
-    led = led.withColumn("first", F.min(open_level).over(whole))
+    named = sources.select("source", "source_size", F.col("source").isNull().alias("nameless"), F.lit(1).alias("one"))
+    named = prefix_sums(named, [], ["nameless", "source"], {"one": ("ahead", "n")})
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("ahead") % len(weights) + 1).cast("int"))
+    led = (named.drop("n", "one").withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(most))
+           .withColumn("ratio", F.col("cap") / F.col("weight")))
+    led = prefix_sums(led, [], ["ratio", "nameless", "source"], {
+        "cap": ("cap_before", "cap_all"), "weight": ("weight_before", "weight_all"),
+        "source_size": ("size_before", "size_all")})
+    led = led.withColumn("level", (F.col("size_all") * F.lit(share) - F.col("cap_before"))
+                         / (F.col("weight_all") - F.col("weight_before")))
+    first = led.where("ratio > level").agg(F.min(F.struct("ratio", "nameless", "source", "level")).alias("first"))
     target = F.least("cap", F.coalesce(F.col("first.level") * F.col("weight"), F.col("cap")))
-    return led.select("source", "source_size", "n_docs", "mean_weight", target.alias("target"))
+    return led.crossJoin(F.broadcast(first)).select("source", "source_size", target.alias("target"))
 
 
 def mix_documents(docs: DataFrame, carry: list[str], weights: tuple[int, ...] = WEIGHTS,
@@ -83,20 +84,19 @@ def mix_documents(docs: DataFrame, carry: list[str], weights: tuple[int, ...] =
     """``carry`` columns with size, source_size, target and copies (0, 1 or more)."""
     work = Workspace(docs.sparkSession, "mixing")
     kept = F.struct(*[F.col(c) for c in carry]).alias("row")
-    rows = work.write(docs.select(
+    slots = min(MOST_SLOTS, max(1, -(-docs.count() // SLOT_ROWS)))
+    rows = docs.select(
         kept, F.col("source").cast("string").alias("source"), F.monotonically_increasing_id().alias("uid"),
         F.col("doc_id").alias("tie"), word_count("text").alias("size"),
-        (-F.log(uniform(F.col("doc_id"))) / quality_weight("text")).alias("key"),
-        quality_weight("text").alias("quality")), "rows")
-    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"),
-                                         F.avg("quality").alias("mean_weight"))
+        (-F.log(uniform(F.col("doc_id"))) / quality_weight("text")).alias("key"))
+    rows = work.write(rows.repartitionByRange(slots, "source", "key", "tie", "size", "uid")
+                      .withColumn("slot", F.spark_partition_id()), "rows")
+    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = work.write(source_targets(sources, weights, share, most), "targets")
     if targets.count() <= SENT_SOURCES:
         targets = F.broadcast(targets)
-    slots = F.ceil(F.col("n_docs") / SLOT_ROWS)
-    slot = F.least(F.floor((1 - F.exp(-F.col("key") * F.col("mean_weight"))) * slots), slots - 1)
     led = (rows.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-           .drop("of").withColumn("slot", slot))
+           .drop("of"))
     sums = led.groupBy("source", "slot").agg(F.sum("size").alias("slot_size"))
     ahead = Window.partitionBy("source").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     sums = work.write(sums.select(F.col("source").alias("of"), F.col("slot").alias("at"),

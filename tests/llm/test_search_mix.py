@@ -3,6 +3,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loanlens.llm import mixing, topk_search
 from tests.llm.conftest import make_documents, words
@@ -72,6 +73,27 @@ def test_mix_matches_the_sql(spark, monkeypatch, tmp_path):
             assert g[:3] == w[:3] and abs(g[3] - w[3]) < 1e-6 and g[4] == w[4]
 
 
+def test_slots_stay_small_for_unlike_weights_and_equal_ids(spark, monkeypatch):
+    # ten words each: most in another script, many without an id
+    texts = [" ".join(["word" if k % 4 == 0 else "\u4f60\u597d\u4f60\u597d"] * 10) for k in range(800)]
+    ids = [None if k % 3 == 0 else k for k in range(800)]
+    docs = make_documents(spark, texts, ids).withColumn("source", F.lit("one"))
+    monkeypatch.setattr(mixing, "SLOT_ROWS", 40)
+    bases = []
+    write = mixing.Workspace.write
+
+    def kept(self, df, table):
+        out = write(self, df, table)
+        if table == "slots":
+            bases.extend(sorted(r.base for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(mixing.Workspace, "write", kept)
+    rows = mixing.mix_documents(docs, ["doc_id"]).collect()
+    assert len(rows) == 800 and sum(r.copies for r in rows) == 1200
+    assert max(b - a for a, b in zip(bases, [*bases[1:], 8000])) <= 10 * 3 * 40
+
+
 def brute_targets(sizes, weights, total):
     target, open_ = {}, set(sizes)
     left = total
