@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loanlens.llm import (language_id, lattice_dedup, line_align, minhash_dedup, mixing, packing, pu_quality,
+from loanlens.llm import (hard_negatives, language_id, lattice_dedup, line_align, minhash_dedup, mixing, packing, pu_quality,
                           token_files, topk_search, toxicity)
 from loanlens.llm.storage import read_table, ship_package
 
@@ -53,7 +53,11 @@ def op10_topk_search(spark, sf_dir):
     return topk_search.top_k_digest(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    return hard_negatives.hard_negative_digest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_minhash_dedup, op3_mixing, op4_line_align, op5_pu_quality, op6_packing, op7_lattice_dedup,
-    op8_toxicity, op9_language_id, op10_topk_search)}
-ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL}
+    op8_toxicity, op9_language_id, op10_topk_search, op11_hard_negatives)}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL, "op11_hard_negatives": hard_negatives.ORACLE_SQL}
