@@ -81,6 +81,8 @@ def _hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     if not len(begin):
         return np.zeros(0, _U64)
     length = end - begin
+    if int(length.max()) > CHUNK:
+        return _hash_long_spans(data, begin, end)
     first = np.zeros(len(begin), np.int64)
     np.cumsum(length[:-1], out=first[1:])
     position = np.arange(int(length.sum()), dtype=np.int64) - np.repeat(first, length)
@@ -92,8 +94,27 @@ def _hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     return mix64(total + length.astype(_U64) * _U64(0x9E3779B97F4A7C15))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, words of each row) of the rows given."""
+def _hash_long_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``_hash_spans`` where a span is longer than a block: block by block, with the base's power so far."""
+    out = np.zeros(len(begin), _U64)
+    long = end - begin > CHUNK
+    out[~long] = _hash_spans(data, begin[~long], end[~long])
+    power = np.full(CHUNK, _BASE, dtype=_U64)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    for k in np.flatnonzero(long).tolist():
+        a, b = int(begin[k]), int(end[k])
+        total, before = np.zeros(1, _U64), np.ones(1, _U64)
+        for c in range(a, b, CHUNK):
+            block = _BYTE[data[c:min(b, c + CHUNK)]]
+            total += before * (block * power[:len(block)]).sum(dtype=_U64)
+            before *= power[-1] * _BASE
+        out[k] = mix64(total + np.array([b - a], _U64) * _U64(0x9E3779B97F4A7C15))[0]
+    return out
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words in order, words of each row) of the rows given; A-Z are lower-cased unless told otherwise."""
     base, stop = int(offsets[0]), int(offsets[-1])
     hashes, begins = [], []
     at = base
@@ -102,7 +123,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
         while to < stop and not _WHITE[data[to]]:
             step = np.flatnonzero(_WHITE[data[to:min(stop, to + 4096)]])
             to = min(stop, to + 4096) if not len(step) else to + int(step[0])
-        block = _LOWER[data[at:to]]
+        block = _LOWER[data[at:to]] if lower else data[at:to]
         begin, end = _word_bounds(block, offsets - at)
         hashes.append(_hash_spans(block, begin, end))
         begins.append(begin + at)
