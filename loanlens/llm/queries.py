@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loanlens.llm import (hard_negatives, language_id, lattice_dedup, line_align, minhash_dedup, mixing, packing,
-                          pu_quality, quality_rules, token_files, topk_search, toxicity)
+from loanlens.llm import (hard_negatives, language_id, lattice_dedup, lexical_search, line_align, minhash_dedup, mixing,
+                          packing, pu_quality, quality_rules, token_files, topk_search, toxicity)
 from loanlens.llm.storage import read_table, ship_package
 
 
@@ -61,7 +61,13 @@ def op12_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_lexical_search(spark, sf_dir):
+    return lexical_search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_minhash_dedup, op3_mixing, op4_line_align, op5_pu_quality, op6_packing, op7_lattice_dedup,
-    op8_toxicity, op9_language_id, op10_topk_search, op11_hard_negatives, op12_quality_rules)}
-ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL, "op11_hard_negatives": hard_negatives.ORACLE_SQL}
+    op8_toxicity, op9_language_id, op10_topk_search, op11_hard_negatives, op12_quality_rules,
+    op13_lexical_search)}
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL, "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+                          "op13_lexical_search": lexical_search.ORACLE_SQL}

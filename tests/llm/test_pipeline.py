@@ -56,4 +56,4 @@ def test_every_operator_is_registered():
     import __spark_entry__
     names = set(__spark_entry__.queries())
     assert {*queries.QUERIES, "pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 13)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
