@@ -9,12 +9,14 @@ after a letter.  So a text is cut there, each piece is encoded by the
 library (a word of letters by its model alone, since it is one pre-token),
 the pieces met first are kept in a table, and the text's ids are the pieces'
 ids in order.  A text with white space in a row or
-at an end, or with a very long piece, goes through the library whole.
+at an end, with a very long piece, or with the content of one of the file's
+added tokens, goes through the library whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from array import array
 
 import numpy as np
@@ -61,10 +63,12 @@ class PieceEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary_path(name))
-        self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.size = self.tokenizer.get_vocab_size()
+        # the library looks for these before it cuts a text into pre-tokens
+        added = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()}, key=len, reverse=True)
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.tokenize = self.tokenizer.model.tokenize
@@ -85,6 +89,8 @@ class PieceEncoder:
         """The ids of one whole text; none for a null."""
         if not text:
             return np.zeros(0, self.dtype)
+        if self.added and self.added.search(text):
+            return self._array(self.tokenizer.encode(text, add_special_tokens=False).ids)
         # a line's first piece carries the break before it; the text gets one in front
         parts = ("\n" + text).replace("\n", " \n").split(" ")
         found = list(map(self.pieces.get, parts))

@@ -1,8 +1,10 @@
+import functools
 import random
 import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from loanlens.llm import huffman, packing, token_files
 from loanlens.llm.tokens import PieceEncoder
@@ -13,13 +15,23 @@ def encoder():
     return PieceEncoder.get(token_files.VOCABULARY)
 
 
+@functools.cache
+def library():
+    """A tokenizer that none of our code has touched."""
+    import public_tokenizers
+    return Tokenizer.from_file(str(public_tokenizers.path(token_files.VOCABULARY)))
+
+
 def reference_ids(text):
-    return encoder().tokenizer.encode(text or "", add_special_tokens=False).ids
+    return library().encode(text or "", add_special_tokens=False).ids
 
 
 ODD = ["a  b", "  a", " a b ", "\n a", "a \n b", "a\n \n b", "a.\nb.,c. d", "x's, don't.", "a.,;", "...", ". .", "é. b",
        " .\n.,a", "x \ny", "a\n\nb", "\na", "a\n", "1. 2, 3", "word,1 a-b (c) \"d\"", "é́ x", "\x00a \x00b",
-       "a b c d", "ABC def.GHI", "你好 世界。 ok", "a's's b'", "'s x", "x' y''. z's' w's", "ab*** cd!! e_f_ (g) [h]", "don't' it's.", "\t\tx y", "tail ", "", "x" * 500]
+       "a b c d", "ABC def.GHI", "你好 世界。 ok", "a's's b'", "'s x", "x' y''. z's' w's", "ab*** cd!! e_f_ (g) [h]", "don't' it's.", "\t\tx y", "tail ", "", "x" * 500,
+       "<|endoftext|> at the start", "hello <|endoftext|> world", "at the end <|endoftext|>", "<|endoftext|>",
+       "a<|endoftext|><|endoftext|>b <|endoftext|>", "<|endoftext|", "<|endoftext |>", "line\n<|endoftext|>\nline",
+       "</s> <s> <pad> <unk> [SEP] <|padding|>"]
 
 
 @pytest.mark.parametrize("text", ODD)
