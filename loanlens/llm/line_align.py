@@ -2,29 +2,36 @@
 
 1. A document is the sequence of its lines without white space at their
    ends; blank lines are passed over.  From each line on, the shortest run of
-   lines with at least ``MIN_WORDS`` words is a unit.  Two documents that
+   lines with at least ``least`` words is a unit.  Two documents that
    share a block of that many words share a unit, whatever its lines' lengths.
 2. A unit of several documents pairs each document with the earliest that has
    it, however many they are, so a group of n documents makes n-1 pairs.
 3. Each pair is aligned with patience diff.  Aligned blocks of at least
-   ``MIN_WORDS`` words are deleted from the later document; this repeats on
+   ``least`` words are deleted from the later document; this repeats on
    what is left.  When an alignment has no such block, all lines in runs of
-   ``MIN_WORDS`` words that stand in both, in whatever order, are deleted, until
+   ``least`` words that stand in both, in whatever order, are deleted, until
    the pair shares no unit.
-4. A line of fewer than ``MIN_WORDS`` words can't make a block alone.  One of
-   at least ``LEAST_BYTES`` bytes that ``COMMON_DOCS`` documents or more hold
-   is no chance repetition: it goes from all but the earliest of them.
+
+What a document loses depends on itself and on earlier documents that hold
+its lines, never on how many documents there are.  A line of fewer words goes
+as part of a block; alone it stays, however often it occurs.
 
 A word is a run without white space.  In scripts that put no spaces between
 words (Chinese, Japanese, Thai, Lao, Khmer, Burmese) every two characters
 count as one.
 
+Units that many documents hold are few, so their leads are sent to the tasks;
+the others are joined by a shuffle.  The documents of a lead are dealt into
+groups, and its lines go to each group once.
+
 Earlier means the smaller ``doc_id``, nulls last, and among equal ids the row
 read first.  The earliest document that has a line always keeps it.
 
 Defined results: null and empty texts stay as they are; a document whose
-lines all go has the empty text; rows that repeat are later documents; an
-empty table gives no rows.
+lines all go has the empty text; rows that repeat are later documents; very
+long texts are read in segments of about ``CHUNK`` bytes cut at line breaks; an
+empty table gives no rows; a column ``n_removed`` is replaced, other columns
+stay whatever their names.
 """
 
 from __future__ import annotations
@@ -38,20 +45,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.llm.storage import Workspace
-from loanlens.llm.text import mix64, row_runs, signed, span_hashes, text_bytes, word_marks
+from loanlens.llm.text import CHUNK, _WHITE, mix64, row_runs, signed, span_hashes, text_bytes, word_marks
 
 MIN_WORDS = 10
-#: A shorter line goes by itself if so many documents hold it and it has so many bytes.
-COMMON_DOCS = 50
-LEAST_BYTES = 12
+#: Units with more than one of so many unit rows are joined by a broadcast; there are fewer of them than this.
+HOT_UNITS = 100_000
+#: Later documents that share one copy of their lead's lines.
+LEAD_GROUP = 256
 #: Line numbers of all cuts that are sent to every task (about 16 MB); more are joined by a shuffle.
 SENT_LINES = 4_000_000
 
 _LINES = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc_id", T.LongType()),
-                       T.StructField("hashes", T.BinaryType()), T.StructField("words", T.BinaryType()),
-                       T.StructField("short", T.ArrayType(T.IntegerType()))])
+                       T.StructField("hashes", T.BinaryType()), T.StructField("words", T.BinaryType())])
 _UNITS = T.StructType([T.StructField("unit", T.LongType()), T.StructField("uid", T.LongType()),
-                       T.StructField("doc_id", T.LongType()), T.StructField("place", T.ArrayType(T.IntegerType()))])
+                       T.StructField("doc_id", T.LongType())])
 _BREAK = 10
 _BLANKS = np.zeros(256, bool)
 _BLANKS[[9, 11, 12, 13, 32]] = True
@@ -74,43 +81,81 @@ def _unspaced(block: np.ndarray) -> np.ndarray:
 
 def document_lines(column: pa.Array):
     """(hash, words) of every line of each text; a blank line has hash 0."""
-    for hashes, words, _ in _sized_lines(column):
-        yield hashes, words
-
-
-def _sized_lines(column: pa.Array):
-    """(hash, words, bytes) of every line of each text."""
     data, offsets = text_bytes(column)
     for a, b in row_runs(offsets):
         lo, hi = int(offsets[a]), int(offsets[b])
         block = data[lo:hi]
-        rows = offsets[a:b + 1] - lo
-        breaks = np.flatnonzero(block == _BREAK)
-        # a line begins at a row's start and after a break
-        begin = np.sort(np.concatenate([rows[:-1], breaks + 1]), kind="stable")
-        end = np.sort(np.concatenate([rows[1:], breaks]), kind="stable")
-        lines = np.searchsorted(breaks, rows[1:]) - np.searchsorted(breaks, rows[:-1]) + 1
-        solid = np.cumsum(np.concatenate([[0], ~(_BLANKS[block] | (block == _BREAK))]))
-        marks = word_marks(block)
-        words = marks[end] - marks[begin]
-        # a word that runs on from the row before has no start of its own
-        for at in np.unique(rows[(rows > 0) & (rows < len(block))]).tolist():
-            if marks[at + 1] == marks[at] and solid[at + 1] > solid[at]:
-                words[np.searchsorted(begin, at, side="right") - 1] += 1
-        place = np.flatnonzero(np.diff(solid))
-        first = np.searchsorted(place, begin)
-        last = np.searchsorted(place, end) - 1
-        full = last >= first
-        begin, end = begin.copy(), end.copy()
-        begin[full], end[full] = place[first[full]], place[last[full]] + 1
-        end[~full] = begin[~full]
-        dense = _unspaced(block)
-        words = np.maximum(words, -(-(dense[end] - dense[begin]) // 2))
-        hashes = span_hashes(block, begin, end)
-        at = 0
-        for n in lines.tolist():
-            yield hashes[at:at + n], words[at:at + n].astype(np.int32), (end - begin)[at:at + n]
-            at += n
+        if b - a > 1 or hi - lo <= CHUNK:
+            yield from _run_lines(block, offsets[a:b + 1] - lo)
+            continue
+        # one long text
+        parts = [_long_line(block[i:j]) if j - i > CHUNK else next(_run_lines(block[i:j], np.array([0, j - i])))
+                 for i, j in _segments(block)]
+        yield np.concatenate([h for h, _ in parts]), np.concatenate([w for _, w in parts])
+
+
+def _segments(block: np.ndarray):
+    """Ranges of a long text between line breaks, of ``CHUNK`` bytes or a longer line."""
+    at, end = 0, len(block)
+    while True:
+        to = end
+        if end - at > CHUNK:
+            breaks = np.flatnonzero(block[at:at + CHUNK] == _BREAK)
+            if len(breaks):
+                to = at + int(breaks[-1])
+            else:
+                for c in range(at + CHUNK, end, CHUNK):
+                    breaks = np.flatnonzero(block[c:c + CHUNK] == _BREAK)
+                    if len(breaks):
+                        to = c + int(breaks[0])
+                        break
+        yield at, to
+        if to == end:
+            return
+        at = to + 1
+
+
+def _long_line(block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_run_lines`` of one line longer than a block, without eight bytes for each of its own."""
+    solid = ~_BLANKS[block]
+    if not solid.any():
+        return np.zeros(1, np.uint64), np.zeros(1, np.int32)
+    begin, end = int(solid.argmax()), len(solid) - int(solid[::-1].argmax())
+    inside = ~_WHITE[block[begin:end]]
+    words = 1 + np.count_nonzero(inside[1:] & ~inside[:-1])
+    # a character is known by its first two bytes, so blocks overlap by one
+    dense = sum(int(_unspaced(block[c:min(end, c + CHUNK) + (c + CHUNK < end)])[-1]) for c in range(begin, end, CHUNK))
+    return span_hashes(block, np.array([begin]), np.array([end])), np.array([max(words, -(-dense // 2))], np.int32)
+
+
+def _run_lines(block: np.ndarray, rows: np.ndarray):
+    """(hash, words) of the lines of each row of a run."""
+    breaks = np.flatnonzero(block == _BREAK)
+    # a line begins at a row's start and after a break
+    begin = np.sort(np.concatenate([rows[:-1], breaks + 1]), kind="stable")
+    end = np.sort(np.concatenate([rows[1:], breaks]), kind="stable")
+    lines = np.searchsorted(breaks, rows[1:]) - np.searchsorted(breaks, rows[:-1]) + 1
+    solid = np.cumsum(np.concatenate([[0], ~(_BLANKS[block] | (block == _BREAK))]))
+    marks = word_marks(block)
+    words = marks[end] - marks[begin]
+    # a word that runs on from the row before has no start of its own
+    for at in np.unique(rows[(rows > 0) & (rows < len(block))]).tolist():
+        if marks[at + 1] == marks[at] and solid[at + 1] > solid[at]:
+            words[np.searchsorted(begin, at, side="right") - 1] += 1
+    place = np.flatnonzero(np.diff(solid))
+    first = np.searchsorted(place, begin)
+    last = np.searchsorted(place, end) - 1
+    full = last >= first
+    begin, end = begin.copy(), end.copy()
+    begin[full], end[full] = place[first[full]], place[last[full]] + 1
+    end[~full] = begin[~full]
+    dense = _unspaced(block)
+    words = np.maximum(words, -(-(dense[end] - dense[begin]) // 2))
+    hashes = span_hashes(block, begin, end)
+    at = 0
+    for n in lines.tolist():
+        yield hashes[at:at + n], words[at:at + n].astype(np.int32)
+        at += n
 
 
 def units(hashes: np.ndarray, words: np.ndarray, least: int = MIN_WORDS) -> np.ndarray:
@@ -254,87 +299,93 @@ def common_blocks(a: list[int], b: list[int], words: list[int], least: int = MIN
     return gone
 
 
-def _line_table(rows: DataFrame, least: int) -> DataFrame:
+def _line_table(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
-            found = list(_sized_lines(batch.column(2)))
+            found = list(document_lines(batch.column(2)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _, _ in found], pa.binary()),
-                 pa.array([w.tobytes() for _, w, _ in found], pa.binary()),
-                 pa.array([np.flatnonzero((w < least) & (size >= LEAST_BYTES)) for _, w, size in found],
-                          pa.list_(pa.int32()))], ["uid", "doc_id", "hashes", "words", "short"])
+                [batch.column(0), batch.column(1), pa.array([h.tobytes() for h, _ in found], pa.binary()),
+                 pa.array([w.tobytes() for _, w in found], pa.binary())], ["uid", "doc_id", "hashes", "words"])
 
     return rows.select("uid", "doc_id", "text").mapInArrow(run, _LINES)
 
 
 def _unit_table(lines: DataFrame, least: int) -> DataFrame:
-    """Units, and short lines with their line numbers; each once a document."""
+    """Units of each document, each once."""
 
     def run(batches):
         for batch in batches:
-            keys, index, places = [], [], []
-            for k, (h, w, short) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
-                h, short = np.frombuffer(h, np.uint64), np.array(short, np.int64)
-                own = units(h, np.frombuffer(w, np.int32), least)
-                # another hash than that of a unit of the same line
-                line, inverse = np.unique(mix64(~h[short]), return_inverse=True)
-                keys += [own, line]
-                index.append(np.full(len(own) + len(line), k))
-                places += [None] * len(own)
-                order = np.argsort(inverse, kind="stable")
-                places += np.split(short[order], np.cumsum(np.bincount(inverse))[:-1]) if len(line) else []
+            keys = [units(np.frombuffer(h, np.uint64), np.frombuffer(w, np.int32), least)
+                    for h, w in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             every = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-            at = pa.array(np.concatenate(index) if index else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(every)), batch.column(0).take(at), batch.column(1).take(at),
-                 pa.array(places, pa.list_(pa.int32()))], ["unit", "uid", "doc_id", "place"])
+            at = pa.array(np.repeat(np.arange(len(keys)), [len(k) for k in keys]))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(every)), batch.column(0).take(at), batch.column(1).take(at)],
+                                             ["unit", "uid", "doc_id"])
 
     return lines.mapInArrow(run, _UNITS)
 
 
+def _pairs(found: DataFrame, work: Workspace) -> DataFrame:
+    """(first, uid): each document with the earliest holder of each of its units; ``found`` is written."""
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
+    led = found.groupBy("unit").agg(F.min(order).alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    led = work.write(led.select("unit", F.col("lead.uid").alias("first"), "n"), "leads")
+    hot = F.col("n") > found.count() // HOT_UNITS + 1
+    both = found.join(led.where(~hot), "unit").unionByName(found.join(F.broadcast(led.where(hot)), "unit"))
+    return work.write(both.where("uid <> first").select("first", "uid").distinct(), "pairs")
+
+
 def _cuts(pairs: DataFrame, lines: DataFrame, least: int) -> DataFrame:
     """(uid, cut): line numbers that the later document of a pair loses."""
 
     def run(batches):
+        lead = None
         for batch in batches:
             uid, cuts = [], []
             for row in batch.to_pylist():
-                a = np.frombuffer(row["a"], np.uint64)
-                b, w = np.frombuffer(row["b"], np.uint64), np.frombuffer(row["w"], np.int32)
-                place = np.flatnonzero(b)
-                gone = common_blocks(a[a != 0].tolist(), b[place].tolist(), w[place].tolist(), least)
+                own = np.frombuffer(row["hashes"], np.uint64)
+                place = np.flatnonzero(own)
+                if row["words"] is None:
+                    # a group begins with its lead
+                    lead = own[place].tolist()
+                    continue
+                size = np.frombuffer(row["words"], np.int32)[place].tolist()
+                gone = common_blocks(lead, own[place].tolist(), size, least)
                 if gone:
                     uid.append(row["uid"])
                     cuts.append(place[sorted(gone)].tolist())
             yield pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(cuts, pa.list_(pa.int32()))],
                                              ["uid", "cut"])
 
-    left = lines.select(F.col("uid").alias("first"), F.col("hashes").alias("a"))
-    right = lines.select("uid", F.col("hashes").alias("b"), F.col("words").alias("w"))
-    return (pairs.join(left, "first").join(right, "uid").select("uid", "a", "b", "w")
+    groups = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / LEAD_GROUP).alias("groups"))
+    leads = (groups.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
+             .join(lines.select(F.col("uid").alias("first"), "hashes"), "first")
+             .select("first", "part", F.col("first").alias("uid"), "hashes", F.lit(None).cast("binary").alias("words")))
+    later = (pairs.join(groups, "first").withColumn("part", F.pmod(F.xxhash64("uid"), F.col("groups")))
+             .join(lines.select("uid", "hashes", "words"), "uid").select("first", "part", "uid", "hashes", "words"))
+    dealt = leads.unionByName(later).withColumn("later", F.col("words").isNotNull()).repartition("first", "part")
+    return (dealt.sortWithinPartitions("first", "part", "later").select("uid", "hashes", "words")
             .mapInArrow(run, "uid long, cut array<int>"))
 
 
-def dedup_lines(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with ``text`` cut, and ``n_removed``, the number of lines that went."""
+def dedup_lines(docs: DataFrame, least: int = MIN_WORDS, sent_lines: int = SENT_LINES) -> DataFrame:
+    """``docs`` with ``text`` cut, and ``n_removed``, the number of lines that went.
+
+    Cuts of up to ``sent_lines`` lines are sent to every task.
+    """
     work = Workspace(docs.sparkSession, "lines")
+    docs = docs.drop("n_removed")
     rows = work.write(docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"),
                                   F.monotonically_increasing_id().alias("uid")), "rows")
     lines = work.write(_line_table(rows.select("uid", F.col("row.doc_id").cast("long").alias("doc_id"),
-                                               F.col("row.text").cast("string").alias("text")), least), "lines")
-    found = _unit_table(lines, least)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "uid")
-    short = F.col("place").isNotNull()
-    led = (found.groupBy("unit").agg(F.min(order).alias("lead"), F.count("*").alias("n"), F.max(short).alias("short"))
-           .where(F.col("n") >= F.when(F.col("short"), COMMON_DOCS).otherwise(2)).select("unit", F.col("lead.uid").alias("first")))
-    met = work.write(found.join(led, "unit").where("uid <> first").groupBy("first", "uid")
-                     .agg(F.max(~short).alias("paired"), F.flatten(F.collect_list("place")).alias("place")), "met")
-    cuts = _cuts(met.where("paired").select("first", "uid"), lines, least)
-    cuts = work.write(cuts.union(met.where(F.size("place") > 0).select("uid", "place")).groupBy("uid")
+                                               F.col("row.text").cast("string").alias("text"))), "lines")
+    pairs = _pairs(work.write(_unit_table(lines, least), "units"), work)
+    work.remove("units", "leads")
+    cuts = work.write(_cuts(pairs, lines, least).groupBy("uid")
                       .agg(F.array_distinct(F.flatten(F.collect_list("cut"))).alias("cut")), "cuts")
-    work.remove("lines", "met")
+    work.remove("lines", "pairs")
     # lists of lines that go, a few bytes a line: sent to every task while they are few
-    if (cuts.agg(F.sum(F.size("cut") + 4)).first()[0] or 0) <= SENT_LINES:
+    if (cuts.agg(F.sum(F.size("cut") + 4)).first()[0] or 0) <= sent_lines:
         cuts = F.broadcast(cuts)
     return _without_lines(rows.join(cuts, "uid", "left"), docs)
 

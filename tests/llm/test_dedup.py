@@ -201,22 +201,86 @@ def test_line_dedup_of_a_passage_in_all_documents(spark):
         assert all(got[k].text == texts[k].replace(shared + "\n", "") for k in range(1, n))
 
 
-def test_line_dedup_of_common_short_lines_and_unspaced_scripts(spark):
+def test_line_dedup_of_unspaced_scripts(spark):
     rng = random.Random(9)
-    share, yes, few = "Share this page with your friends", "Yes.", "nine words that stand in only a few texts"
+    share, yes = "Share this page with your friends", "Yes."
     chinese = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(24))
     thai = "".join(chr(0x0E01 + rng.randrange(40)) for _ in range(30))
     texts = []
     for k in range(70):
         lines = [yes, passage(rng, 12), share, passage(rng, 12), share]
-        lines += [passage(rng, 12), few] if k % 20 == 0 else []
         lines += [passage(rng, 12), chinese, passage(rng, 12), thai] if k % 10 == 0 else []
         texts.append("\n".join(lines))
     got = {r.doc_id: r for r in line_align.line_dedup_digest(make_documents(spark, texts)).collect()}
     assert got[0].text == texts[0]
     for k in range(1, 70):
-        want = [x for x in texts[k].split("\n") if x not in (share, chinese, thai)]
-        assert got[k].text.split("\n") == want and got[k].n_removed == 2 + 2 * (k % 10 == 0)
+        # short lines between others make no block, however many documents have them
+        want = [x for x in texts[k].split("\n") if x not in (chinese, thai)]
+        assert got[k].text.split("\n") == want and got[k].n_removed == 2 * (k % 10 == 0)
+
+
+def template_texts(seed, n):
+    """Documents of a few lines, many of them from a small stock."""
+    rng = random.Random(seed)
+    stock = [passage(rng, rng.randrange(1, 9)) for _ in range(25)]
+    long = [passage(rng, 14) for _ in range(12)]
+    texts = []
+    for _ in range(n):
+        lines = []
+        for _ in range(rng.randrange(1, 9)):
+            lines += rng.choice([[passage(rng, rng.randrange(1, 15))], [rng.choice(stock)], [rng.choice(long)],
+                                 stock[(at := rng.randrange(22)):at + 3]])
+        texts.append("\n".join(lines))
+    return texts
+
+
+@pytest.mark.parametrize("limits", [(100_000, 256), (5, 3)])
+def test_no_block_is_left_in_any_pair(spark, monkeypatch, limits):
+    monkeypatch.setattr(line_align, "HOT_UNITS", limits[0])
+    monkeypatch.setattr(line_align, "LEAD_GROUP", limits[1])
+    texts = template_texts(14, 200)
+    got = {r.doc_id: r for r in line_align.line_dedup_digest(make_documents(spark, texts)).collect()}
+    split = [t.split("\n") for t in texts]
+    size = {x: len(x.split()) for lines in split for x in lines}
+    earlier: set = set()
+    for k, lines in enumerate(split):
+        rest, left = got[k].text.split("\n") if got[k].text else [], []
+        for x in lines:
+            if rest and rest[0] == x:
+                left.append(rest.pop(0))
+            else:
+                left.append(None)
+        assert not rest
+        # no run of ten words that stayed stands in an earlier document; the first holder lost nothing
+        runs = {tuple(lines[i:j]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)
+                if sum(size[x] for x in lines[i:j]) >= 10}
+        stayed = {tuple(left[i:j]) for i in range(len(lines)) for j in range(i + 1, len(lines) + 1)}
+        assert not runs & stayed & earlier
+        if not runs & earlier:
+            assert got[k].text == texts[k]
+        earlier |= runs
+
+
+def test_larger_tables_cut_the_same_lines(spark):
+    texts = template_texts(15, 60)
+    rng = random.Random(16)
+    more = texts + ["\n".join([passage(rng, 12), rng.choice(texts).split("\n")[0].split(" ")[0], passage(rng, 9)])
+                    for _ in range(5940)]
+    few = {r.doc_id: r.text for r in line_align.line_dedup_digest(make_documents(spark, texts)).collect()}
+    many = {r.doc_id: r.text for r in line_align.line_dedup_digest(make_documents(spark, more)).collect()}
+    assert all(many[k] == few[k] for k in few) and any(few[k] != texts[k] for k in few)
+
+
+def test_lines_of_long_texts(monkeypatch):
+    import pyarrow as pa
+    rng = random.Random(17)
+    texts = ["\n".join(" " * rng.randrange(3) + " ".join(words(rng, rng.choice([0, 1, 5, 60]))) for _ in range(40)) + "\n" * k
+             for k in range(3)] + ["\u4f60\u597d" * 100 + " x\n" + " " * 200 + "\n" + "y" * 300, " " * 400, "\n" * 300]
+    whole = [(h.tolist(), w.tolist()) for h, w in line_align.document_lines(pa.array(texts))]
+    monkeypatch.setattr(line_align, "CHUNK", 50)
+    for text, want in zip(texts, whole):
+        (h, w), = line_align.document_lines(pa.array([text]))
+        assert (h.tolist(), w.tolist()) == want
 
 
 def test_line_dedup_of_odd_rows(odd_documents, no_documents):
