@@ -6,16 +6,20 @@ words and word beginnings mined from the training sample -- each also after undo
 common letter substitutions (their difference is the obfuscation rate), and
 second-person words near a hit.  Trees are fitted to the logistic loss on
 quantile bins; an isotonic map, fitted on out-of-fold scores, calibrates them.
+An out-of-fold score comes from trees and mined entries that have seen nothing
+of its own fold.
 
 Words are runs of ASCII letters and bytes above 127, in lower case.  Mined
-entries are those of the sample whose documents are toxic far more often than chance:
-at least ``MINED_LEAST`` documents and ``MINED_Z`` standard deviations,
-the ``MINED_MOST`` strongest.  The model learns from a bounded sample of
-``SAMPLE`` labelled rows, the smallest by a hash of ``doc_id``.
+entries are all those of the sample whose documents are toxic far more often than
+chance: at least ``MINED_LEAST`` documents and ``MINED_Z`` standard deviations.
+The model learns from a bounded sample of ``SAMPLE`` labelled rows, the smallest
+by a hash of ``doc_id``.
 
 Defined results: null and empty texts are scored by the features of the empty
-text; without labels of both kinds every score is the share of label 1; an
-empty table gives no rows; other columns are not read.
+text; without labels of both kinds every score is the share of label 1; equal
+features have equal scores, and a score of just ``THRESHOLD`` is toxic; repeated
+rows are scored each; an empty table gives no rows; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -29,13 +33,17 @@ from pyspark.sql import functions as F
 
 from loanlens.llm.dense_features import dense_features
 from loanlens.llm.labelled import collect_features, hash_sample, sample_frame, score_documents, training_labels
-from loanlens.llm.text import _hash_spans, mix64, signed, text_bytes
+from loanlens.llm.storage import Workspace
+from loanlens.llm.text import CHUNK, _WHITE, _hash_spans, mix64, signed, text_bytes
 
 SAMPLE = 30_000
 THRESHOLD = 0.7
-MINED_LEAST, MINED_Z, MINED_MOST = 6, 6.0, 512
+MINED_LEAST, MINED_Z = 6, 6.0
+FOLDS = 3
 PREFIXES = (4, 5, 6)
 NEAR = 5
+#: Kinds of hits that are counted.
+LEXICAL = 5
 
 # fixed values: insults and second-person words
 INSULTS = """arschloch asshole bastard bitch bloedmann clown connard creep cretin cretino degenerate depp dickhead
@@ -114,11 +122,7 @@ class ToxicFeatures:
 
     def __call__(self, column: pa.Array) -> np.ndarray:
         data, offsets = text_bytes(column)
-        parts = []
-        for a, b, dense in dense_features(column):
-            rows = offsets[a:b + 1] - offsets[a]
-            block = data[int(offsets[a]):int(offsets[b])]
-            parts.append(np.concatenate([dense, self._lexical(block, rows)], axis=1))
+        parts = [np.concatenate([dense, self.lexical(data, offsets[a:b + 1])], axis=1) for a, b, dense in dense_features(column)]
         return np.concatenate(parts) if parts else np.zeros((0, 0))
 
     def _hits(self, written, begin, end, hashes):
@@ -127,7 +131,20 @@ class ToxicFeatures:
             mined[where] |= _in(self.mined, found)
         return _in(_INSULTS, hashes), mined
 
-    def _lexical(self, block: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def lexical(self, data: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Hits of the rows given and their shares of the words; a long text goes in segments."""
+        n = len(rows) - 1
+        counts, words = np.zeros((n, LEXICAL)), np.zeros(n, np.int64)
+        if n > 1 or int(rows[-1] - rows[0]) <= CHUNK:
+            counts, words = self._counts(data[int(rows[0]):int(rows[-1])], rows - rows[0])
+        else:
+            for a, b in _segments(data, int(rows[0]), int(rows[-1])):
+                own, found = self._counts(data[a:b], np.array([0, b - a]))
+                counts += own
+                words += found
+        return np.concatenate([np.minimum(counts, 12), counts / np.maximum(words, 1)[:, None]], axis=1)
+
+    def _counts(self, block: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(rows) - 1
         written, begin, end, hashes = _words(block, rows, False)
         of = np.searchsorted(rows, begin, side="right") - 1
@@ -147,41 +164,66 @@ class ToxicFeatures:
         insult, mined = self._hits(written, begin, end, hashes)
         hidden = np.searchsorted(rows, begin, side="right") - 1
         out.append(np.bincount(hidden, weights=(insult | mined).astype(float), minlength=n))
-        counts = np.stack(out, axis=1)
-        return np.concatenate([np.minimum(counts, 12), counts / np.maximum(words, 1)[:, None]], axis=1)
+        return np.stack(out, axis=1), words
+
+
+def _segments(data: np.ndarray, lo: int, hi: int):
+    """Ranges of a long text of about ``CHUNK`` bytes that begin with white space."""
+    at = lo
+    while at < hi:
+        to = min(hi, at + CHUNK)
+        while to < hi and not _WHITE[data[to]]:
+            to += 1
+        yield at, to
+        at = to
+
 
+def folds_of(ids: np.ndarray) -> np.ndarray:
+    return (mix64(ids.view(np.uint64)) % np.uint64(FOLDS)).astype(np.int64)
 
-def mine_lexicon(rows: DataFrame) -> np.ndarray:
-    """Sorted hashes of words and beginnings that mark toxic texts of a bounded sample."""
+
+def mine_lexicons(rows: DataFrame) -> list[np.ndarray]:
+    """Sorted hashes of words and beginnings that mark toxic texts of a bounded sample.
+
+    The first list is of all rows, those after it of all rows but one fold's.
+    """
 
     def run(batches):
         for batch in batches:
-            label = batch.column(2).to_numpy(zero_copy_only=False)
+            fold, label = folds_of(batch.column(0).to_numpy()), batch.column(2).to_numpy(zero_copy_only=False)
             data, offsets = text_bytes(batch.column(1))
-            found, toxic = [], []
-            for row, y in enumerate(label.tolist()):
-                block = data[int(offsets[row]):int(offsets[row + 1])]
-                own = [h for _, _, h in _prefix_hashes(*_words(block, np.array([0, len(block)]), False))]
-                own = np.unique(np.concatenate(own))
-                found.append(own)
-                toxic.append(np.full(len(own), y))
-            if found:
-                every, inverse = np.unique(np.concatenate(found), return_inverse=True)
-                n = np.bincount(inverse, minlength=len(every))
-                k = np.bincount(inverse, weights=np.concatenate(toxic), minlength=len(every))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(every)), pa.array(n, pa.int64()), pa.array(k.astype(np.int64))], ["h", "n", "k"])
-
-    share = rows.agg(F.avg("label")).first()[0]
-    if not share or share == 1:
-        return np.zeros(0, np.uint64)
-    counts = (rows.mapInArrow(run, "h long, n long, k long").groupBy("h")
-              .agg(F.sum("n").alias("n"), F.sum("k").alias("k")))
-    z = (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * (share * (1 - share)))
-    strong = (counts.withColumn("z", z).where((F.col("n") >= MINED_LEAST) & (F.col("z") >= MINED_Z)
-                                               & (F.col("k") >= 0.8 * F.col("n")))
-              .orderBy(F.desc("z"), "h").limit(MINED_MOST).select("h").collect())
-    return np.unique(np.array([r["h"] for r in strong], np.int64).view(np.uint64))
+            for f in range(FOLDS):
+                found, toxic = [], []
+                for row in np.flatnonzero(fold == f).tolist():
+                    block = data[int(offsets[row]):int(offsets[row + 1])]
+                    own = [h for _, _, h in _prefix_hashes(*_words(block, np.array([0, len(block)]), False))]
+                    own = np.unique(np.concatenate(own))
+                    found.append(own)
+                    toxic.append(np.full(len(own), label[row]))
+                if found:
+                    every, inverse = np.unique(np.concatenate(found), return_inverse=True)
+                    n = np.bincount(inverse, minlength=len(every))
+                    k = np.bincount(inverse, weights=np.concatenate(toxic), minlength=len(every))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(signed(every)), pa.array(np.full(len(every), f, np.int32)), pa.array(n, pa.int64()),
+                         pa.array(k.astype(np.int64))], ["h", "fold", "n", "k"])
+
+    known = rows.select("doc_id", "label").toPandas()
+    fold, label = folds_of(known.doc_id.to_numpy(np.int64)), known.label.to_numpy(np.int64)
+    of = [F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}") for c in "nk" for f in range(FOLDS)]
+    counts = rows.mapInArrow(run, "h long, fold int, n long, k long").groupBy("h").agg(*of)
+    marks = []
+    for out in (None, *range(FOLDS)):
+        inside = label[fold != out] if out is not None else label
+        share = float(inside.mean()) if len(inside) else 0.0
+        n, k = (sum((F.col(f"{c}{f}") for f in range(FOLDS) if f != out), F.lit(0)) for c in "nk")
+        # (k - n share) / sqrt(n share (1 - share)) of a word that n texts have, k of them toxic
+        strong = (n >= MINED_LEAST) & (k >= 0.8 * n) & (k - n * share >= MINED_Z * F.sqrt(n * (share * (1 - share))))
+        marks.append((strong if 0 < share < 1 else F.lit(False)).alias(f"in{len(marks)}"))
+    names = [f"in{j}" for j in range(len(marks))]
+    got = counts.select("h", *marks).where(" OR ".join(names)).toPandas()
+    hashes = got.h.to_numpy(np.int64).view(np.uint64)
+    return [np.unique(hashes[got[c].to_numpy(bool)]) for c in names]
 
 
 @dataclass
@@ -272,25 +314,38 @@ class ToxicityModel:
         return np.interp(self.trees.raw(x), self.at, self.share)
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> ToxicityModel:
+    def fit(cls, x: np.ndarray, y: np.ndarray, fold: np.ndarray, own: list[np.ndarray]) -> ToxicityModel:
+        """``own`` has the features for the scores of each fold."""
         if not len(y) or y.min() == y.max():
             return cls(None, np.zeros(1), np.array([float(y.mean()) if len(y) else 0.0]))
         out = np.zeros(len(y))
-        for k in np.unique(fold):
-            own = fold == k
-            rest = y[~own]
-            out[own] = fit_trees(x[~own], rest).raw(x[own]) if len(rest) and rest.min() != rest.max() else 0.0
+        for k, xk in enumerate(own):
+            inside = fold == k
+            rest = y[~inside]
+            out[inside] = fit_trees(xk[~inside], rest).raw(xk[inside]) if len(rest) and rest.min() != rest.max() else 0.0
         return cls(fit_trees(x, y), *isotonic(out, y))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[ToxicFeatures, ToxicityModel]:
     """Lexicon, trees and calibration from a bounded sample of labelled documents."""
+    work = Workspace(docs.sparkSession, "toxicity")
     chosen = hash_sample(training_labels(labels, "toxic"), sample)
-    rows = sample_frame(docs, chosen)
-    features = ToxicFeatures(mine_lexicon(rows))
-    ids, y, x = collect_features(rows, features)
-    fold = (mix64(ids.view(np.uint64)) % np.uint64(3)).astype(np.int64)
-    return features, ToxicityModel.fit(x, y.astype(float), fold)
+    rows = work.write(sample_frame(docs, chosen), "sample")
+    features = [ToxicFeatures(mined) for mined in mine_lexicons(rows)]
+    width = 2 * LEXICAL
+
+    def every(column: pa.Array) -> np.ndarray:
+        """Dense features once, lexical ones for each lexicon."""
+        data, offsets = text_bytes(column)
+        parts = [np.concatenate([dense, *(f.lexical(data, offsets[a:b + 1]) for f in features)], axis=1)
+                 for a, b, dense in dense_features(column)]
+        return np.concatenate(parts) if parts else np.zeros((0, 0))
+
+    ids, y, x = collect_features(rows, every)
+    work.remove("sample")
+    dense = x.shape[1] - len(features) * width
+    of = [np.concatenate([x[:, :dense], x[:, dense + j * width:dense + (j + 1) * width]], axis=1) for j in range(len(features))]
+    return features[0], ToxicityModel.fit(of[0], y.astype(float), folds_of(ids), of[1:])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from loanlens.llm import language_id, pu_quality, toxicity
 from loanlens.llm.dense_features import NAMES, all_features
 from loanlens.llm.labelled import is_held_out
-from tests.llm.conftest import make_documents
+from tests.llm.conftest import make_documents, words
 
 LABELS = "doc_id long, quality int, toxic int, uid string"
 PARTS = {"en": "th er on an re he in ed nd ha".split(), "de": "sch ein ich ung ver ge te äu ö ber".split(),
@@ -106,7 +106,7 @@ def test_trees_and_isotonic():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((2000, 5))
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
-    model = toxicity.ToxicityModel.fit(x, y, rng.integers(0, 3, 2000))
+    model = toxicity.ToxicityModel.fit(x, y, rng.integers(0, 3, 2000), [x, x, x])
     assert ((model(x) >= 0.5) == y).mean() > 0.97
     at, share = toxicity.isotonic(np.array([3.0, 1.0, 2.0, 2.0, 5.0]), np.array([1, 0, 1, 0, 1.0]))
     assert (np.diff(at) >= 0).all() and (np.diff(share) >= 0).all() and share[0] == 0 and share[-1] == 1
@@ -213,3 +213,33 @@ def test_languages_of_nothing(no_documents, odd_documents):
     model = language_id.fit_language_model(no_documents)
     assert language_id.identify_languages(no_documents, model).collect() == []
     assert {r.lang_pred for r in language_id.identify_languages(odd_documents, model).collect()} == {"und"}
+
+
+def test_lexicons_of_folds_have_not_seen_their_fold(spark):
+    rng = random.Random(41)
+    rows = []
+    for k in range(240):
+        toxic = int(k % 4 == 0)
+        fold = int(toxicity.folds_of(np.array([k]))[0])
+        # one bad word everywhere, one that only a fold's toxic texts have
+        bad = ["gromble", f"zork{'abc'[fold]}xy"] if toxic else []
+        rows.append((k, " ".join(words(rng, 20) + bad), toxic))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    every, *others = toxicity.mine_lexicons(frame)
+    known = {w: toxicity._hash_list([w])[0] for w in ("gromble", "zorkaxy", "zorkbxy", "zorkcxy")}
+    assert all(h in every for h in known.values())
+    for f, mined in enumerate(others):
+        assert known["gromble"] in mined
+        assert [known[f"zork{c}xy"] in mined for c in "abc"] == [f != j for j in range(3)]
+
+
+def test_lexical_counts_of_long_texts(monkeypatch):
+    rng = random.Random(42)
+    text = " ".join(rng.choice(["you", "idiot", "1d10t", "fine", "nice day"]) for _ in range(3000))
+    f = toxicity.ToxicFeatures(np.zeros(0, np.uint64))
+    data = np.frombuffer(text.encode(), np.uint8)
+    whole = f._counts(data, np.array([0, len(data)]))[0]
+    monkeypatch.setattr(toxicity, "CHUNK", 4000)
+    parts = f.lexical(data, np.array([0, len(data)]))
+    # only "near" may differ, where a segment ends between a hit and the second person
+    assert (np.minimum(whole, 12) == parts[:, :toxicity.LEXICAL]).all()
