@@ -15,12 +15,15 @@ weights and ids; each slot is summed by itself, and slots add the sums of the
 slots before them.  A source with a third of all rows has many slots.  The
 sums over sources are distributed alike.
 
-The quality weight of a text is the share of ASCII letters among its
-characters, (1 + letters) / (1 + characters).
-
-Defined results: a null text has size 0; a null source is a source and comes
-last; rows with the same ``doc_id`` are rows of their own with one key; a
-source of size 0 has target 0; an empty table gives no rows.
+The quality weight of a text is the share of letters and their marks, of any
+script, among its characters other than white space:
+(1 + letters) / (1 + characters).
+
+Defined results: a null or empty text has size 0; a null source is a source and
+comes last; rows with the same ``doc_id`` are rows of their own with one key;
+equal keys go by ``doc_id``, size and row; a source of size 0 has target 0; very
+long texts are rows like others; an empty table gives no rows; carried columns
+keep their names inside a struct, so none clashes.
 """
 
 from __future__ import annotations
@@ -47,8 +50,9 @@ def word_count(text: str | Column) -> Column:
 
 
 def quality_weight(text: str | Column) -> Column:
-    letters = F.length(F.regexp_replace(text, "[^A-Za-z]", ""))
-    return F.coalesce((F.lit(1.0) + letters) / (F.lit(1.0) + F.length(text)), F.lit(1.0))
+    shown = F.length(F.regexp_replace(text, r"[\x20\x09-\x0D]+", ""))
+    others = F.length(F.regexp_replace(text, r"[\p{L}\p{M}\x20\x09-\x0D]+", ""))
+    return F.coalesce((F.lit(1.0) + shown - others) / (F.lit(1.0) + shown), F.lit(1.0))
 
 
 def uniform(key: Column) -> Column:
@@ -89,8 +93,11 @@ def mix_documents(docs: DataFrame, carry: list[str], weights: tuple[int, ...] =
         kept, F.col("source").cast("string").alias("source"), F.monotonically_increasing_id().alias("uid"),
         F.col("doc_id").alias("tie"), word_count("text").alias("size"),
         (-F.log(uniform(F.col("doc_id"))) / quality_weight("text")).alias("key"))
-    rows = work.write(rows.repartitionByRange(slots, "source", "key", "tie", "size", "uid")
+    # written first: the bounds of the ranges are sampled from the keys alone
+    keyed = work.write(rows, "keyed")
+    rows = work.write(keyed.repartitionByRange(slots, "source", "key", "tie", "size", "uid")
                       .withColumn("slot", F.spark_partition_id()), "rows")
+    work.remove("keyed")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = work.write(source_targets(sources, weights, share, most), "targets")
     if targets.count() <= SENT_SOURCES:
@@ -123,7 +130,9 @@ ORACLE_SQL = r"""
 WITH rows AS (
   SELECT doc_id, source,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         coalesce((1.0 + length(regexp_replace(text, '[^A-Za-z]', '', 'g'))) / (1.0 + length(text)), 1.0)::DOUBLE AS quality,
+         coalesce((1.0 + length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))
+                   - length(regexp_replace(text, '[\p{L}\p{M}\x20\x09-\x0D]+', '', 'g')))::DOUBLE
+                  / (1.0 + length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))), 1.0)::DOUBLE AS quality,
          (('0x' || substr(md5(doc_id::VARCHAR), 1, 12))::BIGINT::DOUBLE + 1.0) / (281474976710656.0::DOUBLE + 1.0) AS u
   FROM documents),
 keyed AS (SELECT *, -ln(u) / quality AS key FROM rows),

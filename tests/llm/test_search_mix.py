@@ -133,3 +133,19 @@ def test_mix_comes_near_its_targets(spark, odd_documents, no_documents):
     odd = mixing.mixing_digest(None, odd_documents).collect()
     assert len(odd) == odd_documents.count() and all(r.taken <= 2 * r.size for r in odd)
     assert mixing.mixing_digest(None, no_documents).collect() == []
+
+
+def test_other_scripts_are_drawn_alike(spark):
+    rng = random.Random(31)
+    scripts = [(0x61, 26), (0x4E00, 2000), (0x430, 32), (0x627, 20), (0x915, 30)]
+    texts = [" ".join("".join(chr(scripts[k % 5][0] + rng.randrange(scripts[k % 5][1])) for _ in range(6)) for _ in range(10))
+             for k in range(2000)]
+    docs = make_documents(spark, texts).withColumn("source", F.lit("one"))
+    rows = mixing.mix_documents(docs, ["doc_id"]).collect()
+    twice = [0] * 5
+    for r in rows:
+        twice[r.doc_id % 5] += r.copies == 2
+    # half of the documents are taken twice, of each script
+    assert sum(twice) == 1000 and max(twice) - min(twice) < 80
+    odd = spark.createDataFrame([("12 34 !!",), ("ab cd",), ("你好 你",), ("",), (None,)], "text string")
+    assert [r[0] for r in odd.select(mixing.quality_weight("text")).collect()] == [1 / 7, 1.0, 1.0, 1.0, 1.0]
