@@ -345,8 +345,11 @@ def near_duplicates(docs: DataFrame, carry: list[str] | None = None) -> DataFram
     """``carry`` columns (else doc_id), n_shingles, component_id, kept and first of every row of ``docs``.
 
     ``first`` marks one row of each component, the one with the smallest
-    ``doc_id`` that was read first.
+    ``doc_id`` that was read first.  Carried columns with the names of results
+    give way to them.
     """
+    if carry:
+        carry = [c for c in carry if c not in ("n_shingles", "component_id", "kept", "first")] or None
     work = Workspace(docs.sparkSession, "minhash")
     rows = work.write(profiles(docs, carry), "profiles")
     key = ["n", "hi", "lo"]

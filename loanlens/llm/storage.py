@@ -11,6 +11,9 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,18 +24,32 @@ from loanlens.session import checkpoint_dir
 _BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+_scope: ContextVar[list[Workspace] | None] = ContextVar("workspaces", default=None)
+
+
+@contextmanager
+def workspaces() -> Iterator[list[Workspace]]:
+    """The folders that this thread opens inside the block, for the caller to clear."""
+    opened: list[Workspace] = []
+    token = _scope.set(opened)
+    try:
+        yield opened
+    finally:
+        _scope.reset(token)
+
+
 class Workspace:
     """A fresh folder below the shared one, for the tables of one call.
 
     An operator removes what its result doesn't read; the rest stays until
-    the caller has used the result and calls ``clear``.
+    the caller has used the result and clears what ``workspaces`` collected.
     """
 
-    opened: list[Workspace] = []
-
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
-        Workspace.opened.append(self)
+        scope = _scope.get()
+        if scope is not None:
+            scope.append(self)
         base = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
         self.root = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 

@@ -52,6 +52,61 @@ def test_stages_over_planted_documents(spark, tmp_path):
     assert max(fill.values()) <= 1024
 
 
+def small_tables(spark, sf, seed, texts=()):
+    rng = random.Random(seed)
+    texts = [*texts, *("\n".join(" ".join(words(rng, 15, 3000)) for _ in range(4)) for _ in range(80))]
+    for k in range(10, 70, 7):
+        texts[k] = texts[k].replace(" ", " idiot moron ", 4)
+    ids = list(range(len(texts)))
+    ids[5], ids[9] = None, ids[8]
+    make_documents(spark, texts, ids).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([(k, 1, int(10 <= k < 70 and (k - 10) % 7 == 0)) for k in range(len(texts))] + [(None, None, 1)],
+                          "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    return list(zip(ids, texts))
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.drop("sequence_id", "offset").collect()), key=str)
+
+
+def folders(spark):
+    import os
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    return {x for x in os.listdir(root) if not x.startswith("rdd-") and len(x.split("-")[-1]) == 32}
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path, odd_texts):
+    rows = small_tables(spark, str(tmp_path), 3, odd_texts)
+    before = folders(spark)
+    one = corpus_pipeline.CorpusRun(spark, str(tmp_path))
+    got = one.result.collect()
+    # every row that a stage drops is a copy, toxic or left out by the mix; sources repeat every five rows
+    assert {r.doc_id for r in got} <= {i for i, _ in rows} and None in {r.doc_id for r in got}
+    whole = {}
+    for r in got:
+        whole.setdefault((r.doc_id, r.doc_tokens), []).append(r.length)
+    assert all(sum(v) % n == 0 for (_, n), v in whole.items())
+    assert max(r.doc_tokens for r in got) > 20000
+    # outputs of earlier stages are gone, and after clear all folders
+    assert len(folders(spark) - before) <= 2
+    one.clear()
+    assert folders(spark) == before
+    empty = f"{tmp_path}/empty"
+    spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0).write.parquet(f"{empty}/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/labels.parquet").limit(0).write.parquet(f"{empty}/labels.parquet")
+    assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_two_runs_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    for name, seed in (("a", 5), ("b", 6)):
+        small_tables(spark, f"{tmp_path}/{name}", seed)
+    alone = {n: rows_of(corpus_pipeline.run(spark, f"{tmp_path}/{n}")) for n in "ab"}
+    with ThreadPoolExecutor(3) as pool:
+        both = list(pool.map(lambda n: rows_of(corpus_pipeline.run(spark, f"{tmp_path}/{n}")), "aba"))
+    assert both == [alone["a"], alone["b"], alone["a"]]
+
+
 def test_every_operator_is_registered():
     import __spark_entry__
     names = set(__spark_entry__.queries())
