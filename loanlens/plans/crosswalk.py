@@ -56,7 +56,7 @@ def application_from_customer(customer: DataFrame, nation: DataFrame) -> DataFra
         (bal * 10 + 25000).alias("AMT_INCOME_TOTAL"),
         credit.alias("AMT_CREDIT"),
         F.when(k % 13 == 0, None).otherwise(credit / 20).alias("AMT_ANNUITY"),
-        F.when(k % 11 == 0, None).otherwise(credit * 0.9).alias("AMT_GOODS_PRICE"),
+        F.when(k % 11 == 0, None).otherwise(credit * (0.8 + (k % 5) * 0.05)).alias("AMT_GOODS_PRICE"),
         ((k % 100) / 1000.0).alias("REGION_POPULATION_RELATIVE"),
         (-(F.lit(7000) + (k * 37) % 18000)).cast("int").alias("DAYS_BIRTH"),
         F.when(k % 10 == 0, 365243).otherwise(-((k * 13) % 9000)).cast("int").alias("DAYS_EMPLOYED"),

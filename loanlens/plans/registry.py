@@ -10,6 +10,7 @@ Nulls are injected inside the query (the driver tables hold none).
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from loanlens.operators.stats import group_quantiles, safe_cv, safe_kurt, safe_s
 from loanlens.operators.target_encoding import apply_target_encoding, fit_target_encoding, oof_encode
 from loanlens.functions import fill_zero
 from loanlens.plans import wide_checks
+from loanlens.session import checkpoint_dir
 from loanlens.sources.io import sanitize_name
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -870,9 +872,17 @@ def card_q(spark, sf):
 @register("x1_x11_e2_application_features")
 def application_q(spark, sf):
     from loanlens.plans.application import application_features
-    # every value of the encoded columns, so that the width doesn't hang on the sample
-    out = application_features(_domain(spark, sf)["application"], wide_checks.CATEGORIES)
-    return out.withColumn(f"Z_{wide_checks.NOISE}", F.lit(None).cast("double"))
+    return application_features(_domain(spark, sf)["application"])
+
+
+@register("j3_a26_e2_fitted_application_state")
+def fitted_application_q(spark, sf):
+    """The state of the labelled rows, saved and loaded, applied to all rows."""
+    from loanlens.plans.application import ApplicationState, application_features
+    app = _domain(spark, sf)["application"]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/application-state-{uuid.uuid4().hex}"
+    ApplicationState.fit(app.where("TARGET IS NOT NULL")).save(path)
+    return application_features(app, fitted=ApplicationState.load(spark, path))
 
 
 @register("s4_p10_full_feature_build")
@@ -1163,7 +1173,8 @@ WITH a AS (
          -(7000 + (c.c_custkey * 37) % 18000) AS birth,
          CASE WHEN c.c_custkey % 10 = 0 THEN NULL ELSE -((c.c_custkey * 13) % 9000) END AS employed,
          abs(c.c_acctbal) * 40 + 50000 AS credit,
-         CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE (abs(c.c_acctbal) * 40 + 50000) * 0.9 END AS goods
+         CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE (abs(c.c_acctbal) * 40 + 50000)
+              * (CAST(0.8 AS DOUBLE) + (c.c_custkey % 5) * CAST(0.05 AS DOUBLE)) END AS goods
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
 g AS (SELECT occ, avg(e1) AS m FROM a WHERE occ IS NOT NULL GROUP BY occ),
 s AS (SELECT avg(credit) AS mu, stddev_samp(credit) AS sd, median(e1) AS med1 FROM a)

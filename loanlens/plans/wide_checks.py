@@ -525,7 +525,7 @@ _APPLICATION = {
     "WALLSMATERIAL_MODE": f"'wall_' || CAST({_K} % 3 AS VARCHAR)",
     "CNT_CHILDREN": f"{_K} % 4", "AMT_INCOME_TOTAL": "abs(c_acctbal) * 10 + 25000", "AMT_CREDIT": _CREDIT,
     "AMT_ANNUITY": _unless(f"{_K} % 13 = 0", f"{_CREDIT} / 20"),
-    "AMT_GOODS_PRICE": _unless(f"{_K} % 11 = 0", f"{_CREDIT} * 0.9"),
+    "AMT_GOODS_PRICE": _unless(f"{_K} % 11 = 0", f"{_CREDIT} * (CAST(0.8 AS DOUBLE) + ({_K} % 5) * CAST(0.05 AS DOUBLE))"),
     "REGION_POPULATION_RELATIVE": f"({_K} % 100) / 1000.0", "DAYS_BIRTH": f"-(7000 + ({_K} * 37) % 18000)",
     "DAYS_EMPLOYED": _unless(f"{_K} % 10 = 0", f"-(({_K} * 13) % 9000)"), "DAYS_REGISTRATION": f"-(({_K} * 7) % 12000)",
     "DAYS_ID_PUBLISH": f"-(({_K} * 17) % 6000)", "OWN_CAR_AGE": _unless(f"{_K} % 8 = 0", f"CAST({_K} % 20 AS DOUBLE)"),
@@ -547,7 +547,7 @@ _APPLICATION = {
     **{f"AMT_REQ_CREDIT_BUREAU_{c}": _unless(f"{_K} % 12 = 0", f"CAST({_K} % {m} AS DOUBLE)") for c, m in (
         ("HOUR", 2), ("DAY", 3), ("WEEK", 2), ("MON", 4), ("QRT", 5), ("YEAR", 6))},
 }
-# fixed values of the crosswalk: every value of the encoded columns
+# every value of the encoded columns that the crosswalk makes
 
 
 def _numbered(prefix: str, n: int) -> list[str]:
@@ -574,7 +574,9 @@ CATEGORIES = {
     "AMT_REQ_CREDIT_BUREAU_QRT": _numbers(5), "AMT_REQ_CREDIT_BUREAU_YEAR": _numbers(6), "CNT_CHILDREN": [0, 1, 2, 3],
     "CNT_FAM_MEMBERS": _numbers(5, 1), "OWN_CAR_AGE": _numbers(20),
 }
-NOISE = "RATIO_AMT_CREDIT_TO_AMT_GOODS_PRICE"
+# values that no labelled row has
+_UNLABELLED = {"NAME_INCOME_TYPE": ["income_3"], "CNT_CHILDREN": [3], "CNT_FAM_MEMBERS": [5.0],
+               "AMT_REQ_CREDIT_BUREAU_MON": [3.0], "OWN_CAR_AGE": [3.0, 7.0, 11.0, 15.0, 19.0]}
 _KEPT = ["CNT_CHILDREN", "CNT_FAM_MEMBERS", "OWN_CAR_AGE", "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE",
          "OBS_60_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"] + [c for c in _APPLICATION if c.startswith("AMT_REQ_")]
 _GROUPS = [
@@ -649,13 +651,15 @@ def _application_row() -> list[tuple[str, str]]:
         ("DIFF_DEF_30_CNT_SOCIAL_CIRCLE_DEF_60_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"))]
 
 
-def application_sql() -> str:
+def application_sql(labelled: bool = False) -> str:
+    """The application features; with ``labelled`` groups, moments, medians and values are those of labelled rows."""
+    fit_rows = "TARGET IS NOT NULL" if labelled else "true"
     groups, joins, grouped = {}, "", []
     for k, (keys, spec) in enumerate(_GROUPS):
         keys, spec = keys.split(), _spec(spec)
         known = " AND ".join(f"{c} IS NOT NULL" for c in keys)
         aggs = ", ".join(f"{_stat(c, s)} AS {c}_{s}" for c, s in spec)
-        groups[f"g{k}"] = f"SELECT {', '.join(keys)}, {aggs} FROM y WHERE {known} GROUP BY {', '.join(keys)}"
+        groups[f"g{k}"] = f"SELECT {', '.join(keys)}, {aggs} FROM y WHERE {known} AND {fit_rows} GROUP BY {', '.join(keys)}"
         joins += f" LEFT JOIN g{k} ON " + " AND ".join(f"z.{c} = g{k}.{c}" for c in keys)
         for c, s in spec:
             name, value = "_".join([*keys, s.upper(), c]), f"g{k}.{c}_{s}"
@@ -678,16 +682,16 @@ def application_sql() -> str:
             "y": "SELECT *, (" + " + ".join(f"coalesce({c}, 0)" for c in _EXT) + ") / 3.0 AS EXT_SOURCE_MEAN, "
                  f"DAYS_BIRTH / -365.25 AS {_AGE}, DAYS_EMPLOYED / -365.25 AS {_JOB} FROM x",
             **groups, "z": "SELECT *, " + ",\n".join(f"{e} AS {n}" for n, e in row) + " FROM y",
-            "s": f"SELECT {', '.join(fits)} FROM z"}
+            "s": f"SELECT {', '.join(fits)} FROM z WHERE {fit_rows}"}
     out = [("SK_ID_CURR", "=z.SK_ID_CURR")] + [(c, f"z.{c}") for c in own] + grouped + [(n, f"z.{n}") for n, _ in row]
-    # a column that the crosswalk makes constant has only rounding noise for a deviation
-    out += [(f"Z_{c}", "NULL" if c == NOISE else f"CASE WHEN sd_{c} > 0 THEN (z.{c} - mu_{c}) / sd_{c} END") for c in scaled]
+    out += [(f"Z_{c}", f"CASE WHEN sd_{c} > 0 THEN (z.{c} - mu_{c}) / sd_{c} END") for c in scaled]
     filled = {c: f"CAST(coalesce(z.{c}, md_{c}) AS DOUBLE)" for c in poly}
     out += [(f"POLY_{c}", filled[c]) for c in poly]
     out += [(f"POLY_{a}^2" if a == b else f"POLY_{a} {b}", f"{filled[a]} * {filled[b]}")
             for k, a in enumerate(poly) for b in poly[k:]]
     for c, values in CATEGORIES.items():
-        out += [(f"{c}_CAT_{v}", f"CASE WHEN z.{c} = {repr(v)} THEN 1 ELSE 0 END") for v in values]
+        out += [(f"{c}_CAT_{v}", f"CASE WHEN z.{c} = {repr(v)} THEN 1 ELSE 0 END") for v in values
+                if not (labelled and v in _UNLABELLED.get(c, ()))]
     return _query(ctes, out, f"z{joins} CROSS JOIN s", None)
 
 
@@ -695,4 +699,5 @@ def application_sql() -> str:
 SQL = {"a1_a10_w1_bureau_features": bureau_sql, "a32_a35_bureau_counts_variant": legacy_sql,
        "a11_a14_e7_previous_features": previous_sql, "a15_a17_w2_pos_features": pos_sql,
        "a18_a23_w3_installment_features": installments_sql, "a24_a25_card_features": card_sql,
-       "x1_x11_e2_application_features": application_sql}
+       "x1_x11_e2_application_features": application_sql,
+       "j3_a26_e2_fitted_application_state": lambda: application_sql(labelled=True)}
