@@ -1,12 +1,14 @@
-"""Command-line entry points (the reference's two scripts):
+"""Command-line entry points (the reference's two scripts, and scoring by saved models):
 
   python -m loanlens.cli features --data-dir DIR --out DIR [--fmt csv|parquet] [--checkpoint]
   python -m loanlens.cli train --features-dir DIR --out DIR [--folds 8] [--seed 42] [--members 7]
+  python -m loanlens.cli score --models DIR --features DIR --out DIR
 """
 
 from __future__ import annotations
 
 import argparse
+import functools
 import json
 import os
 import time
@@ -44,7 +46,7 @@ def category_features(df) -> list[str]:
 
 def run_train(args) -> None:
     from loanlens.plans.training import (BoostParams, cross_validate, final_round_count,
-                                         mean_importance, save_models, top_importances,
+                                         mean_importance, split_counts, top_importances,
                                          train_and_score)
     from loanlens.sources import read_features, write_importances, write_predictions
     spark = build_session(app_name="loanlens-train")
@@ -57,7 +59,7 @@ def run_train(args) -> None:
                                          seed=args.seed, smoothing=args.smoothing, params=params,
                                          noise_level=args.noise)
     n_rounds = final_round_count(rounds)
-    preds, final_imp, models = train_and_score(train, test, feats, cats, LABEL, ID, n_rounds,
+    preds, final_imp, ensemble = train_and_score(train, test, feats, cats, LABEL, ID, n_rounds,
                                                smoothing=args.smoothing, members=args.members,
                                                base=params)
     pred_path = write_predictions(preds, args.out, args.version)
@@ -65,12 +67,25 @@ def run_train(args) -> None:
     cv_importance = mean_importance(imp)
     write_importances(cv_importance, os.path.join(args.out, "cv_feature_importances"))
     top = [r.feature for r in top_importances(cv_importance, 50).collect()]
-    save_models(models, os.path.join(args.out, "models"))
+    paths = ensemble.save(os.path.join(args.out, "models"))
+    counts = [split_counts(spark, p, ensemble.features) for p in paths]
+    write_importances(mean_importance(functools.reduce(lambda a, b: a.unionByName(b), counts)),
+                      os.path.join(args.out, "split_importances"))
     print(json.dumps({"cv_auc": scores, "best_rounds": rounds, "final_rounds": n_rounds,
                       "predictions": pred_path, "top_cv_features": top,
                       "seconds": round(time.time() - t0, 1)}))
 
 
+def run_score(args) -> None:
+    """Score a feature table by a saved ensemble."""
+    from loanlens.plans.training import load_and_score
+    from loanlens.sources import write_predictions
+    spark = build_session(app_name="loanlens-score")
+    t0 = time.time()
+    preds = load_and_score(spark, args.models, spark.read.parquet(args.features))
+    print(json.dumps({"predictions": write_predictions(preds, args.out, args.version), "seconds": round(time.time() - t0, 1)}))
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="loanlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -90,8 +105,13 @@ def main(argv=None) -> None:
     t.add_argument("--max-rounds", type=int, default=10_000)
     t.add_argument("--noise", type=float, default=0.0, help="multiplicative noise on training encodings")
     t.add_argument("--version", default="v1")
+    p = sub.add_parser("score")
+    p.add_argument("--models", required=True)
+    p.add_argument("--features", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--version", default="v1")
     args = ap.parse_args(argv)
-    {"features": run_features, "train": run_train}[args.cmd](args)
+    {"features": run_features, "train": run_train, "score": run_score}[args.cmd](args)
 
 
 if __name__ == "__main__":

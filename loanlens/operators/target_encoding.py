@@ -91,6 +91,29 @@ def fold_encoding_tables(df: DataFrame, cat: str, label: str, fold: str, k: int,
     return t.select("fold", "_cat_key", enc.alias("enc"), prior.alias("prior"))
 
 
+def encoding_arrays(df: DataFrame, cats, label: str, fold: str, k: int,
+                    smoothing: float = 1.0) -> tuple[DataFrame, list[float]]:
+    """``df`` with ``_enc_0``, ``_enc_1``, ...: for each category the encodings
+    that are fitted without fold 0, 1, ... (an array of k, NULL where a level is
+    unknown to the other folds), from one join a category; and the k priors."""
+    y = F.col(label).cast("double")
+    own = {r["fold"]: (r["n"], r["s"]) for r in df.groupBy(F.col(fold).alias("fold")).agg(
+        F.count(y).alias("n"), F.coalesce(F.sum(y), F.lit(0.0)).alias("s")).collect()}  # k rows
+    n_all, s_all = (sum(v[j] for v in own.values()) for j in (0, 1))
+    priors = []
+    for f in range(k):
+        n, s = own.get(f, (0, 0.0))
+        priors.append(float((s_all - s) / (n_all - n)) if n_all > n else 0.0)
+    out = df
+    for i, c in enumerate(cats):
+        table = fold_encoding_tables(df, c, label, fold, k, smoothing)
+        arrays = (table.groupBy(F.col("_cat_key").alias(f"_key_{i}"))
+                  .agg(F.sort_array(F.collect_list(F.struct("fold", "enc"))).alias("_by_fold"))  # k entries
+                  .select(f"_key_{i}", F.col("_by_fold.enc").alias(f"_enc_{i}")))
+        out = out.withColumn(f"_key_{i}", category_key(c)).join(arrays, f"_key_{i}", "left").drop(f"_key_{i}")
+    return out, priors
+
+
 def oof_encode(df: DataFrame, cat: str, label: str, fold: str, k: int, out: str,
                smoothing: float = 1.0, drop_source: bool = True) -> DataFrame:
     """Out-of-fold column: each row gets the encoding fitted without its fold."""

@@ -28,7 +28,7 @@ from loanlens.operators.stats import group_quantiles, safe_cv, safe_kurt, safe_s
 from loanlens.operators.target_encoding import apply_target_encoding, fit_target_encoding, oof_encode
 from loanlens.functions import fill_zero
 from loanlens.plans import wide_checks
-from loanlens.session import checkpoint_dir
+from loanlens.session import checkpoint_dir, cut_lineage
 from loanlens.sources.io import sanitize_name
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -893,18 +893,42 @@ def build_q(spark, sf):
 
 @register("m2_m8_ensemble_scores")
 def ensemble_q(spark, sf):
-    """Train on labelled documents, score the unlabelled ones (rows-only:
-    tree ensembles are not SQL-expressible)."""
+    """Cross-validate and train on the labelled rows of the feature table, score
+    the others (rows-only: tree ensembles are not SQL-expressible)."""
+    from loanlens.cli import ID, LABEL, category_features
+    from loanlens.plans.features import build_features, split_train_test
     from loanlens.plans.training import BoostParams, cross_validate, final_round_count, train_and_score
-    d = _docs(spark, sf).withColumn("n_lines", F.col("n_chars") / 80.0)
-    tr, te = d.where(F.col("quality").isNotNull()), d.where(F.col("quality").isNull())
-    features, cats, base = ["n_chars", "n_lines", "lang", "source"], ["lang", "source"], BoostParams(min_instances=5)
-    _scores, best, _imp = cross_validate(tr, features, cats, "quality", "doc_id", params=base)
-    preds, _imp, _models = train_and_score(
-        tr, te, features, cats, "quality", "doc_id", rounds=final_round_count(best), members=7, base=base)
+    train, test = split_train_test(cut_lineage(build_features(_domain(spark, sf))), LABEL)
+    features, cats = [c for c in train.columns if c not in (ID, LABEL)], category_features(train)
+    base = BoostParams()
+    _scores, best, _imp = cross_validate(train, features, cats, LABEL, ID, params=base, parallelism=8)
+    preds, _imp, _ensemble = train_and_score(train, test, features, cats, LABEL, ID, rounds=final_round_count(best),
+                                             members=7, base=base, parallelism=7)
     return preds
 
 
+@register("m3_patience_best_rounds", """
+WITH curve AS (
+  SELECT CAST(o_custkey % 8 AS INTEGER) AS fold,
+         CAST((year(o_orderdate) - 1992) * 12 + month(o_orderdate) AS INTEGER) AS round, avg(o_totalprice) AS loss
+  FROM orders GROUP BY 1, 2
+), led AS (
+  SELECT *, arg_min(round, (loss, round)) OVER (PARTITION BY fold ORDER BY round) AS led FROM curve
+), stops AS (SELECT fold, min(round) FILTER (round - led >= 9) AS stop FROM led GROUP BY fold)
+SELECT c.fold, arg_min(c.round, (c.loss, c.round)) AS best
+FROM curve c JOIN stops s ON c.fold = s.fold WHERE s.stop IS NULL OR c.round <= s.stop
+GROUP BY c.fold
+""")
+def patience_q(spark, sf):
+    """The curve of each fold: mean order price by month; patience of nine months."""
+    from loanlens.plans.training import best_rounds
+    o = _t(spark, sf, "orders")
+    month = ((F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate")).cast("int")
+    curve = o.groupBy((F.col("o_custkey") % 8).cast("int").alias("fold"), month.alias("round")) \
+        .agg(F.avg("o_totalprice").alias("loss"))
+    return best_rounds(curve, 9)
+
+
 # ---------------------------------------------------------------------------
 # A18-A20, A23, X17 through the real installments plan: a projection of its
 # output on the crosswalked tables, checked against SQL written from scratch.

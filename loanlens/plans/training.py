@@ -2,29 +2,39 @@
 
 The booster is Spark's ``GBTClassifier`` (distributed fit); the reference's
 LightGBM-specific knobs without a Spark counterpart (L1/L2, leaves,
-categorical smoothing) are not reproduced.  Categorical features are
-target-encoded per fold with the one-pass "total minus fold" tables.
+categorical smoothing) are not reproduced.
+
+The wide feature table is read twice, whatever the number of folds, members and
+rounds: once for the quantile cuts of every numeric column, once to write each
+row's bins as one vector next to its fold and encodings.  All fits read that
+narrow table.  Categorical features are target-encoded per fold with the
+one-pass "total minus fold" tables, joined once for all folds.
+
+A booster stops by patience: it is fitted in growing stages, the held-out loss
+of every round is read from the model, and the best round is the one that no
+round of the next ``patience`` improves.  A fitted ensemble carries its cuts and
+encodings, so it scores rows by itself after it is saved and loaded.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlens.operators.ordered import average_rank, stratified_folds
-from loanlens.operators.target_encoding import (apply_target_encoding, category_key, fit_target_encoding,
-                                                fold_encoding_tables, hash_normal)
+from loanlens.operators.target_encoding import (category_key, encoding_arrays, fit_target_encoding, hash_normal)
 from loanlens.session import cut_lineage
 
-MISSING = -1e30  # below every value of a feature
-
 
 @dataclass(frozen=True)
 class BoostParams:
@@ -34,45 +44,110 @@ class BoostParams:
     feature_subset: str = "0.7"
     max_bins: int = 100
     min_instances: int = 100
-    max_iter: int = 10_000  # early stopping ends the fit
-    validation_tol: float = 1e-5
+    max_iter: int = 10_000  # patience ends the fit
+    patience: int = 50
     seed: int = 42
 
 
-def _assembler(features: Sequence[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-
-
-def _prepare(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Trees here need no NULLs: fill with a value below every other, which a
-    split can set apart."""
-    return df.fillna(MISSING, subset=list(features))
-
-
-def fit_classifier(df: DataFrame, features: Sequence[str], label: str, params: BoostParams,
-                   validation_col: str | None = None) -> PipelineModel:
-    gbt = GBTClassifier(labelCol=label, featuresCol="features", maxDepth=params.max_depth,
-                        stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
-                        featureSubsetStrategy=params.feature_subset, maxBins=params.max_bins,
-                        minInstancesPerNode=params.min_instances, maxIter=params.max_iter,
-                        validationTol=params.validation_tol, seed=params.seed)
-    if validation_col:
-        gbt = gbt.setValidationIndicatorCol(validation_col)
-    data = _prepare(df, features).withColumn(label, F.col(label).cast("double"))
-    return Pipeline(stages=[_assembler(features), gbt]).fit(data)
-
+# -- vectors -------------------------------------------------------------------
+def fit_cuts(df: DataFrame, features: Sequence[str], bins: int = 100, error: float = 1e-3) -> dict[str, list[float]]:
+    """Quantile cuts of each column, at most ``bins`` - 1, in one pass over the
+    table (sketches of ``error``, merged from all tasks).  A column without
+    values has none."""
+    features = list(features)
+    if not features:
+        return {}
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in features])
+    share = [k / bins for k in range(1, bins)]
+    found = values.approxQuantile(features, share, error)
+    return {c: sorted({float(v) for v in cuts if v == v}) for c, cuts in zip(features, found)}
+
+
+def binned_rows(df: DataFrame, cuts: dict[str, list[float]], carry: Sequence[str]) -> DataFrame:
+    """``carry`` columns and ``bins``: 0 for a missing value, else 1 plus the cuts below the value."""
+    edges = [np.array(c, np.float64) for c in cuts.values()]
+
+    def run(batches):
+        for batch in batches:
+            held = batch.num_columns - len(edges)
+            out = np.zeros((len(batch), len(edges)), np.float32)
+            for k, cut in enumerate(edges):
+                x = batch.column(held + k).to_numpy(zero_copy_only=False).astype(np.float64)
+                out[:, k] = np.where(np.isnan(x), 0, 1 + np.searchsorted(cut, x, side="left"))
+            offsets = pa.array(np.arange(len(batch) + 1, dtype=np.int32) * len(edges))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:held], pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))],
+                                             [*batch.schema.names[:held], "bins"])
+
+    kept = [F.col(c) for c in carry]
+    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField("bins", T.ArrayType(T.FloatType()))])
+    # cuts are positional, so a column may have any name
+    return df.select(*kept, *[F.col(c).cast("double").alias(f"_b{k}") for k, c in enumerate(cuts)]).mapInArrow(run, schema)
+
+
+def _vector(encodings: Sequence[Column]) -> Column:
+    """Bins and encodings of a row as one vector."""
+    own = F.col("bins").cast("array<double>")
+    return array_to_vector(F.concat(own, F.array(*encodings)) if encodings else own).alias("features")
+
+
+# -- boosters ------------------------------------------------------------------
+def booster(params: BoostParams, rounds: int, bins: int) -> GBTClassifier:
+    return GBTClassifier(labelCol="label", featuresCol="features", maxDepth=params.max_depth, stepSize=params.step_size,
+                         subsamplingRate=params.subsampling_rate, featureSubsetStrategy=params.feature_subset,
+                         maxBins=bins, minInstancesPerNode=params.min_instances, maxIter=rounds, seed=params.seed)
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """(rounds up to the best loss, whether ``patience`` rounds without gain have passed).
+
+    Rounds after those don't count; of equal losses the first is the best.
+    """
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def fit_with_patience(train: DataFrame, held_out: DataFrame, params: BoostParams) -> tuple[GBTClassificationModel, list[float]]:
+    """The booster of the best round, and the held-out loss of every round fitted.
+
+    Stages double, so all of them together cost about twice the last; a
+    stage repeats the rounds of the one before it, since they have the same seed.
+    """
+    bins = max(2, params.max_bins + 2)
+    rounds = min(params.max_iter, params.patience + max(1, params.patience // 4))
+    while True:
+        model = booster(params, rounds, bins).fit(train)
+        losses = [float(x) for x in model.evaluateEachIteration(held_out)]
+        best, over = best_round(losses, params.patience)
+        if over or rounds >= params.max_iter:
+            break
+        rounds = min(params.max_iter, 2 * rounds)
+    if best < len(losses):
+        model = booster(params, best, bins).fit(train)
+    return model, losses
+
+
+def importances(model: GBTClassificationModel, features: Sequence[str]) -> list[tuple[str, float]]:
+    """Per-feature importance of a fitted booster by gain; ``split_counts`` counts splits."""
+    vec = model.featureImportances
+    return [(f, float(vec[i])) for i, f in enumerate(features)]
 
-def score(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str,
-          out: str = "TARGET", carry: Sequence[str] = ()) -> DataFrame:
-    """P(default) per row (M7), with the columns to carry."""
-    pred = model.transform(_prepare(df, features))
-    return pred.select(id_col, *carry, vector_to_array("probability")[1].alias(out))
 
+def split_counts(spark: SparkSession, path: str, features: Sequence[str]) -> DataFrame:
+    """(feature, importance): how many splits of a saved booster use each feature.
 
-def importances(model: PipelineModel, features: Sequence[str]) -> list[tuple[str, float]]:
-    """Per-feature importance of a fitted booster (gain-based in Spark)."""
-    vec = model.stages[-1].featureImportances
-    return [(f, float(vec[i])) for i, f in enumerate(features)]
+    Read from the table of nodes that Spark writes with the model; a feature
+    without splits has 0.
+    """
+    nodes = spark.read.parquet(f"{path.rstrip('/')}/data")
+    used = (nodes.where("nodeData.leftChild >= 0").groupBy(F.col("nodeData.split.featureIndex").alias("place"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    names = spark.createDataFrame(list(enumerate(features)), "place int, feature string")
+    return names.join(used, "place", "left").select("feature", F.coalesce("n", F.lit(0)).cast("double").alias("importance"))
 
 
 def auc(df: DataFrame, score_col: str, label: str) -> DataFrame:
@@ -104,60 +179,62 @@ def blend_ranks(df: DataFrame, id_col: str, score_cols: Sequence[str], out: str
     return x.select(*keep, scaled.alias(out))
 
 
-def encode_fold(df: DataFrame, cats: Sequence[str], label: str, fold_col: str, fold: int, k: int,
-                smoothing: float, tables: dict[str, DataFrame] | None = None,
-                noise_level: float = 0.0, id_col: str | None = None, seed: int = 0) -> DataFrame:
-    """Encoding for CV fold ``fold``: tables fitted on the other folds, applied
-    to every row (training rows in-sample, held-out rows out-of-fold).
-    ``tables`` (category -> all-fold table) avoids refitting per fold.  Noise
-    goes on known categories of training rows only."""
-    x = df
-    for c in cats:
-        full = tables[c] if tables and c in tables else \
-            fold_encoding_tables(df, c, label, fold_col, k, smoothing)
-        t = full.where(F.col("fold") == fold)
-        prior = t.select("prior").limit(1)
-        enc = F.col("enc")
-        if noise_level > 0:
-            if id_col is None:
-                raise ValueError("noise needs an id column to stay reproducible")
-            noisy = enc * (F.lit(1.0) + F.lit(noise_level) * hash_normal(id_col, seed))
-            enc = F.when(F.col(fold_col) == fold, enc).otherwise(noisy)
-        x = (x.withColumn("_cat_key", category_key(c))
-             .join(t.select("_cat_key", "enc"), "_cat_key", "left")
-             .crossJoin(F.broadcast(prior))
-             .withColumn(f"{c}_ENCODED", F.coalesce(enc, "prior"))
-             .drop("_cat_key", "enc", "prior", c))
-    return x
-
-
 def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str], label: str,
                    id_col: str, k: int = 8, seed: int = 42, smoothing: float = 5.0,
-                   params: BoostParams = BoostParams(), noise_level: float = 0.0):
+                   params: BoostParams = BoostParams(), noise_level: float = 0.0, parallelism: int = 4):
     """Stratified k-fold CV (M1, M4): returns (fold metrics, best round per
     fold, importances frame with a fold column).  A fold's metrics are its
-    ``train_auc`` and ``valid_auc``.  Each fold's booster stops early on its
-    held-out rows; Spark keeps the best iteration, so the number of trees is
-    the fold's best round."""
+    ``train_auc`` and ``valid_auc`` at its best round.  ``parallelism`` folds are
+    fitted at a time, as jobs of one session."""
     spark = df.sparkSession
     folded = stratified_folds(df, label, id_col, k, seed)
-    scores, rounds, rows = [], [], []
-    feats = [f for f in features if f not in cats] + [f"{c}_ENCODED" for c in cats]
-    # every fold's table in one pass per category, materialised once (levels x k
-    # rows) instead of re-aggregating the training data in each of the k folds
-    tables = {c: cut_lineage(fold_encoding_tables(folded, c, label, "fold", k, smoothing))
-              for c in cats}
-    for f in range(k):
-        enc = encode_fold(folded, cats, label, "fold", f, k, smoothing, tables, noise_level, id_col, seed)
-        enc = enc.withColumn("_is_val", F.col("fold") == f)
-        model = fit_classifier(enc, feats, label, params, validation_col="_is_val")
-        rated = cut_lineage(score(model, enc, feats, id_col, "_p", [label, "_is_val"]))
-        scores.append({name: auc(rated.where(F.col("_is_val") == held), "_p", label).first()["AUC"]
-                       for name, held in (("train_auc", False), ("valid_auc", True))})
-        rounds.append(model.stages[-1].getNumTrees)
-        rows += [(f, n, v) for n, v in importances(model, feats)]
-    imp = spark.createDataFrame(rows, "fold int, feature string, importance double")
-    return scores, rounds, imp
+    numeric = [f for f in features if f not in cats]
+    names = numeric + [f"{c}_ENCODED" for c in cats]
+    cuts = fit_cuts(df, numeric, params.max_bins)
+    x, priors = encoding_arrays(folded, cats, label, "fold", k, smoothing)
+    data = binned_rows(x.withColumn("label", F.col(label).cast("double")), cuts,
+                       [id_col, "label", "fold", *[f"_enc_{i}" for i in range(len(cats))]])
+    data = cut_lineage(data)
+
+    def one(f: int):
+        held = F.col("fold") == f
+        encodings = []
+        for i in range(len(cats)):
+            known = F.col(f"_enc_{i}")[f]
+            noisy = known * (F.lit(1.0) + F.lit(noise_level) * hash_normal(id_col, seed)) if noise_level > 0 else known
+            # noise goes on known levels of training rows only
+            encodings.append(F.coalesce(F.when(held, known).otherwise(noisy), F.lit(priors[f])))
+        rows = data.select(id_col, "label", held.alias("held"), _vector(encodings))
+        model, losses = fit_with_patience(rows.where("NOT held"), rows.where("held"), params)
+        rated = cut_lineage(model.transform(rows).select("label", "held", vector_to_array("probability")[1].alias("p")))
+        scores = {name: auc(rated.where(F.col("held") == side), "p", "label").first()["AUC"]
+                  for name, side in (("train_auc", False), ("valid_auc", True))}
+        return scores, model.getNumTrees, [(f, n, v) for n, v in importances(model, names)], losses
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        done = list(pool.map(one, range(k)))
+    imp = spark.createDataFrame([r for _, _, rows, _ in done for r in rows], "fold int, feature string, importance double")
+    return [s for s, _, _, _ in done], [n for _, n, _, _ in done], imp
+
+
+def loss_curve(losses: Sequence[Sequence[float]], spark: SparkSession) -> DataFrame:
+    """(fold, round, loss) of the held-out losses of each fold."""
+    return spark.createDataFrame([(f, r, float(x)) for f, own in enumerate(losses) for r, x in enumerate(own, 1)],
+                                 "fold int, round int, loss double")
+
+
+def best_rounds(curve: DataFrame, patience: int) -> DataFrame:
+    """(fold, best): ``best_round`` of a curve table, in Spark.
+
+    The stopping round is the first that lies ``patience`` rounds behind the
+    best before it; the best is the first lowest loss up to there.
+    """
+    from pyspark.sql import Window
+    so_far = Window.partitionBy("fold").orderBy("round").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    led = curve.withColumn("led", F.min(F.struct("loss", "round")).over(so_far)["round"])
+    stop = led.groupBy("fold").agg(F.min(F.when(F.col("round") - F.col("led") >= patience, F.col("round"))).alias("stop"))
+    return (led.join(stop, "fold").where(F.col("stop").isNull() | (F.col("round") <= F.col("stop")))
+            .groupBy("fold").agg(F.min(F.struct("loss", "round"))["round"].alias("best")))
 
 
 def final_round_count(best_rounds: Sequence[int], factor: float = 1.05) -> int:
@@ -175,48 +252,131 @@ def top_importances(imp: DataFrame, n: int = 50) -> DataFrame:
     return imp.orderBy(F.col("importance").desc(), F.col("feature")).limit(n)
 
 
-# The ensemble's members (seed, feature share, row share, factor of the step).
-ENSEMBLE = [
-    (1, 0.70, 0.70, 1.0), (2, 0.66, 0.66, 1.0), (3, 0.64, 0.64, 0.9), (4, 0.62, 0.62, 1.1),
-    (5, 0.60, 0.60, 1.0), (6, 0.58, 0.58, 0.9), (7, 0.56, 0.56, 1.1),
-]
+# Members, what each takes off the shares of columns and rows, their floor, and the steps in turn.
+MEMBERS, SHARE_STEP, SHARE_FLOOR = 7, 0.02, 0.5
+STEP_FACTORS = (0.9, 1.1, 1.0)
+
+
+def ensemble_params(base: BoostParams, members: int = MEMBERS) -> list[BoostParams]:
+    """The first member is ``base`` with seed 1; each later one draws from
+    smaller shares, down to the floor, and turns through the step factors (M6)."""
+    out = []
+    for i in range(1, members + 1):
+        if i == 1:
+            out.append(replace(base, seed=1))
+            continue
+        columns, rows = (max(SHARE_FLOOR, share - SHARE_STEP * i) for share in (float(base.feature_subset), base.subsampling_rate))
+        out.append(replace(base, seed=i, feature_subset=f"{columns:.2f}", subsampling_rate=round(rows, 10),
+                           step_size=base.step_size * STEP_FACTORS[i % 3]))
+    return out
 
 
-def ensemble_params(base: BoostParams, members: int = len(ENSEMBLE)) -> list[BoostParams]:
-    """The settings of the first ``members`` rows of ``ENSEMBLE`` on top of ``base`` (M6)."""
-    return [replace(base, seed=seed, feature_subset=str(columns), subsampling_rate=rows, step_size=base.step_size * step)
-            for seed, columns, rows, step in ENSEMBLE[:members]]
+ENSEMBLE_VERSION = 1
+
+
+@dataclass
+class Ensemble:
+    """Boosters with the cuts and encodings that turn rows into their vectors."""
+
+    id_col: str
+    cuts: dict[str, list[float]]          # numeric features in order
+    cats: list[str]
+    encoders: DataFrame | None            # (feature, _cat_key, enc) of all categories, written
+    prior: float
+    models: list[GBTClassificationModel]
+
+    @property
+    def features(self) -> list[str]:
+        return [*self.cuts, *[f"{c}_TARGET_ENCODED" for c in self.cats]]
+
+    def vectors(self, df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+        """(id, carry, features) of rows; an unseen level gets the prior, a missing column is missing in every row."""
+        x = df.select("*", *[F.lit(None).cast("double").alias(c) for c in self.cuts if c not in df.columns],
+                      *[F.lit(None).cast("string").alias(c) for c in self.cats if c not in df.columns])
+        for i, c in enumerate(self.cats):
+            own = self.encoders.where(F.col("feature") == c).select(F.col("_cat_key").alias(f"_key_{i}"), F.col("enc").alias(f"_enc_{i}"))
+            x = x.withColumn(f"_key_{i}", category_key(c)).join(own, f"_key_{i}", "left")
+        encodings = [f"_enc_{i}" for i in range(len(self.cats))]
+        rows = binned_rows(x, self.cuts, [self.id_col, *carry, *encodings])
+        return rows.select(self.id_col, *carry, _vector([F.coalesce(c, F.lit(self.prior)) for c in encodings]))
+
+    def member_scores(self, df: DataFrame) -> DataFrame:
+        """(id, TRAINING_ROUND_1, ...): every member's P(default) from one pass over the rows (M7)."""
+        x, out = self.vectors(df), []
+        for i, model in enumerate(self.models, 1):
+            own = model.copy().setPredictionCol(f"_class_{i}").setRawPredictionCol(f"_raw_{i}").setProbabilityCol(f"_p_{i}")
+            x = own.transform(x)
+            out.append(vector_to_array(f"_p_{i}")[1].alias(f"TRAINING_ROUND_{i}"))
+        return x.select(self.id_col, *out)
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """(id, TARGET): the members' ranks among the rows of ``df``, blended (M8)."""
+        scored = cut_lineage(self.member_scores(df))
+        return blend_ranks(scored, self.id_col, [c for c in scored.columns if c != self.id_col])
+
+    def save(self, path: str) -> list[str]:
+        """Write members, encoders and manifest below ``path``; the members' paths."""
+        path, spark = path.rstrip("/"), SparkSession.active()
+        paths = [f"{path}/model_round_{i}" for i in range(1, len(self.models) + 1)]
+        for model, p in zip(self.models, paths):
+            model.write().overwrite().save(p)
+        if self.encoders is not None:
+            self.encoders.write.mode("overwrite").parquet(f"{path}/encoders")
+        rows = [(c, at, cut) for at, (c, own) in enumerate(self.cuts.items()) for cut in (own or [None])]
+        spark.createDataFrame(rows, "feature string, place int, cut double").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{path}/cuts")
+        manifest = {"version": ENSEMBLE_VERSION, "id": self.id_col, "categories": self.cats, "prior": self.prior,
+                    "members": len(self.models)}
+        spark.createDataFrame([(json.dumps(manifest),)], "manifest string").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{path}/manifest")
+        return paths
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Ensemble:
+        path = path.rstrip("/")
+        m = json.loads(spark.read.parquet(f"{path}/manifest").first()["manifest"])
+        if m["version"] != ENSEMBLE_VERSION:
+            raise ValueError(f"ensemble of version {m['version']} in {path}; this is version {ENSEMBLE_VERSION}")
+        cuts: dict[str, list[float]] = {}
+        # at most a hundred cuts a feature
+        for r in spark.read.parquet(f"{path}/cuts").orderBy("place", "cut").collect():
+            cuts.setdefault(r["feature"], []).extend([] if r["cut"] is None else [r["cut"]])
+        models = [GBTClassificationModel.load(f"{path}/model_round_{i}") for i in range(1, m["members"] + 1)]
+        encoders = spark.read.parquet(f"{path}/encoders") if m["categories"] else None
+        return cls(m["id"], cuts, m["categories"], encoders, m["prior"], models)
+
+
+def load_and_score(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
+    """(id, TARGET) of new rows from a saved ensemble."""
+    return Ensemble.load(spark, path).score(df)
+
+
+def fit_ensemble(train: DataFrame, features: Sequence[str], cats: Sequence[str], label: str, id_col: str, rounds: int,
+                 smoothing: float = 5.0, members: int = MEMBERS, base: BoostParams = BoostParams(),
+                 parallelism: int = 4) -> Ensemble:
+    """Cuts, encodings and members on all labelled rows (M5, M6); ``parallelism`` members at a time."""
+    numeric = [f for f in features if f not in cats]
+    cuts = fit_cuts(train, numeric, base.max_bins)
+    tables = [fit_target_encoding(train, c, label, smoothing)[0].select(F.lit(c).alias("feature"), "_cat_key", "enc") for c in cats]
+    encoders = None
+    for t in tables:
+        encoders = t if encoders is None else encoders.unionByName(t)
+    prior = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    out = Ensemble(id_col, cuts, list(cats), cut_lineage(encoders) if cats else None, float(prior or 0.0), [])
+    data = cut_lineage(out.vectors(train.withColumn("label", F.col(label).cast("double")), ["label"]))
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        out.models = list(pool.map(lambda p: booster(p, max(1, rounds), max(2, p.max_bins + 2)).fit(data),
+                                   ensemble_params(base, members)))
+    return out
 
 
 def train_and_score(train: DataFrame, test: DataFrame, features: Sequence[str], cats: Sequence[str],
                     label: str, id_col: str, rounds: int, smoothing: float = 5.0,
-                    members: int = 7, base: BoostParams = BoostParams()):
+                    members: int = MEMBERS, base: BoostParams = BoostParams(), parallelism: int = 4):
     """Full-data encoding, ensemble fits, rank-blended test scores (M5-M8).
-    Returns (predictions[id, TARGET], importances[feature, importance], models)."""
-    tr, te = train, test
-    for c in cats:
-        table, prior = fit_target_encoding(train, c, label, smoothing)
-        tr = apply_target_encoding(tr, c, table, prior, f"{c}_TARGET_ENCODED")
-        te = apply_target_encoding(te, c, table, prior, f"{c}_TARGET_ENCODED")
-    feats = [f for f in features if f not in cats] + [f"{c}_TARGET_ENCODED" for c in cats]
-    preds = te.select(id_col)
-    models, rows = [], []
-    for i, p in enumerate(ensemble_params(replace(base, max_iter=max(1, rounds)), members), 1):
-        m = fit_classifier(tr, feats, label, p)
-        models.append(m)
-        preds = preds.join(score(m, te, feats, id_col, f"TRAINING_ROUND_{i}"), id_col)
-        rows += [(n, v) for n, v in importances(m, feats)]
-    spark = train.sparkSession
-    imp = spark.createDataFrame(rows, "feature string, importance double")
+    Returns (predictions[id, TARGET], importances[feature, importance], ensemble)."""
+    ensemble = fit_ensemble(train, features, cats, label, id_col, rounds, smoothing, members, base, parallelism)
+    rows = [(n, v) for m in ensemble.models for n, v in importances(m, ensemble.features)]
+    imp = train.sparkSession.createDataFrame(rows, "feature string, importance double")
     imp = imp.groupBy("feature").agg((F.sum("importance") / F.lit(float(members))).alias("importance"))
-    blended = blend_ranks(preds, id_col, [f"TRAINING_ROUND_{i}" for i in range(1, members + 1)])
-    return blended, imp, models
-
-
-def save_models(models: Sequence[PipelineModel], path: str) -> list[str]:
-    out = []
-    for i, m in enumerate(models, 1):
-        p = f"{path.rstrip('/')}/model_round_{i}"
-        m.write().overwrite().save(p)
-        out.append(p)
-    return out
+    return ensemble.score(test), imp, ensemble

@@ -2,12 +2,17 @@ import random
 
 import numpy as np
 import pandas as pd
+import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from loanlens.operators.target_encoding import hash_normal
 from loanlens.operators.ordered import stratified_folds
-from loanlens.plans.training import (BoostParams, auc, blend_ranks, cross_validate, ensemble_params,
-                                     final_round_count, top_importances, train_and_score)
+from loanlens.operators.target_encoding import (apply_target_encoding, encoding_arrays, fit_target_encoding,
+                                                hash_normal)
+from loanlens.plans.training import (BoostParams, Ensemble, auc, best_round, best_rounds, binned_rows, blend_ranks,
+                                     cross_validate, ensemble_params, final_round_count, fit_cuts,
+                                     fit_with_patience, load_and_score, loss_curve, split_counts,
+                                     top_importances, train_and_score)
 
 
 def test_blend_ranks_matches_pandas(spark):
@@ -34,6 +39,8 @@ def test_ensemble_params_and_rounds():
     assert ps[0] == BoostParams(seed=1)
     assert abs(ps[2].subsampling_rate - 0.64) < 1e-12 and abs(ps[2].step_size - 0.027) < 1e-12
     assert abs(ps[3].step_size - 0.033) < 1e-12 and ps[6].feature_subset == "0.56"
+    # shares stop at the floor
+    assert ensemble_params(BoostParams(), 12)[-1].feature_subset == "0.50" and ensemble_params(BoostParams(), 12)[-1].subsampling_rate == 0.5
     assert final_round_count([100, 110, 120]) == 115
 
 
@@ -50,19 +57,53 @@ def test_top_importances_ties_by_name(spark):
     assert [r.feature for r in top_importances(imp, 2).collect()] == ["c", "a"]
 
 
-def test_encode_fold_with_precomputed_tables(spark):
-    from loanlens.operators.target_encoding import fold_encoding_tables
-    from loanlens.plans.training import encode_fold
-    rows = [(i, "abc"[i % 3] if i % 7 else None, int(i % 4 == 0), i % 3) for i in range(60)]
+def test_encodings_of_all_folds_in_one_join(spark):
+    rows = [(i, "abc"[i % 3] if i % 7 else None, int(i % 4 == 0), i % 3) for i in range(60)] + [(99, "lone", 1, 2)]
     df = spark.createDataFrame(rows, "id int, c string, y int, fold int")
-    tables = {"c": fold_encoding_tables(df, "c", "y", "fold", 3, 2.0)}
+    x, priors = encoding_arrays(df, ["c"], "y", "fold", 3, 2.0)
+    got = {r.id: r._enc_0 for r in x.collect()}
     for f in range(3):
-        a = {r.id: r.c_ENCODED for r in encode_fold(df, ["c"], "y", "fold", f, 3, 2.0).collect()}
-        b = {r.id: r.c_ENCODED for r in encode_fold(df, ["c"], "y", "fold", f, 3, 2.0, tables).collect()}
-        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
-
-
-def test_cross_validation_and_scoring_on_a_small_frame(spark):
+        table, prior = fit_target_encoding(df.where(F.col("fold") != f), "c", "y", 2.0)
+        want = {r.id: r.e for r in apply_target_encoding(df, "c", table, prior, "e").collect()}
+        assert abs(priors[f] - prior.first()[0]) < 1e-12
+        assert all(abs((got[i][f] if got[i][f] is not None else priors[f]) - want[i]) < 1e-12 for i in want)
+    assert got[99][2] is None
+
+
+@pytest.mark.parametrize("losses,patience,want", [
+    ([5, 4, 4.5, 4.4, 3, 3.5], 3, (5, False)),       # dips, recovers: the later best
+    ([5, 4, 4.5, 4.4, 4.3, 3, 2], 3, (2, True)),     # three rounds without gain end it
+    ([1, 1, 1, 1], 3, (1, True)), ([3, 2, 1], 2, (3, False)), ([2.0], 5, (1, False))])
+def test_best_round_waits(spark, losses, patience, want):
+    assert best_round(losses, patience) == want
+    assert best_rounds(loss_curve([losses, losses[::-1]], spark), patience).where("fold = 0").first()["best"] == want[0]
+
+
+def test_patience_fits_further_stages(spark):
+    rng = np.random.default_rng(0)
+    x = rng.standard_normal((600, 3))
+    y = (x[:, 0] * x[:, 1] + 0.3 * rng.standard_normal(600) > 0).astype(float)
+    df = spark.createDataFrame([(k, *map(float, r), float(t)) for k, (r, t) in enumerate(zip(x, y))],
+                               "id long, a double, b double, c double, label double")
+    rows = binned_rows(df, fit_cuts(df, ["a", "b", "c"], 16), ["id", "label"]).select(
+        "id", "label", array_to_vector(F.col("bins").cast("array<double>")).alias("features")).cache()
+    params = BoostParams(max_depth=2, step_size=0.3, min_instances=2, patience=4, max_iter=60, subsampling_rate=1.0, feature_subset="1.0")
+    model, losses = fit_with_patience(rows.where("id % 3 > 0"), rows.where("id % 3 = 0"), params)
+    best, over = best_round(losses, 4)
+    assert model.getNumTrees == best and len(losses) > 5 and (over or len(losses) == 60)
+    assert [round(v, 9) for v in model.evaluateEachIteration(rows.where("id % 3 = 0"))] == [round(v, 9) for v in losses[:best]]
+
+
+def test_bins_follow_the_cuts(spark):
+    df = spark.createDataFrame([(k, None if k % 9 == 0 else float(k), 7.0, None if k else float("nan")) for k in range(300)],
+                               "id int, `a.b c` double, same double, none double").toDF("id", "a b", "same", "none")
+    cuts = fit_cuts(df, ["a b", "same", "none"], 10)
+    assert len(cuts["a b"]) == 9 and cuts["same"] == [7.0] and cuts["none"] == []
+    for r in binned_rows(df.repartition(3), cuts, ["id"]).collect():
+        assert r.bins[0] == (0 if r.id % 9 == 0 else 1 + sum(c < r.id for c in cuts["a b"])) and r.bins[1:] == [1, 0]
+
+
+def test_cross_validation_and_scoring_on_a_small_frame(spark, tmp_path):
     """Negative day columns with missing values; noise on training encodings only."""
     rng = random.Random(3)
     rows = []
@@ -77,10 +118,37 @@ def test_cross_validation_and_scoring_on_a_small_frame(spark):
         folds, rounds, imp = cross_validate(train, ["days", "cat"], ["cat"], "y", "id", k=2, params=base, noise_level=noise)
         assert len(folds) == 2 and all(f["valid_auc"] > 0.9 and f["train_auc"] > 0.9 for f in folds)
         assert all(1 <= r <= 4 for r in rounds) and imp.count() == 4
-    preds, importance, models = train_and_score(train, test, ["days", "cat"], ["cat"], "y", "id", 3, members=2, base=base)
+    preds, importance, ensemble = train_and_score(train, test, ["days", "cat"], ["cat"], "y", "id", 3, members=2, base=base)
     got = preds.collect()
     assert len(got) == 100 and min(r.TARGET for r in got) == 0 and max(r.TARGET for r in got) == 1
-    assert len(models) == 2 and importance.count() == 2
+    assert len(ensemble.models) == 2 and importance.count() == 2
+    # saved and loaded: the same scores, for whole tables and for one row
+    path = f"file:{tmp_path}/models"
+    ensemble.save(path)
+    assert sorted(load_and_score(spark, path, test).collect()) == sorted(got)
+    again = Ensemble.load(spark, path)
+    before = {r.id: r for r in ensemble.member_scores(test).collect()}
+    assert {r.id: r for r in again.member_scores(test).collect()} == before
+    row, = again.member_scores(test.where("id = 321")).collect()
+    assert row == before[321]
+    # an unseen level has the saved prior, a missing column is a missing value
+    x, = again.vectors(test.where("id = 321").withColumn("cat", F.lit("zzz"))).collect()
+    assert abs(x.features[1] - train.agg(F.avg("y")).first()[0]) < 1e-12
+    x, = again.vectors(test.where("id = 321").drop("days", "y")).collect()
+    assert x.features[0] == 0
+    # splits of the saved trees, by feature
+    counts = {r.feature: r.importance for r in split_counts(spark, f"{path}/model_round_1", again.features).collect()}
+    inner = sum((t.numNodes - 1) // 2 for t in again.models[0].trees)
+    assert set(counts) == {"days", "cat_TARGET_ENCODED"} and sum(counts.values()) == inner > 0
+
+
+def test_split_counts_of_two_trees(spark, tmp_path):
+    split = "struct<id:int, leftChild:int, split:struct<featureIndex:int>>"
+    nodes = [(0, (0, 1, (2,))), (0, (1, -1, (-1,))), (0, (2, 3, (0,))), (0, (3, -1, (-1,))), (0, (4, -1, (-1,))),
+             (1, (0, 1, (2,))), (1, (1, -1, (-1,))), (1, (2, -1, (-1,)))]
+    spark.createDataFrame(nodes, f"treeID int, nodeData {split}").write.parquet(f"{tmp_path}/m/data")
+    got = {r.feature: r.importance for r in split_counts(spark, f"{tmp_path}/m", ["a", "b", "c"]).collect()}
+    assert got == {"a": 1.0, "b": 0.0, "c": 2.0}
 
 
 def test_folds_keep_repeated_ids(spark):
@@ -88,22 +156,23 @@ def test_folds_keep_repeated_ids(spark):
     assert stratified_folds(df, "y", "id", 5, 1).count() == 100
 
 
-def test_ensemble_query_takes_its_rounds_from_cross_validation(spark, monkeypatch, tmp_path):
-    from loanlens.plans import registry, training
-    spark.createDataFrame([(k, "en", "a", 10 * k) for k in range(6)], "doc_id long, lang string, source string, n_chars long") \
-        .write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+def test_ensemble_query_trains_on_the_feature_table(spark, monkeypatch):
+    from loanlens.plans import features, registry, training
     seen = {}
+    frame = spark.createDataFrame([(k, k % 2 if k < 4 else None, 0.5, "x") for k in range(6)],
+                                  "SK_ID_CURR long, TARGET int, f double, s string")
 
     def cross_validate(train, *args, params, **kwargs):
-        seen["train"], seen["most"] = train.count(), params.max_iter
+        seen["train"], seen["most"], seen["patience"] = train.count(), params.max_iter, params.patience
         return [], [20, 41], None
 
-    def train_and_score(train, test, *args, rounds, members, **kwargs):
-        seen["rounds"], seen["members"] = rounds, members
+    def train_and_score(train, test, names, cats, *args, rounds, members, **kwargs):
+        seen["rounds"], seen["members"], seen["names"], seen["cats"] = rounds, members, names, cats
         return test, None, None
 
+    monkeypatch.setattr(features, "build_features", lambda tables: frame)
+    monkeypatch.setattr(registry, "_domain", lambda spark, sf: {})
     monkeypatch.setattr(training, "cross_validate", cross_validate)
     monkeypatch.setattr(training, "train_and_score", train_and_score)
-    registry.QUERIES["m2_m8_ensemble_scores"](spark, str(tmp_path))
-    assert seen == {"train": 4, "most": 10_000, "rounds": 32, "members": 7}
+    assert registry.QUERIES["m2_m8_ensemble_scores"](spark, "").count() == 2
+    assert seen == {"train": 4, "most": 10_000, "patience": 50, "rounds": 32, "members": 7, "names": ["f", "s"], "cats": ["s"]}
