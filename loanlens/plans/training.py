@@ -5,7 +5,7 @@ LightGBM-specific knobs without a Spark counterpart (L1/L2, leaves,
 categorical smoothing) are not reproduced.
 
 The wide feature table is read twice, whatever the number of folds, members and
-rounds: once for the quantile cuts of every numeric column, once to write each
+rounds: once for the quantile cuts of every numeric column (a bounded sample), once to write each
 row's bins as one vector next to its fold and encodings.  All fits read that
 narrow table.  Categorical features are target-encoded per fold with the
 one-pass "total minus fold" tables, joined once for all folds.
@@ -50,17 +50,41 @@ class BoostParams:
 
 
 # -- vectors -------------------------------------------------------------------
-def fit_cuts(df: DataFrame, features: Sequence[str], bins: int = 100, error: float = 1e-3) -> dict[str, list[float]]:
-    """Quantile cuts of each column, at most ``bins`` - 1, in one pass over the
-    table (sketches of ``error``, merged from all tasks).  A column without
-    values has none."""
+#: Rows that the quantile cuts are taken from: about so many, by a hash of the id.
+CUT_ROWS = 20_000
+
+
+def fit_cuts(df: DataFrame, features: Sequence[str], bins: int = 100, id_col: str | None = None,
+             rows: int = CUT_ROWS) -> dict[str, list[float]]:
+    """Quantile cuts of each column, at most ``bins`` - 1, from one pass over the
+    table.  Tables beyond ``rows`` rows are sampled by a hash of ``id_col``, so
+    that the driver holds about ``rows`` doubles a column; the booster's own
+    split points come from a sample of that size, too.  A column without values
+    has no cuts."""
     features = list(features)
     if not features:
         return {}
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in features])
-    share = [k / bins for k in range(1, bins)]
-    found = values.approxQuantile(features, share, error)
-    return {c: sorted({float(v) for v in cuts if v == v}) for c, cuts in zip(features, found)}
+    n = df.count()
+    if n > rows:
+        limit = int((1 << 30) * (rows / n))
+        key = F.xxhash64(F.col(id_col)) if id_col else F.xxhash64(*df.columns)
+        df = df.where(F.pmod(key, F.lit(1 << 30)) < limit)
+
+    def run(batches):
+        for batch in batches:
+            if len(batch):
+                x = np.stack([c.to_numpy(zero_copy_only=False).astype(np.float64) for c in batch.columns], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary())], ["x"])
+
+    values = df.select(*[F.col(c).cast("double").alias(f"_b{k}") for k, c in enumerate(features)])
+    got = [np.frombuffer(r["x"], np.float64).reshape(-1, len(features)) for r in values.mapInArrow(run, "x binary").collect()]
+    x = np.concatenate(got) if got else np.zeros((0, len(features)))
+    share = np.arange(1, bins) / bins
+    out = {}
+    for k, c in enumerate(features):
+        own = x[:, k][~np.isnan(x[:, k])]
+        out[c] = np.unique(np.quantile(own, share, method="inverted_cdf")).tolist() if len(own) else []
+    return out
 
 
 def binned_rows(df: DataFrame, cuts: dict[str, list[float]], carry: Sequence[str]) -> DataFrame:
@@ -84,6 +108,14 @@ def binned_rows(df: DataFrame, cuts: dict[str, list[float]], carry: Sequence[str
     return df.select(*kept, *[F.col(c).cast("double").alias(f"_b{k}") for k, c in enumerate(cuts)]).mapInArrow(run, schema)
 
 
+#: Numbers of a partition of vectors: a booster sums one histogram a partition and level, so small tables get few.
+PARTITION_CELLS = 1 << 24
+
+
+def _few_partitions(data: DataFrame, n_rows: int, width: int) -> DataFrame:
+    return data.coalesce(max(1, -(-n_rows * max(1, width) // PARTITION_CELLS)))
+
+
 def _vector(encodings: Sequence[Column]) -> Column:
     """Bins and encodings of a row as one vector."""
     own = F.col("bins").cast("array<double>")
@@ -190,11 +222,11 @@ def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str],
     folded = stratified_folds(df, label, id_col, k, seed)
     numeric = [f for f in features if f not in cats]
     names = numeric + [f"{c}_ENCODED" for c in cats]
-    cuts = fit_cuts(df, numeric, params.max_bins)
+    cuts = fit_cuts(df, numeric, params.max_bins, id_col)
     x, priors = encoding_arrays(folded, cats, label, "fold", k, smoothing)
     data = binned_rows(x.withColumn("label", F.col(label).cast("double")), cuts,
                        [id_col, "label", "fold", *[f"_enc_{i}" for i in range(len(cats))]])
-    data = cut_lineage(data)
+    data = cut_lineage(_few_partitions(data, folded.count(), len(names)))
 
     def one(f: int):
         held = F.col("fold") == f
@@ -356,14 +388,15 @@ def fit_ensemble(train: DataFrame, features: Sequence[str], cats: Sequence[str],
                  parallelism: int = 4) -> Ensemble:
     """Cuts, encodings and members on all labelled rows (M5, M6); ``parallelism`` members at a time."""
     numeric = [f for f in features if f not in cats]
-    cuts = fit_cuts(train, numeric, base.max_bins)
+    cuts = fit_cuts(train, numeric, base.max_bins, id_col)
     tables = [fit_target_encoding(train, c, label, smoothing)[0].select(F.lit(c).alias("feature"), "_cat_key", "enc") for c in cats]
     encoders = None
     for t in tables:
         encoders = t if encoders is None else encoders.unionByName(t)
     prior = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
     out = Ensemble(id_col, cuts, list(cats), cut_lineage(encoders) if cats else None, float(prior or 0.0), [])
-    data = cut_lineage(out.vectors(train.withColumn("label", F.col(label).cast("double")), ["label"]))
+    data = out.vectors(train.withColumn("label", F.col(label).cast("double")), ["label"])
+    data = cut_lineage(_few_partitions(data, train.count(), len(out.features)))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         out.models = list(pool.map(lambda p: booster(p, max(1, rounds), max(2, p.max_bins + 2)).fit(data),
                                    ensemble_params(base, members)))

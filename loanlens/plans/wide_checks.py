@@ -11,10 +11,14 @@ difference of equals (below 1e-9) 0, on both sides.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanlens.sources.io import sanitize_name
+
 _SHIFT, _DIGITS, _FAR, _NEAR = "1.000000001", 5, "1e300", "1e-9"
 
 
@@ -695,8 +699,27 @@ def application_sql(labelled: bool = False) -> str:
     return _query(ctes, out, f"z{joins} CROSS JOIN s", None)
 
 
+def build_sql() -> str:
+    """The full build: the application frame and the five child frames, with sanitised names."""
+    parts = {"a": application_sql(), "b": bureau_sql(), "p": previous_sql(), "s": pos_sql(), "i": installments_sql(),
+             "c": card_sql()}
+    out = ["a.SK_ID_CURR AS SK_ID_CURR"]
+    for alias, sql in parts.items():
+        for name in re.findall(r'"([^"]+)"(?=,\n  |\sFROM wide)', sql[sql.rindex("\nSELECT "):]):
+            if name == "SK_ID_CURR":
+                continue
+            # the build empties the infinities that the previous applications' ratios make
+            value = f'{alias}."{name}"'
+            value = f"CASE WHEN abs({value}) < {_FAR} THEN {value} END" if name.startswith("PREV_RATIO_") else value
+            out.append(f'{value} AS "{sanitize_name(name)}"')
+    joins = "".join(f"\nLEFT JOIN ({sql}) {alias} ON a.SK_ID_CURR = {alias}.SK_ID_CURR"
+                    for alias, sql in parts.items() if alias != "a")
+    return "SELECT " + ",\n".join(out) + f"\nFROM ({parts['a']}) a{joins}"
+
+
 #: Wide queries whose whole output is compared.
-SQL = {"a1_a10_w1_bureau_features": bureau_sql, "a32_a35_bureau_counts_variant": legacy_sql,
+SQL = {"s4_p10_full_feature_build": build_sql,
+       "a1_a10_w1_bureau_features": bureau_sql, "a32_a35_bureau_counts_variant": legacy_sql,
        "a11_a14_e7_previous_features": previous_sql, "a15_a17_w2_pos_features": pos_sql,
        "a18_a23_w3_installment_features": installments_sql, "a24_a25_card_features": card_sql,
        "x1_x11_e2_application_features": application_sql,
