@@ -69,5 +69,6 @@ QUERIES = {f.__name__: f for f in (
     op1_token_files, op2_minhash_dedup, op3_mixing, op4_line_align, op5_pu_quality, op6_packing, op7_lattice_dedup,
     op8_toxicity, op9_language_id, op10_topk_search, op11_hard_negatives, op12_quality_rules,
     op13_lexical_search)}
-ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL, "op11_hard_negatives": hard_negatives.ORACLE_SQL,
+ORACLE: dict[str, str] = {"op3_mixing": mixing.ORACLE_SQL, "op10_topk_search": topk_search.ORACLE_SQL,
+                          "op11_hard_negatives": hard_negatives.ORACLE_SQL,
                           "op13_lexical_search": lexical_search.ORACLE_SQL}

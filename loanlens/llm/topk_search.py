@@ -147,3 +147,19 @@ def top_k_digest(embeddings: DataFrame) -> DataFrame:
     work = Workspace(embeddings.sparkSession, "topk")
     rows = work.write(packed_vectors(embeddings, scale=256.0), "vectors")
     return top_k(rows, "vec_id % 50 = 0", 5)
+
+
+#: The query's rows in DuckDB's SQL: all products of queries with all rows.
+ORACLE_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id,
+       CAST(row_number() OVER (PARTITION BY q.u ORDER BY list_inner_product(q.x, c.x) DESC, c.vec_id) AS INTEGER) AS rank,
+       c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+FROM v q JOIN v c ON q.u <> c.u AND len(q.x) = len(c.x)
+WHERE q.vec_id % 50 = 0
+QUALIFY rank <= 5
+"""
