@@ -907,6 +907,32 @@ def ensemble_q(spark, sf):
     return preds
 
 
+@register("e2_a9_sparse_dummies", """
+WITH x AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS cust,
+         o_orderpriority AS prio, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders),
+ c AS (SELECT cust, row_number() OVER (ORDER BY cust) - 1 AS place FROM (SELECT DISTINCT cust FROM x WHERE cust IS NOT NULL)),
+ p AS (SELECT prio, row_number() OVER (ORDER BY prio) - 1 AS place FROM (SELECT DISTINCT prio FROM x WHERE prio IS NOT NULL)),
+ d AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS place FROM (SELECT DISTINCT day FROM x WHERE day IS NOT NULL)),
+ n AS (SELECT (SELECT count(*) FROM c) AS nc, (SELECT count(*) FROM p) AS np, (SELECT count(*) FROM d) AS nd)
+SELECT o_orderkey, CAST(nc + np + nd AS BIGINT) AS width,
+  CAST((c.place IS NOT NULL)::INT + (p.place IS NOT NULL)::INT + (d.place IS NOT NULL)::INT AS BIGINT) AS n_set,
+  CAST(coalesce(c.place, 0) + coalesce(nc + p.place, 0) + coalesce(nc + np + d.place, 0) AS BIGINT) AS place_sum
+FROM x CROSS JOIN n LEFT JOIN c ON x.cust = c.cust LEFT JOIN p ON x.prio = p.prio LEFT JOIN d ON x.day = d.day
+""")
+def sparse_dummies_q(spark, sf):
+    """Dummies of order customers, priorities and days as sparse vectors; the entries that are set."""
+    from loanlens.operators.sparse import SparseDummies
+    o = _t(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")).alias("cust"),
+        F.col("o_orderpriority").alias("prio"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    fitted = SparseDummies.fit(o, ["cust", "prio", "day"])
+    v = F.unwrap_udt("dummies")
+    return fitted.transform(o).select(
+        "o_orderkey", v["size"].cast("long").alias("width"), F.size(v["indices"]).cast("long").alias("n_set"),
+        F.aggregate(v["indices"], F.lit(0).cast("long"), lambda a, x: a + x).alias("place_sum"))
+
+
 @register("m3_patience_best_rounds", """
 WITH curve AS (
   SELECT CAST(o_custkey % 8 AS INTEGER) AS fold,
