@@ -1,6 +1,6 @@
 """Command-line entry points (the reference's two scripts, and scoring by saved models):
 
-  python -m loanlens.cli features --data-dir DIR --out DIR [--fmt csv|parquet] [--checkpoint]
+  python -m loanlens.cli features --data-dir DIR --out DIR [--fmt csv|parquet] [--checkpoint] [--quarantine DIR]
   python -m loanlens.cli train --features-dir DIR --out DIR [--folds 8] [--seed 42] [--members 7]
   python -m loanlens.cli score --models DIR --features DIR --out DIR
 """
@@ -25,7 +25,7 @@ def run_features(args) -> None:
     from loanlens.sources import read_tables, write_features
     spark = build_session(app_name="loanlens-features")
     t0 = time.time()
-    tables = read_tables(spark, args.data_dir, fmt=args.fmt, limit=args.limit)
+    tables = read_tables(spark, args.data_dir, fmt=args.fmt, limit=args.limit, quarantine=args.quarantine)
     features = build_features(tables, checkpoint=args.checkpoint)
     train, test = split_train_test(features, LABEL)
     paths = write_features(train, test, args.out)
@@ -94,6 +94,7 @@ def main(argv=None) -> None:
     f.add_argument("--out", required=True)
     f.add_argument("--fmt", default="csv", choices=["csv", "parquet"])
     f.add_argument("--checkpoint", action="store_true")
+    f.add_argument("--quarantine", default=None, help="folder for malformed rows and values of CSV files")
     f.add_argument("--limit", type=int, default=None, help="debug: rows per table")
     t = sub.add_parser("train")
     t.add_argument("--features-dir", required=True)

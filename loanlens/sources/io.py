@@ -29,9 +29,15 @@ MISSING_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 
 
 def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = None,
-               with_row_position: bool = False, limit: int | None = None) -> DataFrame:
+               with_row_position: bool = False, limit: int | None = None, quarantine: str | None = None) -> DataFrame:
+    """One table.  With ``quarantine`` what a CSV file holds beside good rows is
+    written below that folder (``read_checked``); without it a row of another
+    length is cut or filled with NULLs and an unparsable value is NULL."""
     fmt = fmt or ("parquet" if path.endswith(".parquet") or os.path.isdir(path) else "csv")
-    if fmt == "csv":
+    if fmt == "csv" and quarantine:
+        df, rejects = read_checked(spark, path, schema, with_row_position)
+        rejects.write.mode("overwrite").parquet(quarantine)
+    elif fmt == "csv":
         # header-driven: columns are matched by NAME (a positional schema would
         # silently mistype files whose column order differs), read as strings
         # (no inference pass) and cast with ANSI-safe try_cast
@@ -50,6 +56,48 @@ def read_table(spark: SparkSession, path: str, schema=None, fmt: str | None = No
     return df
 
 
+#: The raw text of a row whose fields don't fit the header.
+_BAD_ROW = "_bad_row"
+
+
+def read_checked(spark: SparkSession, path: str, schema=None, with_row_position: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files with a header; nothing becomes NULL unseen.
+
+    A row with fewer or more fields than the header, or with broken quotes, is
+    not among the rows.  A value that its column's type can't hold is NULL in its
+    row.  Both are ``rejects``: (file, reason, column, value); ``reason`` is
+    ``row`` (value: the raw text) or ``type``.  Strings that mean "missing" are no
+    rejects.  Both tables come from one scan each of the files.
+    """
+    names = spark.read.option("header", True).csv(path).columns
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _BAD_ROW]])
+    # a header of another file is compared with the first one's: the columns' order must be the same
+    raw = (spark.read.schema(fields).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", _BAD_ROW).csv(path))
+    # Spark refuses plans that read nothing but the raw text of bad rows, so both filters touch the fields
+    read = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in names])) >= 0
+    whole = raw.where(F.col(_BAD_ROW).isNull() & read)
+    rows = (with_position(whole) if with_row_position else whole).drop(_BAD_ROW).replace(MISSING_STRINGS, None)
+    file = F.col("_metadata.file_path").alias("file")
+    bad = raw.where(F.col(_BAD_ROW).isNotNull() & read).select(
+        file, F.lit("row").alias("reason"), F.lit(None).cast("string").alias("column"), F.col(_BAD_ROW).alias("value"))
+    if schema is None:
+        return rows, bad
+    kinds = {f.name: f.dataType for f in cast_by_name(rows.limit(0), schema).schema.fields}
+    typed = [c for c in names if not isinstance(kinds[c], T.StringType)]
+    odd = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(MISSING_STRINGS) & F.col(c).try_cast(kinds[c]).isNull(),
+                  F.struct(F.lit(c).alias("column"), F.col(c).alias("value"))) for c in typed]
+    found = whole.select(file, F.explode(F.filter(F.array(*odd), lambda x: x.isNotNull())).alias("odd")) if typed else None
+    if found is not None:
+        bad = bad.unionByName(found.select("file", F.lit("type").alias("reason"), "odd.column", "odd.value"))
+    return cast_by_name(rows, schema), bad
+
+
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """(reason, column, n) of a quarantine."""
+    return rejects.groupBy("reason", "column").agg(F.count(F.lit(1)).alias("n"))
+
+
 def with_position(df: DataFrame) -> DataFrame:
     """Add ``_row_pos``: file, offset of the split, row, packed into one decimal."""
     scheme = r"^[^:/]+:/+"  # "file:/a" and "file:///a" are one file
@@ -83,14 +131,16 @@ def cast_by_name(df: DataFrame, schema) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, data_dir: str, fmt: str = "csv",
-                with_row_position: bool = True, limit: int | None = None) -> dict[str, DataFrame]:
+                with_row_position: bool = True, limit: int | None = None,
+                quarantine: str | None = None) -> dict[str, DataFrame]:
     """Read the eight domain tables from ``data_dir`` (``{stem}.csv`` or
-    ``{stem}.parquet``); returns name -> DataFrame."""
+    ``{stem}.parquet``); returns name -> DataFrame.  Rejects of CSV files go
+    below ``quarantine``, a folder for each table."""
     out = {}
     for stem, (name, schema) in DOMAIN_TABLES.items():
         path = os.path.join(data_dir, f"{stem}.{fmt}")
         out[name] = read_table(spark, path, schema if fmt == "csv" else None, fmt,
-                               with_row_position, limit)
+                               with_row_position, limit, quarantine and os.path.join(quarantine, stem))
     return out
 
 

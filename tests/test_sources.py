@@ -55,3 +55,33 @@ def test_importances_are_plain_numbers(spark, tmp_path):
     df = spark.createDataFrame([("a", 1234.5), ("b", 2.0)], "feature string, importance double")
     write_importances(df, str(tmp_path / "imp"))
     assert [r.value for r in spark.read.text(str(tmp_path / "imp")).collect()] == ["a: 1234.500000", "b: 2.000000"]
+
+
+def test_malformed_rows_and_values_are_quarantined(spark, tmp_path):
+    from loanlens.sources.io import read_checked, reject_counts
+    folder = tmp_path / "bad"
+    folder.mkdir()
+    (folder / "a.csv").write_text("SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n1,-1,C\n2,-2\n3,oops,X\n4,-4,C,extra\n5,NA,0\n6,,\n")
+    (folder / "b.csv").write_text('SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n7,-7,"a, b"\nx,1.5,C\n')
+    rows, rejects = read_checked(spark, str(folder), BUREAU_BALANCE, with_row_position=True)
+    got = [(r.SK_ID_BUREAU, r.MONTHS_BALANCE, r.STATUS) for r in rows.orderBy("_row_pos").collect()]
+    assert got == [(1, -1, "C"), (3, None, "X"), (5, None, "0"), (6, None, None), (7, -7, "a, b"), (None, None, "C")]
+    found = {(r.file.rsplit("/", 1)[1], r.reason, r.column, r.value) for r in rejects.collect()}
+    assert found == {("a.csv", "row", None, "2,-2"), ("a.csv", "row", None, "4,-4,C,extra"), ("a.csv", "type", "MONTHS_BALANCE", "oops"),
+                     ("b.csv", "type", "SK_ID_BUREAU", "x"), ("b.csv", "type", "MONTHS_BALANCE", "1.5")}
+    # good rows and row rejects are all rows of the files
+    assert rows.count() + rejects.where("reason = 'row'").count() == 8
+    table = read_table(spark, str(folder), BUREAU_BALANCE, fmt="csv", quarantine=str(tmp_path / "q"))
+    assert table.count() == 6
+    counts = {(r.reason, r["column"]): r.n for r in reject_counts(spark.read.parquet(str(tmp_path / "q"))).collect()}
+    assert counts == {("row", None): 2, ("type", "MONTHS_BALANCE"): 2, ("type", "SK_ID_BUREAU"): 1}
+    # without it: as before
+    assert read_table(spark, str(folder), BUREAU_BALANCE, fmt="csv").count() == 8
+
+
+def test_quarantine_of_clean_and_empty_files(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n")
+    (tmp_path / "c.csv").write_text("SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n1,-1,C\n")
+    for name, n in (("e", 0), ("c", 1)):
+        assert read_table(spark, str(tmp_path / f"{name}.csv"), BUREAU_BALANCE, quarantine=str(tmp_path / f"q{name}")).count() == n
+        assert spark.read.parquet(str(tmp_path / f"q{name}")).count() == 0
