@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,3 +138,41 @@ def similar_rows(df: DataFrame, bands: Mapping[str, tuple[float, float]], order_
         cond = cond & (F.abs(F.col(c) - F.lit(center)) <= F.lit(width))
     center = bands[order_by][0]
     return df.where(cond).orderBy(F.abs(F.col(order_by) - F.lit(center)), F.col(id_col)).limit(k)
+
+
+def similar_for_probes(df: DataFrame, probes: DataFrame, tolerances: dict[str, float], order_by: str, id_col: str,
+                       k: int = 5) -> DataFrame:
+    """(probe_id, rank, id): for each probe its ``k`` nearest other rows by
+    |difference| of ``order_by``, among rows that lie within the tolerance of
+    the probe in every column; ties by id.
+
+    A band join over a grid: each column is cut into cells as wide as its
+    tolerance (a tolerance of 0 means equality), a row is in one cell, a probe
+    asks its own and the two beside it, so the join is by equality and only rows
+    of neighbouring cells meet.  Ranks are cut to ``k`` before the shuffle of the
+    window.  NULL, NaN and infinite values match nothing; a probe needs not be a
+    row of ``df``; repeated probes get their rows each.
+    """
+    def finite(c):
+        return F.abs(c.cast("double")) < F.lit(1e300)
+
+    def cell(c, width):
+        return F.floor(c / F.lit(width)) if width else c
+
+    rows = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(tolerances)])
+    asked = probes.select(F.col(id_col).alias("probe_id"), F.monotonically_increasing_id().alias("_probe"),
+                          *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(tolerances)])
+    widths = [float(w) for w in tolerances.values()]
+    close = F.lit(True)
+    for i, width in enumerate(widths):
+        # cells are doubles, so that far values don't overflow
+        rows = rows.where(finite(F.col(f"_x{i}"))).withColumn(f"_c{i}", cell(F.col(f"_x{i}"), width).cast("double"))
+        own = cell(F.col(f"_p{i}"), width).cast("double")
+        near = F.array_distinct(F.array(own - 1.0, own, own + 1.0)) if width else F.array(own)
+        asked = asked.where(finite(F.col(f"_p{i}"))).withColumn(f"_c{i}", F.explode(near))
+        close = close & (F.abs(F.col(f"_x{i}") - F.col(f"_p{i}")) <= F.lit(width))
+    at = list(tolerances).index(order_by)
+    met = rows.join(asked, [f"_c{i}" for i in range(len(widths))]).where(close & (F.col("_id") != F.col("probe_id")))
+    order = Window.partitionBy("_probe").orderBy(F.abs(F.col(f"_x{at}") - F.col(f"_p{at}")), "_id")
+    return (met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("probe_id", "rank", F.col("_id").alias(id_col)))

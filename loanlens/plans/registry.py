@@ -818,6 +818,22 @@ def similar_q(spark, sf):
     return out.select("c_custkey", R("c_acctbal").alias("c_acctbal"))
 
 
+@register("d10_similar_for_probes", """
+SELECT p.c_custkey AS probe_id,
+  CAST(row_number() OVER (PARTITION BY p.c_custkey ORDER BY abs(c.c_acctbal - p.c_acctbal), c.c_custkey) AS INTEGER) AS rank,
+  c.c_custkey
+FROM customer p JOIN customer c ON c.c_custkey <> p.c_custkey
+ AND abs(c.c_acctbal - p.c_acctbal) <= 500 AND abs(c.c_nationkey - p.c_nationkey) <= 5
+WHERE p.c_custkey % 100 = 0
+QUALIFY rank <= 5
+""")
+def similar_probes_q(spark, sf):
+    """Every hundredth customer is a probe, all customers are candidates."""
+    from loanlens.plans.profile import similar_for_probes
+    c = _t(spark, sf, "customer")
+    return similar_for_probes(c, c.where("c_custkey % 100 = 0"), {"c_acctbal": 500.0, "c_nationkey": 5.0}, "c_acctbal", "c_custkey")
+
+
 # ---------------------------------------------------------------------------
 # Domain plans over the crosswalked driver tables.  The child plans return
 # every column, compared with the SQL of ``wide_checks``.
