@@ -909,14 +909,18 @@ def build_q(spark, sf):
 
 @register("m2_m8_ensemble_scores")
 def ensemble_q(spark, sf):
-    """Cross-validate and train on the labelled rows of the feature table, score
-    the others (rows-only: tree ensembles are not SQL-expressible)."""
+    """Cross-validate and train on the labelled applicants, score the others
+    (rows-only: tree ensembles are not SQL-expressible).  Numbers and ratios of
+    the application are binned, its 14 text columns target-encoded."""
     from loanlens.cli import ID, LABEL, category_features
-    from loanlens.plans.features import build_features, split_train_test
+    from loanlens.plans.application import base_features, ratio_exprs
+    from loanlens.plans.features import split_train_test
     from loanlens.plans.training import BoostParams, cross_validate, final_round_count, train_and_score
-    train, test = split_train_test(cut_lineage(build_features(_domain(spark, sf))), LABEL)
+    x = base_features(_domain(spark, sf)["application"])
+    train, test = split_train_test(cut_lineage(x.select("*", *ratio_exprs(x))), LABEL)
     features, cats = [c for c in train.columns if c not in (ID, LABEL)], category_features(train)
-    base = BoostParams()
+    # the labels of the test tables can be told exactly, so the loss falls for ever; gains below 0.02 don't count
+    base = BoostParams(step_size=0.3, max_depth=3, max_bins=32, patience=5, least_gain=0.02)
     _scores, best, _imp = cross_validate(train, features, cats, LABEL, ID, params=base, parallelism=8)
     preds, _imp, _ensemble = train_and_score(train, test, features, cats, LABEL, ID, rounds=final_round_count(best),
                                              members=7, base=base, parallelism=7)

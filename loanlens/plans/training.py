@@ -46,6 +46,7 @@ class BoostParams:
     min_instances: int = 100
     max_iter: int = 10_000  # patience ends the fit
     patience: int = 50
+    least_gain: float = 0.0  # a round's loss must fall by more than this to count as a gain
     seed: int = 42
 
 
@@ -129,14 +130,15 @@ def booster(params: BoostParams, rounds: int, bins: int) -> GBTClassifier:
                          maxBins=bins, minInstancesPerNode=params.min_instances, maxIter=rounds, seed=params.seed)
 
 
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+def best_round(losses: Sequence[float], patience: int, least_gain: float = 0.0) -> tuple[int, bool]:
     """(rounds up to the best loss, whether ``patience`` rounds without gain have passed).
 
-    Rounds after those don't count; of equal losses the first is the best.
+    Rounds after those don't count; of equal losses the first is the best, and a
+    loss within ``least_gain`` of the best so far is no better.
     """
     best = 0
     for k, loss in enumerate(losses):
-        if loss < losses[best]:
+        if loss < losses[best] - least_gain:
             best = k
         elif k - best >= patience:
             return best + 1, True
@@ -150,11 +152,11 @@ def fit_with_patience(train: DataFrame, held_out: DataFrame, params: BoostParams
     stage repeats the rounds of the one before it, since they have the same seed.
     """
     bins = max(2, params.max_bins + 2)
-    rounds = min(params.max_iter, params.patience + max(1, params.patience // 4))
+    rounds = min(params.max_iter, 2 * params.patience)
     while True:
         model = booster(params, rounds, bins).fit(train)
         losses = [float(x) for x in model.evaluateEachIteration(held_out)]
-        best, over = best_round(losses, params.patience)
+        best, over = best_round(losses, params.patience, params.least_gain)
         if over or rounds >= params.max_iter:
             break
         rounds = min(params.max_iter, 2 * rounds)

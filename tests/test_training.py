@@ -76,6 +76,7 @@ def test_encodings_of_all_folds_in_one_join(spark):
     ([1, 1, 1, 1], 3, (1, True)), ([3, 2, 1], 2, (3, False)), ([2.0], 5, (1, False))])
 def test_best_round_waits(spark, losses, patience, want):
     assert best_round(losses, patience) == want
+    assert best_round([5, 4.9, 4.8, 4.7], 3, least_gain=0.5) == (1, True)
     assert best_rounds(loss_curve([losses, losses[::-1]], spark), patience).where("fold = 0").first()["best"] == want[0]
 
 
@@ -156,23 +157,22 @@ def test_folds_keep_repeated_ids(spark):
     assert stratified_folds(df, "y", "id", 5, 1).count() == 100
 
 
-def test_ensemble_query_trains_on_the_feature_table(spark, monkeypatch):
-    from loanlens.plans import features, registry, training
+def test_ensemble_query_takes_its_rounds_from_cross_validation(spark, monkeypatch):
+    from loanlens.plans import registry, training
     seen = {}
-    frame = spark.createDataFrame([(k, k % 2 if k < 4 else None, 0.5, "x") for k in range(6)],
-                                  "SK_ID_CURR long, TARGET int, f double, s string")
+    frame = spark.createDataFrame([(k, k % 2 if k < 4 else None, 100.0, 50.0, "x") for k in range(6)],
+                                  "SK_ID_CURR long, TARGET int, AMT_CREDIT double, AMT_GOODS_PRICE double, CODE_GENDER string")
 
     def cross_validate(train, *args, params, **kwargs):
         seen["train"], seen["most"], seen["patience"] = train.count(), params.max_iter, params.patience
         return [], [20, 41], None
 
     def train_and_score(train, test, names, cats, *args, rounds, members, **kwargs):
-        seen["rounds"], seen["members"], seen["names"], seen["cats"] = rounds, members, names, cats
+        seen["rounds"], seen["members"], seen["ratio"], seen["cats"] = rounds, members, "RATIO_AMT_CREDIT_TO_AMT_GOODS_PRICE" in names, cats
         return test, None, None
 
-    monkeypatch.setattr(features, "build_features", lambda tables: frame)
-    monkeypatch.setattr(registry, "_domain", lambda spark, sf: {})
+    monkeypatch.setattr(registry, "_domain", lambda spark, sf: {"application": frame})
     monkeypatch.setattr(training, "cross_validate", cross_validate)
     monkeypatch.setattr(training, "train_and_score", train_and_score)
     assert registry.QUERIES["m2_m8_ensemble_scores"](spark, "").count() == 2
-    assert seen == {"train": 4, "most": 10_000, "patience": 50, "rounds": 32, "members": 7, "names": ["f", "s"], "cats": ["s"]}
+    assert seen == {"train": 4, "most": 10_000, "patience": 5, "rounds": 32, "members": 7, "ratio": True, "cats": ["CODE_GENDER"]}
