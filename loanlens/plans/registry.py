@@ -893,11 +893,12 @@ def application_q(spark, sf):
 
 @register("j3_a26_e2_fitted_application_state")
 def fitted_application_q(spark, sf):
-    """The state of the labelled rows, saved and loaded, applied to all rows."""
-    from loanlens.plans.application import ApplicationState, application_features
+    """The state of the labelled rows, saved and loaded, applied to all rows;
+    the value lists are those of all rows, so the columns don't hang on the labels."""
+    from loanlens.plans.application import ApplicationState, application_features, fit_application
     app = _domain(spark, sf)["application"]
     path = f"{checkpoint_dir(spark).rstrip('/')}/application-state-{uuid.uuid4().hex}"
-    ApplicationState.fit(app.where("TARGET IS NOT NULL")).save(path)
+    ApplicationState.fit(app.where("TARGET IS NOT NULL"), fit_application(app)).save(path)
     return application_features(app, fitted=ApplicationState.load(spark, path))
 
 

@@ -578,9 +578,6 @@ CATEGORIES = {
     "AMT_REQ_CREDIT_BUREAU_QRT": _numbers(5), "AMT_REQ_CREDIT_BUREAU_YEAR": _numbers(6), "CNT_CHILDREN": [0, 1, 2, 3],
     "CNT_FAM_MEMBERS": _numbers(5, 1), "OWN_CAR_AGE": _numbers(20),
 }
-# values that no labelled row has
-_UNLABELLED = {"NAME_INCOME_TYPE": ["income_3"], "CNT_CHILDREN": [3], "CNT_FAM_MEMBERS": [5.0],
-               "AMT_REQ_CREDIT_BUREAU_MON": [3.0], "OWN_CAR_AGE": [3.0, 7.0, 11.0, 15.0, 19.0]}
 _KEPT = ["CNT_CHILDREN", "CNT_FAM_MEMBERS", "OWN_CAR_AGE", "OBS_30_CNT_SOCIAL_CIRCLE", "DEF_30_CNT_SOCIAL_CIRCLE",
          "OBS_60_CNT_SOCIAL_CIRCLE", "DEF_60_CNT_SOCIAL_CIRCLE"] + [c for c in _APPLICATION if c.startswith("AMT_REQ_")]
 _GROUPS = [
@@ -656,7 +653,7 @@ def _application_row() -> list[tuple[str, str]]:
 
 
 def application_sql(labelled: bool = False) -> str:
-    """The application features; with ``labelled`` groups, moments, medians and values are those of labelled rows."""
+    """The application features; with ``labelled`` groups, moments and medians are those of labelled rows."""
     fit_rows = "TARGET IS NOT NULL" if labelled else "true"
     groups, joins, grouped = {}, "", []
     for k, (keys, spec) in enumerate(_GROUPS):
@@ -694,8 +691,7 @@ def application_sql(labelled: bool = False) -> str:
     out += [(f"POLY_{a}^2" if a == b else f"POLY_{a} {b}", f"{filled[a]} * {filled[b]}")
             for k, a in enumerate(poly) for b in poly[k:]]
     for c, values in CATEGORIES.items():
-        out += [(f"{c}_CAT_{v}", f"CASE WHEN z.{c} = {repr(v)} THEN 1 ELSE 0 END") for v in values
-                if not (labelled and v in _UNLABELLED.get(c, ()))]
+        out += [(f"{c}_CAT_{v}", f"CASE WHEN z.{c} = {repr(v)} THEN 1 ELSE 0 END") for v in values]
     return _query(ctes, out, f"z{joins} CROSS JOIN s", None)
 
 
