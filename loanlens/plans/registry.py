@@ -719,6 +719,15 @@ def correlation_q(spark, sf):
     from loanlens.plans.profile import correlations
     return correlations(_t(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
 
+@register("d6_correlation_matrix", wide_checks.correlation_sql())
+def correlation_matrix_q(spark, sf):
+    """All pairs of the application frame's numbers, of six significant digits on both sides."""
+    from loanlens.operators.gram import correlation_matrix
+    from loanlens.plans.application import application_features
+    # two passes read the frame: it is built once
+    frame = wide_checks.canonical(cut_lineage(application_features(_domain(spark, sf)["application"])))
+    return correlation_matrix(frame, sorted(c for c in frame.columns if c != "SK_ID_CURR"), digits=4)
+
 
 @register("d7_confusion_metrics", f"""
 WITH d AS (SELECT quality AS y, CAST(n_chars > 2000 AS INTEGER) AS p FROM ({_DOCS_SQL}) WHERE quality IS NOT NULL),

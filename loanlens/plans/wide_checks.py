@@ -713,6 +713,20 @@ def build_sql() -> str:
     return "SELECT " + ",\n".join(out) + f"\nFROM ({parts['a']}) a{joins}"
 
 
+def correlation_sql() -> str:
+    """Correlations of all pairs of columns of the application features."""
+    return f"""
+WITH f AS ({application_sql()}),
+place AS (SELECT column_name AS c, row_number() OVER (ORDER BY column_name) AS p FROM (DESCRIBE f) WHERE column_name <> 'SK_ID_CURR'),
+long AS (SELECT k, p, c, v FROM (
+    SELECT SK_ID_CURR AS k, c, v FROM (SELECT * FROM f) UNPIVOT (v FOR c IN (* EXCLUDE (SK_ID_CURR)))) JOIN place USING (c)),
+held AS (SELECT a.p AS pa, b.p AS pb, count(*) AS n, min(a.v) < max(a.v) AND min(b.v) < max(b.v) AS varies, corr(a.v, b.v) AS r
+         FROM long a JOIN long b ON a.k = b.k AND a.p < b.p GROUP BY a.p, b.p)
+SELECT x.c AS FEATURE_A, y.c AS FEATURE_B, CAST(coalesce(n, 0) AS BIGINT) AS N, CASE WHEN varies THEN round(r, 4) + 0.0 END AS CORR
+FROM place x JOIN place y ON x.p < y.p LEFT JOIN held ON pa = x.p AND pb = y.p
+"""
+
+
 #: Wide queries whose whole output is compared.
 SQL = {"s4_p10_full_feature_build": build_sql,
        "a1_a10_w1_bureau_features": bureau_sql, "a32_a35_bureau_counts_variant": legacy_sql,
