@@ -9,9 +9,12 @@ which is the lower bound of the distance seen from the product
 (|q-x|^2 = |q|^2 + |x|^2 - 2 q.x).  Bounds are taken coarse to fine against
 the k-th best score so far, and survivors get their exact integer product.
 
-Queries and candidates are dealt into blocks and every pair of blocks is one
-group; a block pair returns k rows for each of its queries, and these are
-merged.  Vectors of different lengths are compared with their own kind only.
+Queries are dealt into blocks that fit a task's memory, candidates into strips.
+A task holds one query block and reads its strip in batches, so the k-th best
+scores of all earlier batches cut the later ones; it returns k rows a query,
+and these are merged.  Every candidate is copied once for each query block
+(``BLOCK_BYTES`` of queries), every query once for each strip.  Vectors of
+different lengths are compared with their own kind only.
 
 Defined results: vectors that are null or hold null or non-finite components
 take no part; a query's own row is left out, other rows with its id are not;
@@ -32,8 +35,9 @@ from pyspark.sql import functions as F
 from loanlens.llm.storage import Workspace
 from loanlens.llm.vectors import matrix, packed_vectors
 
-#: Rows of a block of queries and of a block of candidates.
-QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 16384
+#: Bytes of a block of queries, most rows of a strip of candidates, and least
+#: rows of one (small tables are cut for the cores at hand).
+BLOCK_BYTES, STRIP_ROWS, LEAST_STRIP = 16 << 20, 1 << 18, 1 << 12
 _TILE = 1024
 _LONG = (1 << 63) - 1
 
@@ -58,21 +62,36 @@ def _big_products(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) ->
     return np.array([max(-_LONG - 1, min(_LONG, v)) for v in out], np.int64)
 
 
-def block_top_k(q: np.ndarray, q_uid: np.ndarray, x: np.ndarray, x_uid: np.ndarray, x_id: np.ndarray,
-                k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query row, candidate row, score) of each query's k best candidates."""
-    best = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    least = np.full(len(q), -np.inf)
+def _k_best(row: np.ndarray, ident: np.ndarray, uid: np.ndarray, score: np.ndarray, k: int,
+            least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the k best of each row, and the k-th best scores, ``least`` where fewer."""
+    order = np.lexsort((uid, ident, -score, row))
+    row = row[order]
+    first = np.searchsorted(row, np.arange(len(least)))
+    rank = np.arange(len(row)) - first[row]
+    bars = least.copy()
+    full = rank == k - 1
+    bars[row[full]] = np.maximum(bars[row[full]], score[order][full])
+    return order[rank < k], bars
+
+
+def block_top_k(q: np.ndarray, q_uid: np.ndarray, q_levels: list[np.ndarray], x: np.ndarray, x_uid: np.ndarray,
+                x_id: np.ndarray, k: int, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, candidate row, score) of each query's k best candidates, but
+    for those below ``least``."""
     norm = float(np.sqrt((q ** 2).sum(1)).max(initial=0) * np.sqrt((x ** 2).sum(1)).max(initial=0))
     small = norm < 2 ** 52
-    q_levels, x_levels = segment_levels(q), segment_levels(x)
+    x_levels = segment_levels(x)
     slack = 1e-9 * norm + 1e-6
-    for a in range(0, len(x), _TILE):
-        for b in range(0, len(q), _TILE // 4):
-            rows, cols = slice(b, b + _TILE // 4), slice(a, a + _TILE)
+    found = [(np.zeros(0, np.int64),) * 3]
+    for b in range(0, len(q), _TILE // 4):
+        rows = slice(b, b + _TILE // 4)
+        own, own_least = [np.zeros(0, np.int64)] * 3, least[rows]
+        for a in range(0, len(x), _TILE):
+            cols = slice(a, a + _TILE)
             alive = q_uid[rows, None] != x_uid[None, cols]
             for ql, xl in zip(q_levels, x_levels):
-                bar = least[rows] - slack
+                bar = own_least - slack
                 if alive.mean() > 0.1:
                     alive &= ql[rows] @ xl[cols].T >= bar[:, None]
                 else:
@@ -86,23 +105,70 @@ def block_top_k(q: np.ndarray, q_uid: np.ndarray, x: np.ndarray, x_uid: np.ndarr
                 score = (q[rows] @ x[cols].T)[i, j].astype(np.int64)
             else:
                 score = np.einsum("ij,ij->i", q[rows][i], x[cols][j]).astype(np.int64)
-            keep = score >= least[b + i]
-            fresh = [b + i[keep], a + j[keep], score[keep]]
-            best = [np.concatenate(c) for c in zip(best, fresh)]
-            best, least = _k_best(*best, x_id, x_uid, k, len(q))
-    return tuple(best)
-
-
-def _k_best(row, col, score, x_id, x_uid, k, n):
-    order = np.lexsort((x_uid[col], x_id[col], -score, row))
-    row, col, score = row[order], col[order], score[order]
-    first = np.searchsorted(row, np.arange(n))
-    rank = np.arange(len(row)) - first[row]
-    keep = rank < k
-    least = np.full(n, -np.inf)
-    full = rank == k - 1
-    least[row[full]] = score[full]
-    return [row[keep], col[keep], score[keep]], least
+            keep = score >= own_least[i]
+            if keep.any():
+                # the k-th best scores rise with every tile of candidates
+                own = [np.concatenate(c) for c in zip(own, [i[keep], a + j[keep], score[keep]])]
+                kept, own_least = _k_best(own[0], x_id[own[1]], x_uid[own[1]], own[2], k, own_least)
+                own = [c[kept] for c in own]
+        found.append((b + own[0], own[1], own[2]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+_FOUND = pa.schema([(c, pa.int64()) for c in ("query_uid", "query_id", "vec_id", "uid", "score")])
+
+
+def _strip_runs(k: int):
+    """Tasks over rows sorted by (dim, query_block, strip, side): side 0 holds
+    the block's queries, side 1 the strip's candidates."""
+
+    def answers(held):
+        row, x_id, known, x_uid, score = held["best"]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(held["uid"][row], pa.int64()), held["id"].take(pa.array(row)), pa.array(x_id, pa.int64(), mask=~known),
+             pa.array(x_uid, pa.int64()), pa.array(score, pa.int64())], schema=_FOUND)
+
+    def fresh(key):
+        none = np.zeros(0, np.int64)
+        return {"key": key, "queries": [], "q": None, "best": [none, none, none.astype(bool), none, none]}
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy() for c in range(4)]
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+            for a, b in zip(cuts, cuts[1:]):
+                part = pa.Table.from_batches([batch.slice(a, b - a)])
+                *key, side = (int(c[a]) for c in columns)
+                if held is None or held["key"] != key:
+                    if held is not None and held["q"] is not None:
+                        yield answers(held)
+                    held = fresh(key)
+                if not side:
+                    held["queries"].append(part)
+                    continue
+                if not held["queries"]:
+                    continue
+                if held["q"] is None:
+                    queries = pa.concat_tables(held["queries"])
+                    q = matrix(queries["data"], key[0])
+                    held |= {"q": q, "levels": segment_levels(q), "uid": queries["uid"].to_numpy(),
+                             "id": queries["vec_id"].combine_chunks(), "least": np.full(len(q), -np.inf)}
+                # rows without an id come last among equals
+                x_uid, x_id = part["uid"].to_numpy(), part["vec_id"].fill_null(_LONG).to_numpy()
+                known = part["vec_id"].is_valid().to_numpy()
+                i, j, score = block_top_k(held["q"], held["uid"], held["levels"], matrix(part["data"], key[0]), x_uid, x_id, k,
+                                          held["least"])
+                more = [i, x_id[j], known[j], x_uid[j], score]
+                best = [np.concatenate(c) for c in zip(held["best"], more)]
+                kept, held["least"] = _k_best(best[0], best[1], best[3], best[4], k, held["least"])
+                held["best"] = [c[kept] for c in best]
+        if held is not None and held["q"] is not None:
+            yield answers(held)
+
+    return run
 
 
 def top_k(rows: DataFrame, is_query: str, k: int = 5) -> DataFrame:
@@ -112,31 +178,22 @@ def top_k(rows: DataFrame, is_query: str, k: int = 5) -> DataFrame:
     """
     good = rows.where("data IS NOT NULL")
     queries = good.where(is_query)
-    n_query, n_candidate = queries.count(), good.count()
-    query_blocks = max(1, math.ceil(n_query / QUERY_BLOCK))
-    candidate_blocks = max(1, math.ceil(n_candidate / CANDIDATE_BLOCK))
+    n_candidate, n_query, dim = good.agg(F.count(F.lit(1)), F.count_if(F.expr(is_query)), F.max("dim")).first()
+    query_blocks = max(1, math.ceil(n_query * 8 * max(1, dim or 1) / BLOCK_BYTES))
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    strips = max(1, math.ceil(n_candidate / STRIP_ROWS), min(math.ceil(2 * cores / query_blocks), n_candidate // LEAST_STRIP))
 
-    def dealt(df, own, n_own, other, n_other):
+    def dealt(df, side, own, n_own, other, n_other):
         return (df.withColumn(own, F.pmod(F.xxhash64("uid"), F.lit(n_own)).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))))
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        empty = {"query_uid": [], "query_id": [], "vec_id": [], "uid": [], "score": []}
-        if len(left) and len(right):
-            dim = left["dim"][0].as_py()
-            q, x = matrix(left["data"], dim), matrix(right["data"], dim)
-            # rows without an id come last among equals
-            x_id = right["vec_id"].fill_null(_LONG).to_numpy()
-            uid, x_uid = left["uid"].to_numpy(), right["uid"].to_numpy()
-            i, j, score = block_top_k(q, uid, x, x_uid, x_id, k)
-            empty = {"query_uid": uid[i], "query_id": left["vec_id"].take(pa.array(i)),
-                     "vec_id": right["vec_id"].take(pa.array(j)), "uid": x_uid[j], "score": score}
-        return pa.table(empty, schema=pa.schema([(c, pa.int64()) for c in empty]))
-
-    keys = ["dim", "query_block", "candidate_block"]
-    found = (dealt(queries, "query_block", query_blocks, "candidate_block", candidate_blocks).groupBy(*keys)
-             .cogroup(dealt(good, "candidate_block", candidate_blocks, "query_block", query_blocks).groupBy(*keys))
-             .applyInArrow(run, "query_uid long, query_id long, vec_id long, uid long, score long"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+                .select("dim", "query_block", "strip", F.lit(side).alias("side"), "uid", "vec_id", "data"))
+
+    keys = ["dim", "query_block", "strip"]
+    tasks = max(query_blocks * strips, 1)
+    found = (dealt(queries, 0, "query_block", query_blocks, "strip", strips)
+             .unionByName(dealt(good, 1, "strip", strips, "query_block", query_blocks))
+             .repartition(tasks, *keys).sortWithinPartitions(*keys, "side")
+             .mapInArrow(_strip_runs(k), "query_uid long, query_id long, vec_id long, uid long, score long"))
     order = Window.partitionBy("query_uid").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "uid")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

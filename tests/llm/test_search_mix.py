@@ -25,10 +25,10 @@ def brute_top(rows, k=5):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("blocks", [(1024, 16384), (3, 64)])
-def test_top_k_matches_brute_force(spark, monkeypatch, blocks):
-    monkeypatch.setattr(topk_search, "QUERY_BLOCK", blocks[0])
-    monkeypatch.setattr(topk_search, "CANDIDATE_BLOCK", blocks[1])
+@pytest.mark.parametrize("sizes", [(16 << 20, 1 << 18, 1 << 12), (600, 64, 16), (1, 1 << 18, 50)])
+def test_top_k_matches_brute_force(spark, monkeypatch, sizes):
+    for name, size in zip(("BLOCK_BYTES", "STRIP_ROWS", "LEAST_STRIP"), sizes):
+        monkeypatch.setattr(topk_search, name, size)
     rows = vector_rows(2)
     rows += [(50, rows[0][1]), (100, [1e12] * 24), (150, [1.0]), (200, [])]
     got = topk_search.top_k_digest(make_vectors(spark, rows)).collect()
