@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlens.llm.components import connected_components
 from loanlens.llm.storage import Workspace
@@ -108,24 +109,40 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x ** 2).sum(axis=1, keepdims=True))
 
 
-def _visits(classes: DataFrame) -> DataFrame:
-    """(cell, node, home): the cells a class is at home in or probes."""
+def _keyed(classes: DataFrame) -> DataFrame:
+    """``classes`` with ``keys``: the home cell and the probed cells of each
+    table as 64-bit integers.  Vectors are decoded here and nowhere else."""
 
     def run(batches):
         for batch in batches:
-            dims = batch.column(1).to_numpy()
+            dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                home, probes = cells(_unit(matrix(part.column(2), dim)))
-                key = np.concatenate([home[:, :, None], probes], axis=2)
-                node = np.repeat(part.column(0).to_numpy(), TABLES * (1 + PROBES))
-                at_home = np.zeros(key.shape, bool)
-                at_home[:, :, 0] = True
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(key.reshape(-1))), pa.array(node), pa.array(at_home.reshape(-1))],
-                    ["cell", "node", "home"])
+                home, probes = cells(_unit(matrix(part.column("data"), dim)))
+                key = np.concatenate([home[:, :, None], probes], axis=2).reshape(len(part), -1)
+                yield part.append_column("keys", pa.array([k.tobytes() for k in key], pa.binary()))
+
+    return classes.mapInArrow(run, T.StructType([*classes.schema.fields, T.StructField("keys", T.BinaryType())]))
+
+
+def _cells_of(keys: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """n x TABLES x (home, probes...)."""
+    return np.frombuffer(b"".join(keys.to_pylist()), np.uint64).reshape(len(keys), TABLES, 1 + PROBES)
+
+
+def _visits(classes: DataFrame) -> DataFrame:
+    """(cell, node, home): the cells a class is at home in or probes."""
+
+    def run(batches):
+        for batch in batches:
+            key = _cells_of(batch.column(1))
+            at_home = np.zeros(key.shape, bool)
+            at_home[:, :, 0] = True
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(key.reshape(-1))), pa.array(np.repeat(batch.column(0).to_numpy(), TABLES * (1 + PROBES))),
+                 pa.array(at_home.reshape(-1))], ["cell", "node", "home"])
 
-    return classes.select("node", "dim", "data").mapInArrow(run, "cell long, node long, home boolean")
+    return classes.select("node", "keys").mapInArrow(run, "cell long, node long, home boolean")
 
 
 def _first_meeting(ha, pa_, hb, pb):
@@ -164,8 +181,10 @@ def _block_links(rows: pa.Table, least: float) -> list[np.ndarray] | None:
             continue
         swap = node[own[i]] > node[own[j]]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
-        h, p = cells(unit)
-        first = _first_meeting(h[i], p[i], h[j], p[j])
+        some, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+        keys = _cells_of(rows["keys"].take(pa.array(own[some])))
+        x, y = keys[place[:len(i)]], keys[place[len(i):]]
+        first = _first_meeting(x[:, :, 0], x[:, :, 1:], y[:, :, 0], y[:, :, 1:])
         here = first == np.uint64(rows["cell"][0].as_py() & 0xFFFFFFFFFFFFFFFF)
         links = np.zeros(len(own), np.int64)
         np.add.at(links, i[here], copies[own[j[here]]])
@@ -177,7 +196,6 @@ def _block_links(rows: pa.Table, least: float) -> list[np.ndarray] | None:
             np.minimum.at(group, j, before[i])
             if (group == before).all():
                 break
-        some = np.unique(np.concatenate([i, j]))
         out.append([node[own[some]], links[some], group[some]])
     return [np.concatenate(c) for c in zip(*out)] if out else None
 
@@ -198,9 +216,9 @@ def _compare(visits: DataFrame, classes: DataFrame, least: float) -> DataFrame:
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .select("cell", "node", "home", F.least("own", "other").alias("block_a"),
                      F.greatest("own", "other").alias("block_b"), (F.col("own") <= F.col("other")).alias("side")))
-    rows = dealt.join(classes.select("node", "dim", "data", "copies"), "node")
+    rows = dealt.join(classes.select("node", "dim", "data", "copies", "keys"), "node")
     return (rows.select("cell", "block_a", "block_b", "node", "home", F.col("side").cast("int").alias("side"),
-                        "dim", "data", "copies")
+                        "dim", "data", "copies", "keys")
             .repartition("cell", "block_a", "block_b").sortWithinPartitions("cell", "block_a", "block_b", "node")
             .mapInArrow(run, "node long, links long, grp long"))
 
@@ -210,8 +228,8 @@ def near_duplicate_vectors(embeddings: DataFrame, least: float = COSINE) -> Data
     work = Workspace(embeddings.sparkSession, "lattice")
     rows = work.write(_marked(packed_vectors(embeddings)), "vectors")
     good = rows.where("usable")
-    classes = work.write(good.groupBy("data").agg(F.min("uid").alias("node"), F.min("vec_id").alias("least_id"),
-                                                  F.count("*").alias("copies"), F.max("dim").alias("dim")), "classes")
+    classes = work.write(_keyed(good.groupBy("data").agg(F.min("uid").alias("node"), F.min("vec_id").alias("least_id"),
+                                                         F.count("*").alias("copies"), F.max("dim").alias("dim"))), "classes")
     visits = work.write(_visits(classes), "visits")
     found = work.write(_compare(visits, classes, least), "found")
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
