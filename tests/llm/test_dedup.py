@@ -372,3 +372,38 @@ def test_lattice_points_are_nearest():
 
 def test_lattice_of_an_empty_table(spark):
     assert lattice_dedup.near_duplicate_vectors(make_vectors(spark, [])).collect() == []
+
+
+def test_lattice_recall_in_a_large_table(spark, tmp_path):
+    """100,000 vectors, 8,000 of them planted near others; links against all cosines."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rng = np.random.default_rng(12)
+    n, planted, d = 100_000, 8_000, 64
+    x = rng.standard_normal((n, d))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    of = rng.integers(0, n - planted, planted)
+    off = rng.standard_normal((planted, d))
+    off -= (off * x[of]).sum(axis=1, keepdims=True) * x[of]
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    cosine = rng.uniform(0.95, 0.995, planted)[:, None]
+    x[n - planted:] = cosine * x[of] + np.sqrt(1 - cosine ** 2) * off
+    # rows far apart on disk
+    order = rng.permutation(n)
+    pq.write_table(pa.table({"vec_id": order, "embedding": pa.array(list(x[order]), pa.list_(pa.float64()))}),
+                   f"{tmp_path}/embeddings.parquet", row_group_size=5000)
+    links = np.zeros(n, np.int64)
+    single = x.astype(np.float32)
+    for a in range(0, n, 2000):
+        i, j = np.nonzero(single[a:a + 2000] @ single.T >= 0.9499)
+        true = (np.einsum("ij,ij->i", x[a + i], x[j]) >= 0.95) & (a + i != j)
+        np.add.at(links, a + i[true], 1)
+    got = lattice_dedup.near_duplicate_vectors(spark.read.parquet(f"{tmp_path}/embeddings.parquet")).collect()
+    assert sorted(r.vec_id for r in got) == list(range(n))
+    found = np.zeros(n, np.int64)
+    for r in got:
+        found[r.vec_id] = r.n_links
+    assert (found <= links).all() and links.sum() >= 2 * planted * 0.99
+    recall = found.sum() / links.sum()
+    print("recall", recall)
+    assert recall >= 0.97
