@@ -7,14 +7,16 @@ aggregates; none collects rows to the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens.functions.cleaning import NUMERIC_TYPES, flag
 from loanlens.operators.ordered import cumulative_by_score
+from loanlens.session import cut_lineage
 
 # Risk bands (upper bounds, label, decision).
 RISK_BANDS = [(0.3, "Low", "Approve"), (0.7, "Medium", "Review"), (None, "High", "Deny")]
@@ -149,30 +151,95 @@ def similar_for_probes(df: DataFrame, probes: DataFrame, tolerances: dict[str, f
     A band join over a grid: each column is cut into cells as wide as its
     tolerance (a tolerance of 0 means equality), a row is in one cell, a probe
     asks its own and the two beside it, so the join is by equality and only rows
-    of neighbouring cells meet.  Ranks are cut to ``k`` before the shuffle of the
-    window.  NULL, NaN and infinite values match nothing; a probe needs not be a
-    row of ``df``; repeated probes get their rows each.
+    of neighbouring cells meet.  A probe that would meet more than ``MOST_MET``
+    rows asks cells of half the width in ``order_by``, and so on: ``k`` rows
+    found within a narrower band are nearer than all outside it.  Where too few
+    lie in it, the probe asks the wider cells again, at last those of the
+    tolerance, so no row is missed.  Of rows alike in every column the first
+    ``k`` + 1 ids are kept, which hold the ``k`` of any probe.  NULL, NaN and
+    infinite values match nothing; a probe needs not be a row of ``df``;
+    repeated probes get their rows each.
     """
     def finite(c):
         return F.abs(c.cast("double")) < F.lit(1e300)
 
-    def cell(c, width):
-        return F.floor(c / F.lit(width)) if width else c
-
+    places = range(len(tolerances))
     rows = df.select(F.col(id_col).alias("_id"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(tolerances)])
     asked = probes.select(F.col(id_col).alias("probe_id"), F.monotonically_increasing_id().alias("_probe"),
                           *[F.col(c).cast("double").alias(f"_p{i}") for i, c in enumerate(tolerances)])
-    widths = [float(w) for w in tolerances.values()]
-    close = F.lit(True)
-    for i, width in enumerate(widths):
-        # cells are doubles, so that far values don't overflow
-        rows = rows.where(finite(F.col(f"_x{i}"))).withColumn(f"_c{i}", cell(F.col(f"_x{i}"), width).cast("double"))
-        own = cell(F.col(f"_p{i}"), width).cast("double")
-        near = F.array_distinct(F.array(own - 1.0, own, own + 1.0)) if width else F.array(own)
-        asked = asked.where(finite(F.col(f"_p{i}"))).withColumn(f"_c{i}", F.explode(near))
-        close = close & (F.abs(F.col(f"_x{i}") - F.col(f"_p{i}")) <= F.lit(width))
+    for i in places:
+        rows, asked = rows.where(finite(F.col(f"_x{i}"))), asked.where(finite(F.col(f"_p{i}")))
+    alike = [f"_x{i}" for i in places]
+    first = Window.partitionBy(*alike).orderBy("_id")
+    rows = (rows.where("_id IS NOT NULL").groupBy(*alike, "_id").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("_copies"))
+            .withColumn("_place", F.row_number().over(first)).where(F.col("_place") <= k + 1)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_id", *alike))
+    rows, asked = cut_lineage(rows), cut_lineage(asked.where("probe_id IS NOT NULL"))
     at = list(tolerances).index(order_by)
-    met = rows.join(asked, [f"_c{i}" for i in range(len(widths))]).where(close & (F.col("_id") != F.col("probe_id")))
-    order = Window.partitionBy("_probe").orderBy(F.abs(F.col(f"_x{at}") - F.col(f"_p{at}")), "_id")
-    return (met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("probe_id", "rank", F.col("_id").alias(id_col)))
+    widths = [float(w) for w in tolerances.values()]
+    levels = probe_levels(rows, asked, widths, at)
+    distance = F.abs(F.col(f"_x{at}") - F.col(f"_p{at}"))
+    order = Window.partitionBy("_probe").orderBy(distance, "_id")
+    found, pending = [], None
+    for level in reversed(range(len(levels))):
+        pending = levels[level] if pending is None else levels[level].unionByName(pending)
+        own = _halved(widths, at, level)
+        close = F.col("_id") != F.col("probe_id")
+        for i in places:
+            close = close & (F.abs(F.col(f"_x{i}") - F.col(f"_p{i}")) <= F.lit(widths[i]))
+        if level:  # short of the cells' width, so that rounding of cells loses nothing
+            close = close & (distance <= F.lit(0.99 * own[at]))
+        met = _in_cells(rows, own).join(_asking_cells(pending, own), [f"_c{i}" for i in places]).where(close)
+        hits = (met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+                .select("_probe", "probe_id", "rank", F.col("_id").alias(id_col)))
+        if level:
+            hits = cut_lineage(hits)
+            done = hits.where(F.col("rank") == k).select("_probe")
+            hits, pending = hits.join(done, "_probe", "left_semi"), cut_lineage(pending.join(done, "_probe", "left_anti"))
+        found.append(hits.select("probe_id", "rank", id_col))
+    return reduce(DataFrame.unionByName, found)
+
+
+#: Rows that a probe meets at most where narrower cells can make them fewer.
+MOST_MET = 512
+#: Cells of a column at most, so that a value's cell is exact in a double.
+_MOST_CELLS = 1e12
+
+
+def _halved(widths: Sequence[float], at: int, level: int) -> list[float]:
+    return [w / 2.0 ** level if i == at else w for i, w in enumerate(widths)]
+
+
+def _cell(c: Column, width: float) -> Column:
+    # cells are doubles, so that far values don't overflow
+    return (F.floor(c / F.lit(width)) if width else c).cast("double")
+
+
+def _in_cells(rows: DataFrame, widths: Sequence[float]) -> DataFrame:
+    return rows.withColumns({f"_c{i}": _cell(F.col(f"_x{i}"), w) for i, w in enumerate(widths)})
+
+
+def _asking_cells(asked: DataFrame, widths: Sequence[float]) -> DataFrame:
+    """A row for each cell that a probe asks: its own and, in columns with a width, the two beside it."""
+    for i, w in enumerate(widths):
+        own = _cell(F.col(f"_p{i}"), w)
+        asked = asked.withColumn(f"_c{i}", F.explode(F.array_distinct(F.array(own - 1.0, own, own + 1.0)) if w else F.array(own)))
+    return asked
+
+
+def probe_levels(rows: DataFrame, asked: DataFrame, widths: Sequence[float], at: int) -> list[DataFrame]:
+    """The probes by how often the width of column ``at`` is halved until their
+    cells hold at most ``MOST_MET`` rows; those without rows in them are left out."""
+    cells = [f"_c{i}" for i in range(len(widths))]
+    far = rows.agg(F.max(F.abs(F.col(f"_x{at}")))).first()[0] or 0.0
+    out, left = [], asked
+    while True:
+        own = _halved(widths, at, len(out))
+        held = _in_cells(rows, own).groupBy(*cells).agg(F.count(F.lit(1)).alias("_held"))
+        near = _asking_cells(left, own).join(held, cells).groupBy("_probe").agg(F.sum("_held").alias("_near"))
+        counted = cut_lineage(left.join(near, "_probe"))
+        crowded = counted.where(F.col("_near") > MOST_MET).drop("_near")
+        if not own[at] or 2 * far / own[at] > _MOST_CELLS or crowded.isEmpty():
+            return [*out, counted.drop("_near")]
+        out.append(counted.where(F.col("_near") <= MOST_MET).drop("_near"))
+        left = crowded
