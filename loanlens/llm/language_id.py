@@ -12,8 +12,8 @@ one space, and the text stands between spaces.  A key packs four characters
 of 16 bits; rare characters beyond them share one code.
 
 The score is the winner's share after a softmax over the total log
-likelihoods, tempered by a factor fitted on a bounded sample of
-``CALIBRATION`` training documents.  ``rejected`` marks texts whose cross-entropy is above that of
+likelihoods, tempered by a factor fitted on all training documents.
+``rejected`` marks texts whose cross-entropy is above that of
 all but one in 200 of these; the prediction stays.
 
 All counts are taken over all documents and all are kept.  Models of up to
@@ -37,14 +37,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.labelled import hash_sample, is_held_out, remainder
+from loanlens.llm.labelled import is_held_out, remainder
 from loanlens.llm.storage import Workspace
 from loanlens.llm.text import signed
+from loanlens.operators.ordered import quantile_table
 
 ORDER = 4
 #: 4-grams of all models that are sent to every task; more are joined by shuffles.
 SENT_GRAMS = 1 << 21
-CALIBRATION = 4_000
+#: Factors of the softmax that are tried, and the share of training documents that aren't rejected.
+FACTORS = np.geomspace(0.005, 1.0, 40)
+KEPT_SHARE = 0.995
 #: Characters of the texts that are counted or scored together.
 RUN_CHARS = 1 << 19
 #: Distinct 4-grams whose scores a worker keeps.
@@ -390,9 +393,8 @@ def fit_language_model(docs: DataFrame) -> LanguageModel:
         numbered = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(langs)), "number int, lang string"))
         numbers = counts.join(numbered, "lang").select(F.col("number").alias("lang"), "gram", "n")
         model = LanguageModel(langs, [], tables=GramTables.fit(work, numbers, langs, alphabet))
-        return _calibrated(model, learn)
+        return _calibrated(model, learn, work)
     kept = counts.toPandas()
-    work.clear()
     alphabet = len(np.unique(kept.gram.to_numpy().view(np.uint64) & np.uint64(0xFFFF))) + 1
     langs = sorted(kept.lang.unique().tolist())
     models = []
@@ -400,37 +402,48 @@ def fit_language_model(docs: DataFrame) -> LanguageModel:
         own = kept[kept.lang == lang]
         models.append(KneserNey.fit(own.gram.to_numpy().view(np.uint64), own.n.to_numpy(np.float64), alphabet))
     model = LanguageModel(langs, models)
-    return _calibrated(model, learn) if len(langs) else model
+    if langs:
+        _calibrated(model, learn, work)
+    work.clear()
+    return model
 
 
-def _calibrated(model: LanguageModel, learn: DataFrame) -> LanguageModel:
-    """Set the softmax's factor and the rejection bound on a bounded sample."""
-    ids = learn.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").select("doc_id").distinct()
-    sample = F.broadcast(hash_sample(ids, CALIBRATION))
+def _calibrated(model: LanguageModel, learn: DataFrame, work: Workspace) -> LanguageModel:
+    """Set the softmax's factor and the rejection bound from all of ``learn``; the driver gets 41 numbers."""
+    langs = model.langs
 
     def run(batches):
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            sums, sizes = model.likelihoods(texts)
-            yield pa.RecordBatch.from_pylist(
-                [{"lang": x, "size": int(n), "sums": s.tolist()} for x, n, s in zip(langs, sizes, sums) if n],
-                schema=pa.schema([("lang", pa.string()), ("size", pa.int64()), ("sums", pa.list_(pa.float64()))]))
+            sums, sizes = model.likelihoods(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes), pa.array(list(sums), pa.list_(pa.float64()))], ["lang", "size", "sums"])
+
+    def rated(batches):
+        # the loss of every factor and the cross-entropy of each document in its own language
+        for batch in batches:
+            sums = batch.column(2).flatten().to_numpy().reshape(-1, len(langs))
+            truth = np.array([langs.index(x) for x in batch.column(0).to_pylist()], np.int64)
+            rows = np.arange(len(sums))
+            losses = np.stack([-np.log(np.maximum(_softmax(sums * f)[rows, truth], 1e-12)) for f in FACTORS], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([losses.sum(axis=0)], pa.list_(pa.float64())),
+                 pa.array([-sums[rows, truth] / batch.column(1).to_numpy()], pa.list_(pa.float64()))], ["losses", "entropies"])
 
-    own = learn.join(sample, "doc_id").where("lang IS NOT NULL").select("lang", F.col("text").cast("string").alias("text"))
+    own = learn.where("lang IS NOT NULL AND text IS NOT NULL").select(
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     if model.tables:
-        got = (model.tables.likelihoods(own.select(F.col("lang").cast("string").alias("row"), "text"), len(model.langs))
-               .where("size > 0").withColumnRenamed("row", "lang").toPandas())
+        scored = model.tables.likelihoods(own.withColumnRenamed("lang", "row"), len(langs)).withColumnRenamed("row", "lang")
     else:
-        got = own.mapInArrow(run, "lang string, size long, sums array<double>").toPandas()
-    if not len(got):
+        scored = own.mapInArrow(run, "lang string, size long, sums array<double>")
+    found = work.write(scored.where("size > 0").select("lang", "size", "sums")
+                       .mapInArrow(rated, "losses array<double>, entropies array<double>"), "calibration")
+    losses = [r.loss for r in found.select(F.posexplode("losses").alias("place", "loss")).groupBy("place")
+              .agg(F.sum("loss").alias("loss")).orderBy("place").collect()]
+    if not losses:
         return model
-    sums, size = np.stack(got.sums.to_numpy()), got["size"].to_numpy()
-    truth = np.array([model.langs.index(x) if x in model.langs else 0 for x in got.lang])
-    rows = np.arange(len(sums))
-    factors = np.geomspace(0.005, 1.0, 40)
-    losses = [-np.log(np.maximum(_softmax(sums * f)[rows, truth], 1e-12)).mean() for f in factors]
-    model.temper = float(factors[int(np.argmin(losses))])
-    model.reject_above = float(np.quantile(-sums[rows, truth] / size, 0.995))
+    model.temper = float(FACTORS[int(np.argmin(losses))])
+    model.reject_above = float(quantile_table(found.select(F.explode("entropies").alias("entropy")), [], ["entropy"],
+                                              [KEPT_SHARE], ["bound"]).first()["bound"])
     return model
 
 

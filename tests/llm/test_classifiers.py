@@ -7,7 +7,7 @@ import pytest
 
 from loanlens.llm import language_id, pu_quality, toxicity
 from loanlens.llm.dense_features import NAMES, all_features
-from loanlens.llm.labelled import is_held_out
+from loanlens.llm.labelled import is_held_out, remainder
 from tests.llm.conftest import make_documents, words
 
 LABELS = "doc_id long, quality int, toxic int, uid string"
@@ -243,3 +243,17 @@ def test_lexical_counts_of_long_texts(monkeypatch):
     parts = f.lexical(data, np.array([0, len(data)]))
     # only "near" may differ, where a segment ends between a hit and the second person
     assert (np.minimum(whole, 12) == parts[:, :toxicity.LEXICAL]).all()
+
+
+def test_languages_are_calibrated_on_all_training_rows(spark, corpus, monkeypatch):
+    """Beyond what any sample held: the bound is the quantile of every training document."""
+    monkeypatch.setattr(language_id, "CALIBRATION", 5, raising=False)
+    texts, _, langs = corpus
+    docs = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(zip(texts, langs))] + [(7000, None, "en"), (7001, "12", "de")],
+                                 "doc_id long, text string, lang string")
+    model = language_id.fit_language_model(docs)
+    rows = [r for r in docs.where(remainder() != 1).select("lang", "text").collect() if r.lang is not None and r.text is not None]
+    sums, sizes = model.likelihoods([r.text for r in rows])
+    own = [(-sums[k, model.langs.index(r.lang)] / sizes[k]) for k, r in enumerate(rows) if sizes[k]]
+    assert len(own) > 50
+    assert model.reject_above == pytest.approx(np.quantile(own, 0.995), rel=1e-9)
