@@ -56,3 +56,36 @@ def test_chunked_equals_single_node(spark):
     b = sorted(tuple(r) for r in many.select(*cols).collect())
     assert [tuple(None if x is None else round(x, 9) for x in r) for r in a] == \
         [tuple(None if x is None else round(x, 9) for x in r) for r in b]
+
+
+def test_gather_keeps_keys_together_and_deals_a_hot_key(spark):
+    from loanlens.operators.rollup import gather
+    even = spark.range(0, 4000, 1, 8).select((F.col("id") % 100).alias("k"), "id")
+    where = gather(even, "k").select("k", F.spark_partition_id().alias("p"))
+    assert where.distinct().count() == 100 and where.count() == 4000
+    assert gather(even, "k").columns == ["k", "id"]
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in sizes}
+    try:
+        for c, v in sizes.items():
+            spark.conf.set(c, v)
+        hot = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 3 > 0, F.col("id")).otherwise(-1).alias("k"),
+                                                   F.xxhash64("id").alias("v"))
+        tasks = gather(hot, "k").where("k = -1").groupBy(F.spark_partition_id().alias("p")) \
+            .agg(F.count("v").alias("n"), F.max("v")).collect()
+        assert len(tasks) > 1 and sum(r["n"] for r in tasks) == 66_667
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_wide_rollups_gather_their_rows_first(spark):
+    """One wide state a key leaves a task, not one for every task that meets the key."""
+    from loanlens.plans.installments import installment_features
+    plans = [installment_features(spark.range(0, 400, 1, 8).selectExpr(
+                 "id % 10 AS SK_ID_CURR", "id % 40 AS SK_ID_PREV", "1.0D AS NUM_INSTALMENT_VERSION", "id AS NUM_INSTALMENT_NUMBER",
+                 "CAST(id AS double) AS DAYS_INSTALMENT", "CAST(id AS double) AS DAYS_ENTRY_PAYMENT",
+                 "CAST(id AS double) AS AMT_INSTALMENT", "id + 0.5D AS AMT_PAYMENT"))]
+    for out in plans:
+        assert "RebalancePartitions" in out._jdf.queryExecution().optimizedPlan().toString()
+        assert out.count() == 10
