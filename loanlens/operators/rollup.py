@@ -138,8 +138,9 @@ def chunked_conditional_rollup(df: DataFrame, key: str, blocks: Sequence[tuple[S
     slower per row).  Splitting by source column keeps each node compiled
     while each node reads a disjoint set of columns, so the columnar scan
     volume stays that of one pass; the nodes are hash-partitioned on the
-    same key, so joining them needs no further shuffle.  NULL keys are
-    dropped (pandas groupby semantics), so the inner joins are exact.
+    same key, so joining them needs no further shuffle.  The rows of a key
+    are gathered first, as each node's states are wider than its rows.  NULL
+    keys are dropped (pandas groupby semantics), so the inner joins are exact.
     """
     if max_aggs is None:
         max_aggs = int(df.sparkSession.conf.get("loanlens.rollup.maxAggsPerNode", "100"))
@@ -164,7 +165,7 @@ def chunked_conditional_rollup(df: DataFrame, key: str, blocks: Sequence[tuple[S
             exprs += rollup_exprs(sub, namer, cond)
         if i == 0:
             exprs += list(extra)
-        parts.append(src.groupBy(key).agg(*exprs))
+        parts.append(gather(src, key).groupBy(key).agg(*exprs))
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, key, "inner")

@@ -81,8 +81,11 @@ def test_gather_keeps_keys_together_and_deals_a_hot_key(spark):
 
 def test_wide_rollups_gather_their_rows_first(spark):
     """One wide state a key leaves a task, not one for every task that meets the key."""
+    from loanlens.operators.rollup import chunked_conditional_rollup, pandas_style_name
     from loanlens.plans.installments import installment_features
-    plans = [installment_features(spark.range(0, 400, 1, 8).selectExpr(
+    df = spark.range(0, 400, 1, 8).select((F.col("id") % 10).alias("k"), F.col("id").cast("double").alias("v"))
+    plans = [chunked_conditional_rollup(df, "k", [({"v": ["mean", "sum"]}, pandas_style_name("P_"), None)]),
+             installment_features(spark.range(0, 400, 1, 8).selectExpr(
                  "id % 10 AS SK_ID_CURR", "id % 40 AS SK_ID_PREV", "1.0D AS NUM_INSTALMENT_VERSION", "id AS NUM_INSTALMENT_NUMBER",
                  "CAST(id AS double) AS DAYS_INSTALMENT", "CAST(id AS double) AS DAYS_ENTRY_PAYMENT",
                  "CAST(id AS double) AS AMT_INSTALMENT", "id + 0.5D AS AMT_PAYMENT"))]
