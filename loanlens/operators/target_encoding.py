@@ -15,6 +15,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.session import cut_lineage
+
 NULL_LEVEL = "nan"
 
 
@@ -91,11 +93,42 @@ def fold_encoding_tables(df: DataFrame, cat: str, label: str, fold: str, k: int,
     return t.select("fold", "_cat_key", enc.alias("enc"), prior.alias("prior"))
 
 
+#: Categories of up to so many levels are sent to every task, so the rows don't move; beyond that the joins shuffle.
+SENT_LEVELS = 10_000
+
+
+def _levels(cats) -> Column:
+    """A row for each category: its name and the row's level."""
+    return F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), category_key(c).alias("_cat_key")) for c in cats]))
+
+
+def fit_target_encodings(train: DataFrame, cats, label: str, prior: float | None, smoothing: float = 1.0) -> DataFrame:
+    """(feature, _cat_key, enc): ``fit_target_encoding`` of all categories from one pass over the rows."""
+    y, s, prior = F.col("_y"), F.lit(float(smoothing)), F.lit(prior).cast("double")
+    stats = (train.select(F.col(label).cast("double").alias("_y"), _levels(cats).alias("_l")).select("_y", "_l.*")
+             .groupBy("feature", "_cat_key").agg(F.count(y).alias("_n"), F.avg(y).alias("_m")))
+    return stats.select("feature", "_cat_key", ((F.col("_n") * F.col("_m") + s * prior) / (F.col("_n") + s)).alias("enc"))
+
+
+def join_levels(df: DataFrame, cats, table: DataFrame, value: str) -> DataFrame:
+    """``df`` with ``_enc_0``, ``_enc_1``, ...: the ``value`` of each row's level of
+    each category, from a table of (feature, _cat_key, value); NULL where the
+    table lacks the level.  The table is written, since it is counted."""
+    count = {r["feature"]: r["n"] for r in table.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a category
+    out = df
+    for i, c in enumerate(cats):
+        own = table.where(F.col("feature") == c).select(F.col("_cat_key").alias(f"_key_{i}"), F.col(value).alias(f"_enc_{i}"))
+        few = count.get(c, 0) <= SENT_LEVELS
+        out = out.withColumn(f"_key_{i}", category_key(c)).join(F.broadcast(own) if few else own, f"_key_{i}", "left").drop(f"_key_{i}")
+    return out
+
+
 def encoding_arrays(df: DataFrame, cats, label: str, fold: str, k: int,
                     smoothing: float = 1.0) -> tuple[DataFrame, list[float]]:
     """``df`` with ``_enc_0``, ``_enc_1``, ...: for each category the encodings
     that are fitted without fold 0, 1, ... (an array of k, NULL where a level is
-    unknown to the other folds), from one join a category; and the k priors."""
+    unknown to the other folds); and the k priors.  The levels of all categories
+    are counted in one pass, and joined once a category."""
     y = F.col(label).cast("double")
     own = {r["fold"]: (r["n"], r["s"]) for r in df.groupBy(F.col(fold).alias("fold")).agg(
         F.count(y).alias("n"), F.coalesce(F.sum(y), F.lit(0.0)).alias("s")).collect()}  # k rows
@@ -104,14 +137,19 @@ def encoding_arrays(df: DataFrame, cats, label: str, fold: str, k: int,
     for f in range(k):
         n, s = own.get(f, (0, 0.0))
         priors.append(float((s_all - s) / (n_all - n)) if n_all > n else 0.0)
-    out = df
-    for i, c in enumerate(cats):
-        table = fold_encoding_tables(df, c, label, fold, k, smoothing)
-        arrays = (table.groupBy(F.col("_cat_key").alias(f"_key_{i}"))
-                  .agg(F.sort_array(F.collect_list(F.struct("fold", "enc"))).alias("_by_fold"))  # k entries
-                  .select(f"_key_{i}", F.col("_by_fold.enc").alias(f"_enc_{i}")))
-        out = out.withColumn(f"_key_{i}", category_key(c)).join(arrays, f"_key_{i}", "left").drop(f"_key_{i}")
-    return out, priors
+    if not cats:
+        return df, priors
+    per = (df.select(y.alias("_y"), F.col(fold).alias("fold"), _levels(cats).alias("_l")).select("_y", "fold", "_l.*")
+           .groupBy("feature", "_cat_key", "fold").agg(F.count("_y").alias("_n"), F.sum("_y").alias("_s")))
+    held = [(F.sum(F.when(F.col("fold") == f, F.col(c))).alias(f"{c}{f}")) for f in range(k) for c in ("_n", "_s")]
+    tot = per.groupBy("feature", "_cat_key").agg(F.sum("_n").alias("_tn"), F.sum("_s").alias("_ts"), *held)
+    sm, encodings = F.lit(float(smoothing)), []
+    for f in range(k):
+        n_in = F.col("_tn") - F.coalesce(F.col(f"_n{f}"), F.lit(0))
+        s_in = F.col("_ts") - F.coalesce(F.col(f"_s{f}"), F.lit(0.0))
+        encodings.append(F.when(n_in > 0, (s_in + sm * F.lit(priors[f])) / (n_in + sm)))
+    table = cut_lineage(tot.select("feature", "_cat_key", F.array(*encodings).alias("enc")))
+    return join_levels(df, cats, table, "enc"), priors
 
 
 def oof_encode(df: DataFrame, cat: str, label: str, fold: str, k: int, out: str,

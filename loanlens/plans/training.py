@@ -7,8 +7,9 @@ categorical smoothing) are not reproduced.
 The wide feature table is read twice, whatever the number of folds, members and
 rounds: once for the quantile cuts of every numeric column (a bounded sample), once to write each
 row's bins as one vector next to its fold and encodings.  All fits read that
-narrow table.  Categorical features are target-encoded per fold with the
-one-pass "total minus fold" tables, joined once for all folds.
+narrow table; a fold's vectors are written once.  Categorical features are
+target-encoded per fold with the one-pass "total minus fold" tables, joined once
+for all folds.
 
 A booster stops by patience: it is fitted in growing stages, the held-out loss
 of every round is read from the model, and the best round is the one that no
@@ -27,12 +28,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlens.operators.ordered import average_rank, stratified_folds
-from loanlens.operators.target_encoding import (category_key, encoding_arrays, fit_target_encoding, hash_normal)
+from loanlens.operators.ordered import average_rank, prefix_counts, stratified_folds
+from loanlens.operators.target_encoding import (category_key, encoding_arrays, fit_target_encodings, hash_normal,
+                                                join_levels)
 from loanlens.session import cut_lineage
 
 
@@ -113,8 +116,10 @@ def binned_rows(df: DataFrame, cuts: dict[str, list[float]], carry: Sequence[str
 PARTITION_CELLS = 1 << 24
 
 
-def _few_partitions(data: DataFrame, n_rows: int, width: int) -> DataFrame:
-    return data.coalesce(max(1, -(-n_rows * max(1, width) // PARTITION_CELLS)))
+def _few_partitions(data: DataFrame, width: int) -> DataFrame:
+    """Rows made and written by as many tasks as there are, and read by few."""
+    data = cut_lineage(data)
+    return data.coalesce(max(1, -(-data.count() * max(1, width) // PARTITION_CELLS)))
 
 
 def _vector(encodings: Sequence[Column]) -> Column:
@@ -145,14 +150,24 @@ def best_round(losses: Sequence[float], patience: int, least_gain: float = 0.0)
     return best + 1, False
 
 
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The booster of the first ``rounds`` rounds, which a fit of so many rounds
+    gives, too: a round hangs on the ones before it and on its seed only."""
+    java, jvm = model._java_obj, SparkSession.active().sparkContext._jvm.org.apache.spark.ml
+    trees = JavaWrapper._new_java_array(list(java.trees())[:rounds], jvm.regression.DecisionTreeRegressionModel)
+    weights = JavaWrapper._new_java_array(model.treeWeights[:rounds], SparkSession.active().sparkContext._jvm.double)
+    return GBTClassificationModel(jvm.classification.GBTClassificationModel(java.uid(), trees, weights))
+
+
 def fit_with_patience(train: DataFrame, held_out: DataFrame, params: BoostParams) -> tuple[GBTClassificationModel, list[float]]:
     """The booster of the best round, and the held-out loss of every round fitted.
 
     Stages double, so all of them together cost about twice the last; a
     stage repeats the rounds of the one before it, since they have the same seed.
+    The best round's booster is the beginning of the last stage's.
     """
     bins = max(2, params.max_bins + 2)
-    rounds = min(params.max_iter, 2 * params.patience)
+    rounds = min(params.max_iter, 4 * params.patience)
     while True:
         model = booster(params, rounds, bins).fit(train)
         losses = [float(x) for x in model.evaluateEachIteration(held_out)]
@@ -160,15 +175,13 @@ def fit_with_patience(train: DataFrame, held_out: DataFrame, params: BoostParams
         if over or rounds >= params.max_iter:
             break
         rounds = min(params.max_iter, 2 * rounds)
-    if best < len(losses):
-        model = booster(params, best, bins).fit(train)
-    return model, losses
+    return (first_rounds(model, best) if best < len(losses) else model), losses
 
 
 def importances(model: GBTClassificationModel, features: Sequence[str]) -> list[tuple[str, float]]:
     """Per-feature importance of a fitted booster by gain; ``split_counts`` counts splits."""
-    vec = model.featureImportances
-    return [(f, float(vec[i])) for i, f in enumerate(features)]
+    vec = model.featureImportances  # may end at the last feature in use
+    return [(f, float(vec[i]) if i < vec.size else 0.0) for i, f in enumerate(features)]
 
 
 def split_counts(spark: SparkSession, path: str, features: Sequence[str]) -> DataFrame:
@@ -184,14 +197,29 @@ def split_counts(spark: SparkSession, path: str, features: Sequence[str]) -> Dat
     return names.join(used, "place", "left").select("feature", F.coalesce("n", F.lit(0)).cast("double").alias("importance"))
 
 
+def score_counts(df: DataFrame, score_col: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, _ll_s, _ll_n, _ll_p, _ll_q): rows with a score, positives and
+    negatives of each score; a score that many rows share is one row."""
+    y = F.col(label)
+    return df.groupBy(*keys, F.col(score_col).alias("_ll_s")).agg(
+        F.count(score_col).alias("_ll_n"), F.count_if(y == 1).alias("_ll_p"), F.count_if(y == 0).alias("_ll_q"))
+
+
+def auc_of_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, AUC) of ``score_counts``; rows without a score have no rank, and
+    count as positives and negatives."""
+    n, p = F.col("_ll_n"), F.col("_ll_p")
+    rank = F.col("before") + (n + F.lit(1)) / F.lit(2.0)
+    a = prefix_counts(counts, keys, ["_ll_s"], "_ll_n").groupBy(*keys).agg(
+        F.sum(F.when((p > 0) & (n > 0), p * rank)).alias("_rp"),
+        F.sum("_ll_p").cast("double").alias("_p"), F.sum("_ll_q").cast("double").alias("_n"))
+    return a.select(*keys, ((F.col("_rp") - F.col("_p") * (F.col("_p") + 1) / 2.0) /
+                            (F.col("_p") * F.col("_n"))).alias("AUC"))
+
+
 def auc(df: DataFrame, score_col: str, label: str) -> DataFrame:
     """ROC AUC as the normalised rank-sum of the positives (M9), one row."""
-    r = average_rank(df.select(score_col, label), score_col, "_rk")
-    y = F.col(label)
-    a = r.agg(F.sum(F.when(y == 1, F.col("_rk"))).alias("_rp"),
-              F.count_if(y == 1).cast("double").alias("_p"), F.count_if(y == 0).cast("double").alias("_n"))
-    return a.select(((F.col("_rp") - F.col("_p") * (F.col("_p") + 1) / 2.0) /
-                     (F.col("_p") * F.col("_n"))).alias("AUC"))
+    return auc_of_counts(score_counts(df, score_col, label))
 
 
 def blend_ranks(df: DataFrame, id_col: str, score_cols: Sequence[str], out: str = "TARGET",
@@ -225,10 +253,12 @@ def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str],
     numeric = [f for f in features if f not in cats]
     names = numeric + [f"{c}_ENCODED" for c in cats]
     cuts = fit_cuts(df, numeric, params.max_bins, id_col)
-    x, priors = encoding_arrays(folded, cats, label, "fold", k, smoothing)
-    data = binned_rows(x.withColumn("label", F.col(label).cast("double")), cuts,
-                       [id_col, "label", "fold", *[f"_enc_{i}" for i in range(len(cats))]])
-    data = cut_lineage(_few_partitions(data, folded.count(), len(names)))
+    levels = [f"_level_{i}" for i in range(len(cats))]
+    x = folded.withColumns({"label": F.col(label).cast("double"), **{own: category_key(c) for own, c in zip(levels, cats)}})
+    # levels are counted and joined on narrow rows
+    x = cut_lineage(binned_rows(x, cuts, [id_col, "label", "fold", *levels]))
+    data, priors = encoding_arrays(x, levels, "label", "fold", k, smoothing)
+    data = _few_partitions(data.drop(*levels), len(names))
 
     def one(f: int):
         held = F.col("fold") == f
@@ -238,17 +268,22 @@ def cross_validate(df: DataFrame, features: Sequence[str], cats: Sequence[str],
             noisy = known * (F.lit(1.0) + F.lit(noise_level) * hash_normal(id_col, seed)) if noise_level > 0 else known
             # noise goes on known levels of training rows only
             encodings.append(F.coalesce(F.when(held, known).otherwise(noisy), F.lit(priors[f])))
-        rows = data.select(id_col, "label", held.alias("held"), _vector(encodings))
+        # the fits, losses and scores of a fold read its vectors many times
+        rows = cut_lineage(data.select("label", held.alias("held"), _vector(encodings)))
         model, losses = fit_with_patience(rows.where("NOT held"), rows.where("held"), params)
-        rated = cut_lineage(model.transform(rows).select("label", "held", vector_to_array("probability")[1].alias("p")))
-        scores = {name: auc(rated.where(F.col("held") == side), "p", "label").first()["AUC"]
-                  for name, side in (("train_auc", False), ("valid_auc", True))}
-        return scores, model.getNumTrees, [(f, n, v) for n, v in importances(model, names)], losses
+        rated = model.transform(rows).select(F.lit(f).alias("fold"), "held", "label", vector_to_array("probability")[1].alias("p"))
+        counts = cut_lineage(score_counts(rated, "p", "label", ["fold", "held"]))
+        return counts, model.getNumTrees, [(f, n, v) for n, v in importances(model, names)], losses
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         done = list(pool.map(one, range(k)))
+    counts = done[0][0]
+    for own, *_ in done[1:]:
+        counts = counts.unionByName(own)
+    aucs = {(r["fold"], r["held"]): r["AUC"] for r in auc_of_counts(counts, ["fold", "held"]).collect()}  # 2k rows
+    scores = [{"train_auc": aucs.get((f, False)), "valid_auc": aucs.get((f, True))} for f in range(k)]
     imp = spark.createDataFrame([r for _, _, rows, _ in done for r in rows], "fold int, feature string, importance double")
-    return [s for s, _, _, _ in done], [n for _, n, _, _ in done], imp
+    return scores, [n for _, n, _, _ in done], imp
 
 
 def loss_curve(losses: Sequence[Sequence[float]], spark: SparkSession) -> DataFrame:
@@ -327,9 +362,8 @@ class Ensemble:
         """(id, carry, features) of rows; an unseen level gets the prior, a missing column is missing in every row."""
         x = df.select("*", *[F.lit(None).cast("double").alias(c) for c in self.cuts if c not in df.columns],
                       *[F.lit(None).cast("string").alias(c) for c in self.cats if c not in df.columns])
-        for i, c in enumerate(self.cats):
-            own = self.encoders.where(F.col("feature") == c).select(F.col("_cat_key").alias(f"_key_{i}"), F.col("enc").alias(f"_enc_{i}"))
-            x = x.withColumn(f"_key_{i}", category_key(c)).join(own, f"_key_{i}", "left")
+        if self.cats:
+            x = join_levels(x, self.cats, self.encoders, "enc")
         encodings = [f"_enc_{i}" for i in range(len(self.cats))]
         rows = binned_rows(x, self.cuts, [self.id_col, *carry, *encodings])
         return rows.select(self.id_col, *carry, _vector([F.coalesce(c, F.lit(self.prior)) for c in encodings]))
@@ -391,14 +425,11 @@ def fit_ensemble(train: DataFrame, features: Sequence[str], cats: Sequence[str],
     """Cuts, encodings and members on all labelled rows (M5, M6); ``parallelism`` members at a time."""
     numeric = [f for f in features if f not in cats]
     cuts = fit_cuts(train, numeric, base.max_bins, id_col)
-    tables = [fit_target_encoding(train, c, label, smoothing)[0].select(F.lit(c).alias("feature"), "_cat_key", "enc") for c in cats]
-    encoders = None
-    for t in tables:
-        encoders = t if encoders is None else encoders.unionByName(t)
     prior = train.agg(F.avg(F.col(label).cast("double"))).first()[0]
-    out = Ensemble(id_col, cuts, list(cats), cut_lineage(encoders) if cats else None, float(prior or 0.0), [])
+    encoders = cut_lineage(fit_target_encodings(train, cats, label, prior, smoothing)) if cats else None
+    out = Ensemble(id_col, cuts, list(cats), encoders, float(prior or 0.0), [])
     data = out.vectors(train.withColumn("label", F.col(label).cast("double")), ["label"])
-    data = cut_lineage(_few_partitions(data, train.count(), len(out.features)))
+    data = _few_partitions(data, len(out.features))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         out.models = list(pool.map(lambda p: booster(p, max(1, rounds), max(2, p.max_bins + 2)).fit(data),
                                    ensemble_params(base, members)))

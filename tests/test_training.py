@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from loanlens.operators.ordered import stratified_folds
 from loanlens.operators.target_encoding import (apply_target_encoding, encoding_arrays, fit_target_encoding,
-                                                hash_normal)
+                                                fit_target_encodings, hash_normal)
 from loanlens.plans.training import (BoostParams, Ensemble, auc, best_round, best_rounds, binned_rows, blend_ranks,
                                      cross_validate, ensemble_params, final_round_count, fit_cuts,
-                                     fit_with_patience, load_and_score, loss_curve, split_counts,
-                                     top_importances, train_and_score)
+                                     first_rounds, fit_with_patience, importances, load_and_score, loss_curve,
+                                     split_counts, top_importances, train_and_score)
 
 
 def test_blend_ranks_matches_pandas(spark):
@@ -33,6 +33,17 @@ def test_auc_rank_sum(spark):
     assert abs(got - exp) < 1e-12
 
 
+def test_auc_of_ties_and_rows_without_score(spark):
+    """As ranks of single rows give it; a row without a score has no rank."""
+    rng = random.Random(5)
+    rows = [(None if i % 17 == 0 else rng.randrange(6) / 8, rng.choice([0, 1, 1, None])) for i in range(300)]
+    pdf = pd.DataFrame(rows, columns=["s", "y"])
+    rank, p, n = pdf.s.rank(), (pdf.y == 1).sum(), (pdf.y == 0).sum()
+    df = spark.createDataFrame(rows, "s double, y int")
+    assert abs(auc(df, "s", "y").first().AUC - (rank[pdf.y == 1].sum() - p * (p + 1) / 2) / (p * n)) < 1e-12
+    assert auc(df.where("y = 0"), "s", "y").first().AUC is None
+
+
 def test_ensemble_params_and_rounds():
     ps = ensemble_params(BoostParams(), 7)
     assert [p.seed for p in ps] == list(range(1, 8))
@@ -95,6 +106,51 @@ def test_patience_fits_further_stages(spark):
     assert [round(v, 9) for v in model.evaluateEachIteration(rows.where("id % 3 = 0"))] == [round(v, 9) for v in losses[:best]]
 
 
+def test_the_best_round_is_not_fitted_again(spark, monkeypatch):
+    """The last stage holds it; the booster of its first rounds is the one that a fit of so many rounds gives."""
+    from loanlens.plans import training
+    df = spark.range(0, 900, 1, 2).select(((F.col("id") * 37 % 100 + F.col("id") % 7 * 9) > 80).cast("double").alias("label"), array_to_vector(
+        F.array(*[F.expr(f"double(id * {m} % {n})") for m, n in ((37, 100), (1, 7), (1, 1))])).alias("features")).cache()
+    params, fits = BoostParams(max_depth=2, step_size=0.3, min_instances=5, patience=3, least_gain=0.02), []
+    plain = training.booster
+    monkeypatch.setattr(training, "booster", lambda *a: fits.append(a[1]) or plain(*a))
+    model, losses = fit_with_patience(df, df, params)
+    assert fits == [12 << i for i in range(len(fits))] and model.getNumTrees < fits[-1] == len(losses)
+    want = plain(params, model.getNumTrees, params.max_bins + 2).fit(df)
+    tree = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert tree(model) == tree(want) == tree(first_rounds(want, 99))
+    assert importances(model, "abc") == importances(want, "abc") and importances(model, "abc")[2] == ("c", 0.0)
+    assert [r.probability for r in model.transform(df).collect()] == [r.probability for r in want.transform(df).collect()]
+
+
+def test_categories_are_counted_in_one_pass_and_rows_stay(spark):
+    """However many categories: one scan to count the levels, and no shuffle of the rows to join few of them."""
+    cats = [f"c{i}" for i in range(6)]
+    df = spark.range(0, 500, 1, 4).select("id", (F.col("id") % 4).cast("int").alias("fold"), (F.col("id") % 3 == 0).cast("int").alias("y"),
+                                          *[(F.col("id") % (i + 2)).cast("string").alias(c) for i, c in enumerate(cats)])
+    x, _priors = encoding_arrays(df, cats, "y", "fold", 4)
+    plan = x._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 6 and "SortMergeJoin" not in plan
+    table = fit_target_encodings(df, cats, "y", df.agg(F.avg("y")).first()[0], 2.0)
+    assert table._jdf.queryExecution().sparkPlan().toString().count("Range ") == 1
+    got = {(r.feature, r._cat_key): r.enc for r in table.collect()}
+    for c in cats:
+        for r in fit_target_encoding(df, c, "y", 2.0)[0].collect():
+            assert got.pop((c, r._cat_key)) == r.enc
+    assert not got
+
+
+def test_a_category_of_many_levels_is_joined_by_a_shuffle(spark, monkeypatch):
+    from loanlens.operators import target_encoding
+    df = spark.createDataFrame([(i, str(i % 40), i % 2) for i in range(200)], "id int, c string, y int")
+    table = fit_target_encodings(df, ["c"], "y", 0.5).localCheckpoint()
+    sent = target_encoding.join_levels(df, ["c"], table, "enc")
+    monkeypatch.setattr(target_encoding, "SENT_LEVELS", 39)
+    moved = target_encoding.join_levels(df, ["c"], table, "enc")
+    assert "BroadcastHashJoin" not in moved._jdf.queryExecution().sparkPlan().toString()
+    assert sorted(sent.collect()) == sorted(moved.collect()) and moved.columns == ["id", "c", "y", "_enc_0"]
+
+
 def test_bins_follow_the_cuts(spark):
     df = spark.createDataFrame([(k, None if k % 9 == 0 else float(k), 7.0, None if k else float("nan")) for k in range(300)],
                                "id int, `a.b c` double, same double, none double").toDF("id", "a b", "same", "none")
