@@ -239,7 +239,8 @@ def near_duplicate_vectors(embeddings: DataFrame, least: float = COSINE) -> Data
     ids = labelled.groupBy("component").agg(F.min("least_id").alias("component_id"))
     labels = labelled.join(ids, "component").select(
         "data", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    linked = good.join(labels, "data").select(
+    # both sides hold the vectors: neither is collected and sent to every task
+    linked = good.join(labels.hint("merge"), "data").select(
         "vec_id", "n_links", "component_id",
         (F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)) | (F.col("n_links") == 0)).alias("kept"))
     alone = rows.where("NOT usable").select("vec_id", F.lit(0).cast("long").alias("n_links"),

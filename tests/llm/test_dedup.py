@@ -374,6 +374,15 @@ def test_lattice_of_an_empty_table(spark):
     assert lattice_dedup.near_duplicate_vectors(make_vectors(spark, [])).collect() == []
 
 
+def test_lattice_vectors_are_not_sent_to_every_task(spark):
+    """The join that gives the rows their labels holds the vectors on both sides."""
+    df = spark.createDataFrame([(k, [float(k % 5), 1.0, 2.0]) for k in range(20)], "vec_id long, embedding array<double>")
+    got = lattice_dedup.near_duplicate_vectors(df)
+    assert len(got.collect()) == 20
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "SortMergeJoin [data" in plan and "BroadcastHashJoin [data" not in plan
+
+
 def test_lattice_recall_in_a_large_table(spark, tmp_path):
     """100,000 vectors, 8,000 of them planted near others; links against all cosines."""
     import pyarrow as pa
